@@ -43,6 +43,15 @@ def byte_symbols() -> dict[int, str]:
     return table
 
 
+#: All characters up to here are assigned.
+HIGH = re.compile("[^\x00-\u0377]")
+
+
+def has_unassigned(text: str) -> bool:
+    """Whether a character is unknown to Python's Unicode tables."""
+    return bool(HIGH.search(text)) and any(unicodedata.category(c) == "Cn" for c in set(text))
+
+
 class WordBpe:
     """Encoder for a tokenizer file with lower-casing, word-end marks and byte-level symbols."""
 
@@ -66,10 +75,20 @@ class WordBpe:
             left, right = pair if isinstance(pair, list) else pair.split(" ")
             self.merge.setdefault(vocab[left] << 20 | vocab[right], (rank, vocab[left + right]))
         symbols = byte_symbols()
+        self.byte_of = {s: b for b, s in symbols.items()}
+        self.path, self._library = path, None
         self.first = [vocab[symbols[b]] for b in range(256)]
         self.last = [vocab[symbols[b] + self.end] for b in range(256)]
         self.words: dict[str, tuple[int, ...]] = {}
 
+    def library(self):
+        """Splits and lower-cases the few texts with characters newer than Python's Unicode tables; merges stay here."""
+        if self._library is None:
+            from tokenizers import Tokenizer
+
+            self._library = Tokenizer.from_file(self.path)
+        return self._library
+
     def word_ids(self, word: str) -> tuple[int, ...]:
         """Ids of one pre-token."""
         known = self.words.get(word)
@@ -122,6 +141,8 @@ class WordBpe:
         """Composed and lower-cased; white space is left to the split."""
         if text.isascii():
             return text.lower()
+        if has_unassigned(text):
+            return self.library().normalizer.normalize_str(text)
         # Lower-casing is by character: a final sigma gets no form of its own.
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
@@ -135,10 +156,9 @@ class WordBpe:
     def pretokens(self, chunk: str) -> list[str]:
         if chunk.isascii():
             return self.ASCII.findall(chunk)
-        if any(unicodedata.category(c) == "Cn" for c in chunk):
-            # The regex module knows letters of newer Unicode versions than the tokenizer: these are symbols there.
-            shape = "".join("\u2022" if unicodedata.category(c) == "Cn" else c for c in chunk)
-            return [chunk[slice(*m.span())] for m in self.WORDS.finditer(shape)]
+        if has_unassigned(chunk):
+            pieces = self.library().pre_tokenizer.pre_tokenize_str(chunk)
+            return [bytes(map(self.byte_of.__getitem__, word)).decode() for word, _ in pieces]
         return self.WORDS.findall(chunk)
 
     def chunk_ids(self, chunk: str) -> list[int]:
@@ -187,6 +207,19 @@ class ChunkMemo(dict):
         return out
 
 
+class StringMemo(dict):
+    """Maps decimal ids, joined by spaces, to their vocabulary strings; emptied when full."""
+
+    def __init__(self, bpe: WordBpe):
+        self.of_id = bpe.by_decimal
+
+    def __missing__(self, ids: str) -> str:
+        if len(self) >= MEMO_WORDS:
+            self.clear()
+        value = self[ids] = " ".join(map(self.of_id.__getitem__, ids.split()))
+        return value
+
+
 _LOADED: dict[str, WordBpe] = {}
 
 
@@ -208,16 +241,15 @@ def encode_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path or tokenizer_path())
-        memo = ChunkMemo(bpe, lambda ids: " ".join(map(str, ids)))
-        string = bpe.by_decimal.__getitem__
+        memo, strings = ChunkMemo(bpe, lambda ids: " ".join(map(str, ids))), StringMemo(bpe)
         for batch in batches:
             n, ids_sha, text_sha = [], [], []
             for text in batch.column(1).to_pylist():
-                joined = " ".join(memo.of(text or ""))
-                ids = joined.split()
-                n.append(len(ids))
+                parts = memo.of(text or "")
+                joined = " ".join(parts)
+                n.append(joined.count(" ") + 1 if parts else 0)
                 ids_sha.append(hashlib.sha256(joined.encode()).hexdigest())
-                text_sha.append(hashlib.sha256(" ".join(map(string, ids)).encode()).hexdigest())
+                text_sha.append(hashlib.sha256(" ".join(map(strings.__getitem__, parts)).encode()).hexdigest())
             yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SCHEMA)

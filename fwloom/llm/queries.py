@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules that hold QUERIES and ORACLE_SQL.
-MODULES = ["bpe"]
+MODULES = ["packing", "secrets", "toxicity", "bpe", "sharding"]
 
 
 def _merged(name: str) -> dict:

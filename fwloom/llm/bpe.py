@@ -18,6 +18,7 @@ import hashlib
 import heapq
 import json
 import re
+import struct
 import unicodedata
 from collections.abc import Iterator
 
@@ -185,15 +186,21 @@ class WordBpe:
 
 
 class ChunkMemo(dict):
-    """Maps a chunk to what ``make`` gives for its ids; emptied when full."""
+    """Maps a chunk to what ``make`` gives for its ids.
+
+    When full, its entries become the older half and a lookup there brings one back; so it holds
+    ``2 * MEMO_WORDS`` entries at most and common chunks stay.
+    """
 
     def __init__(self, bpe: WordBpe, make):
-        self.bpe, self.make = bpe, make
+        self.bpe, self.make, self.older = bpe, make, {}
 
     def __missing__(self, chunk: str):
         if len(self) >= MEMO_WORDS:
+            self.older = dict(self)
             self.clear()
-        value = self[chunk] = self.make(self.bpe.chunk_ids(chunk))
+        value = self.older.get(chunk)
+        self[chunk] = value = self.make(self.bpe.chunk_ids(chunk)) if value is None else value
         return value
 
     def of(self, text: str) -> list:
@@ -221,6 +228,24 @@ class StringMemo(dict):
 
 
 _LOADED: dict[str, WordBpe] = {}
+_MEMOS: dict[tuple, ChunkMemo] = {}
+
+
+def decimals(ids: list[int]) -> str:
+    return " ".join(map(str, ids))
+
+
+def words_le(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit numbers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def memo_of(path: str | None, make) -> ChunkMemo:
+    """The memo for a tokenizer and a module-level function; it outlives the tasks of a Python process."""
+    key = (path or tokenizer_path(), make)
+    if key not in _MEMOS:
+        _MEMOS[key] = ChunkMemo(load(key[0]), make)
+    return _MEMOS[key]
 
 
 def load(path: str) -> WordBpe:
@@ -241,7 +266,7 @@ def encode_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path or tokenizer_path())
-        memo, strings = ChunkMemo(bpe, lambda ids: " ".join(map(str, ids))), StringMemo(bpe)
+        memo, strings = memo_of(path, decimals), StringMemo(bpe)
         for batch in batches:
             n, ids_sha, text_sha = [], [], []
             for text in batch.column(1).to_pylist():

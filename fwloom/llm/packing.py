@@ -133,9 +133,8 @@ def cut(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder = bpe.load(path or bpe.tokenizer_path())
-        memo = bpe.ChunkMemo(encoder, lambda ids: np.array(ids, dtype="<u4").tobytes())
-        task, seen, end = TaskContext.get().partitionId(), Counter(), np.array([SEPARATOR], dtype="<u4").tobytes()
+        memo, end = bpe.memo_of(path, bpe.words_le), bpe.words_le([SEPARATOR])
+        task, seen = TaskContext.get().partitionId(), Counter()
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules that hold QUERIES and ORACLE_SQL.
-MODULES = ["packing", "secrets", "toxicity", "bpe", "sharding"]
+MODULES = ["packing", "neardup", "secrets", "toxicity", "ann", "counts", "media", "bpe", "suffixes", "sharding"]
 
 
 def _merged(name: str) -> dict:

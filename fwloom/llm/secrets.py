@@ -173,6 +173,26 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SCHEMA)
 
 
+def redacted(docs: DataFrame) -> DataFrame:
+    """``docs`` with all columns and marks in place of secrets in ``text``; ``n_chars`` follows the text."""
+    names = docs.columns
+    at = names.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            new = []
+            for text in texts:
+                spans = scan(text)[1] if text else []
+                new.append(redact(text, spans) if spans else text)
+            columns = [pa.array(new, pa.string()) if i == at else batch.column(i) for i in range(len(names))]
+            yield pa.record_batch(columns, names)
+
+    out = docs.withColumn("text", F.col("text").cast("string"))
+    out = out.mapInArrow(run, out.schema)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
 

@@ -46,18 +46,19 @@ SEPARATORS = ".-_*~^'`·"
 #: Channel log probabilities: a look-alike read as a letter, a dropped separator, a dropped or kept repeat.
 LOG_LOOK, LOG_DROP, LOG_REPEAT, LOG_KEEP = math.log(0.4), math.log(0.9), math.log(0.5), math.log(0.5)
 
-SPACED = re.compile(r"(?<![^\W_])[^\W\d_](?:[ .\-_*]{1,2}[^\W\d_]){3,}(?![^\W_])")
 SUSPECT = re.compile(r"[0-9@$!|+€£(¡.\-_*~^'`·]|(.)\1\1")
 EDGE = re.compile(r"^[\W_]+|[\W_]+$")
+FIRST_SYMBOL = re.compile(r"[@$!|+€£(0-9][^\W\d_]")
+LAST_SYMBOL = re.compile(r"[^\W\d_][@$0-9]$")
 
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
 
 def fold(word: str) -> str:
-    """Lower case without accents."""
+    """Lower case, letters without their accents; what has no Latin reading stays as it is."""
     if word.isascii():
-        return word
-    return "".join(c for c in unicodedata.normalize("NFKD", word) if not unicodedata.combining(c)).lower()
+        return word.lower()
+    return unicodedata.normalize("NFKD", word).encode("ascii", "ignore").decode().lower() or word.lower()
 
 
 FOLD_BYTES = bytes(b - 96 if 97 <= b <= 122 else (b - 64 if 65 <= b <= 90 else 0) for b in range(256))
@@ -69,10 +70,9 @@ def trigram_counts(docs: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SIZE**3, dtype=np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                if text:
-                    codes = np.frombuffer(b"\0\0" + fold(text).encode().translate(FOLD_BYTES) + b"\0\0", np.uint8).astype(np.int32)
-                    total += np.bincount((codes[:-2] * SIZE + codes[1:-1]) * SIZE + codes[2:], minlength=SIZE**3)
+            texts = [unicodedata.normalize("NFKD", t).encode("ascii", "ignore") for t in batch.column(0).to_pylist() if t]
+            codes = np.frombuffer(b"\0\0" + b"\0\0".join(texts).translate(FOLD_BYTES) + b"\0\0", np.uint8).astype(np.int32)
+            total += np.bincount((codes[:-2] * SIZE + codes[1:-1]) * SIZE + codes[2:], minlength=SIZE**3)
         found = np.flatnonzero(total)
         yield pa.record_batch([pa.array(found, pa.int32()), pa.array(total[found])], ["code", "n"])
 
@@ -128,14 +128,19 @@ class Channel:
 
     def readings(self, token: str) -> set[str]:
         """Words to score for a token: as written, and as restored if it looks hidden."""
-        token = token.lower()
         word = fold(EDGE.sub("", token))
         if not word:
             return set()
-        found = {word}
-        if SUSPECT.search(token):
-            # A symbol at the edge may be a letter of the word or punctuation: both are read.
-            for shape in {word, fold(token), fold(re.sub(r"[\W_]+$", "", token))}:
+        found, shapes = {word}, set()
+        if SUSPECT.search(word):
+            shapes.add(word)
+        # A single symbol at the edge may be a letter of the word.
+        if FIRST_SYMBOL.match(token):
+            shapes.add(fold(re.sub(r"[\W_]+$", "", token)))
+        if LAST_SYMBOL.search(token):
+            shapes.add(fold(re.sub(r"^[\W_]+", "", token)))
+        if shapes:
+            for shape in shapes:
                 letters = sum(c.isalpha() for c in shape)
                 if 2 <= letters >= len(shape) - letters:  # a token of mostly symbols hides no word
                     found.add(self.decode(shape))
@@ -144,13 +149,18 @@ class Channel:
         return found
 
 
-def spaced_words(text: str) -> list[str]:
-    """Words written with gaps between single letters."""
-    return [re.sub(r"[ .\-_*]", "", m[0]) for m in SPACED.finditer(text)]
-
-
 def tokens_of(text: str) -> set[str]:
-    return {*text.split(), *spaced_words(text)}
+    """Distinct tokens in lower case, and words written as four or more single letters in a row."""
+    tokens = text.lower().split()
+    found = set(tokens)
+    run: list[str] = []
+    at = -2
+    for i in [i for i, t in enumerate(tokens) if len(t) == 1]:
+        run = [*run, tokens[i]] if i == at + 1 else [tokens[i]]
+        at = i
+        if len(run) >= 4:
+            found.add("".join(run))
+    return found
 
 
 def features_of(word: str) -> list[str]:
@@ -158,25 +168,22 @@ def features_of(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in PREFIXES if len(word) > n)]
 
 
-class Scorer:
-    """Evidence of a text: sum of log-odds over distinct tokens, and how many carry any."""
+class Scorer(dict):
+    """Evidence of a text: sum of log-odds over distinct tokens, and the largest. A mapping of known tokens to log-odds."""
 
     def __init__(self, counts: np.ndarray, weights: dict[str, float], curve: tuple[float, ...] = ()):
         self.counts, self.weights, self.curve = counts, weights, curve
-        self.channel, self.memo = Channel(counts), {}
-
-    def weight(self, token: str) -> float:
-        found = self.memo.get(token)
-        if found is None:
-            if len(self.memo) >= MEMO_WORDS:
-                self.memo.clear()
-            get = self.weights.get
-            found = self.memo[token] = max((get(f, 0.0) for w in self.channel.readings(token) for f in features_of(w)), default=0.0)
-        return found
+        self.channel = Channel(counts)
+
+    def __missing__(self, token: str) -> float:
+        if len(self) >= MEMO_WORDS:
+            self.clear()
+        get = self.weights.get
+        value = self[token] = max((get(f, 0.0) for w in self.channel.readings(token) for f in features_of(w)), default=0.0)
+        return value
 
     def evidence(self, text: str) -> tuple[float, float]:
-        get = self.weight
-        hits = [w for t in tokens_of(text) if (w := get(t)) > 0]
+        hits = [w for w in map(self.__getitem__, tokens_of(text)) if w]
         return sum(hits), max(hits, default=0.0)
 
     def score(self, text: str) -> float:

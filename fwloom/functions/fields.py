@@ -1,6 +1,6 @@
 """Parsers of fixed-width fields and computed columns, as pure Catalyst expressions.
 
-Each parser maps the raw characters to a value and to a message that is null unless the value is bad. Text
+A field passes three expressions: trimmed text, value, and a message that is null unless the value is bad. Text
 rules follow Python's: white space is what ``str.isspace`` says, dates are read as leniently as ``strptime``
 does. Accepted differences: digit separators (``1_000``) and digits beyond ASCII do not parse, integers of
 64 bits and more are bad values.
@@ -35,47 +35,50 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
 
 
-def _bad(text: Column, value: Column, dtype: str) -> Column:
-    return F.when((text != "") & value.isNull(), F.concat(F.lit("cannot parse '"), text, F.lit(f"' as {dtype}")))
+def text_of(line: Column, field: Field) -> Column:
+    """The field's characters, trimmed as its type wants it; empty for blanks."""
+    raw = F.substring(line, field.start, field.length)
+    return rstrip(raw) if field.dtype == "Utf8" else strip(raw)
 
 
-def parse_text(raw: Column, field: Field) -> Parsed:
-    return F.nullif(rstrip(raw), F.lit("")), F.lit(None).cast("string")
+def parse_text(text: Column, field: Field) -> Column:
+    return F.nullif(text, F.lit(""))
 
 
-def parse_long(raw: Column, field: Field) -> Parsed:
-    text = strip(raw)
-    value = text.try_cast("bigint")
-    return value, _bad(text, value, "Int64")
+def parse_long(text: Column, field: Field) -> Column:
+    return text.try_cast("bigint")
 
 
-def parse_double(raw: Column, field: Field) -> Parsed:
-    text = strip(raw)
-    value = F.when(text.rlike(FLOAT), text.try_cast("double"))
-    return value, _bad(text, value, "Float64")
+def parse_double(text: Column, field: Field) -> Column:
+    return F.when(text.rlike(FLOAT), text.try_cast("double"))
 
 
-def parse_date(raw: Column, field: Field) -> Parsed:
-    text, kind = strip(raw), field.parse or "yyyymmdd_to_date"
+def parse_date(text: Column, field: Field) -> Column:
+    kind = field.parse or "yyyymmdd_to_date"
     part = lambda n: F.regexp_extract(text, DATES[kind], n)
     day = F.lpad(F.trim(part(3)), 2, "0") if kind == "yyyymmdd_to_date" else F.lit("01")
     digits = F.concat(part(1), F.lpad(part(2), 2, "0"), day)
-    value = F.when(text.rlike(DATES[kind]) & ~text.startswith("0000"), F.try_to_date(digits, "yyyyMMdd"))
-    return value, _bad(text, value, "Date")
+    return F.when(text.rlike(DATES[kind]) & ~text.startswith("0000"), F.try_to_date(digits, "yyyyMMdd"))
 
 
-PARSERS: dict[str, Callable[[Column, Field], Parsed]] = {"Utf8": parse_text, "Int64": parse_long, "Float64": parse_double, "Date": parse_date}
+PARSERS: dict[str, Callable[[Column, Field], Column]] = {"Utf8": parse_text, "Int64": parse_long, "Float64": parse_double, "Date": parse_date}
 
 
-def parse(line: Column, field: Field) -> tuple[Column, Column, Column]:
-    """Value, message of a bad value, and whether a bad value became null instead."""
-    raw = F.substring(line, field.start, field.length)
-    value, bad = PARSERS[field.dtype](raw, field)
-    if field.coerce_invalid_to_null:
-        return value, F.lit(None).cast("string"), bad.isNotNull()
-    if not field.nullable:
-        bad = F.coalesce(bad, F.when(value.isNull(), F.lit("blank value in non-nullable column")))
-    return value, bad, F.lit(False)
+def value_of(text: Column, field: Field) -> Column:
+    return PARSERS[field.dtype](text, field)
+
+
+def is_bad(text: Column, value: Column, field: Field) -> Column:
+    """Whether characters are there but no value; text is never bad."""
+    return (text != "") & value.isNull() if field.dtype != "Utf8" else F.lit(False)
+
+
+def message_of(text: Column, value: Column, field: Field) -> Column | None:
+    """Message of a bad value; None where a field cannot be bad."""
+    if field.coerce_invalid_to_null or (field.dtype == "Utf8" and field.nullable):
+        return None
+    bad = F.when(is_bad(text, value, field), F.concat(F.lit("cannot parse '"), text, F.lit(f"' as {field.dtype}")))
+    return bad if field.nullable else F.coalesce(bad, F.when(value.isNull(), F.lit("blank value in non-nullable column")))
 
 
 def concat_to_date(sources: list[Column], made: Computed) -> Parsed:

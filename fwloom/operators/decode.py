@@ -5,8 +5,12 @@ tables). Output: these three plus
 
 * ``row`` - struct of the layout's output columns,
 * ``error`` - struct(column, message) of the first bad column in record order, null for good rows,
-* ``structural`` - message if the record has a wrong length, which fails the file,
-* ``coerced`` - names of columns whose bad value became null, up to the first bad column.
+* ``structural`` - message if the record has a wrong length or was not read, which fails the file,
+* ``coerced`` - names of columns whose bad value became null, up to the first bad column,
+* ``task`` - number of the task that decoded the line.
+
+A filter on these columns should go through ``select_decoded``: it names ``task``, which is not deterministic,
+so the optimizer does not copy the whole parse into the filter and compute it twice.
 
 Everything is one projection inside whole-stage code generation; there is no Python and no shuffle.
 """
@@ -19,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fwloom.functions import fields as X
-from fwloom.layouts import Computed, Field, Layout, check
+from fwloom.layouts import Layout, check
 
 ERROR = "struct<column:string,message:string>"
 
@@ -33,51 +37,54 @@ def decode(lines: DataFrame, layout: Layout) -> DataFrame:
     check(layout)
     line = F.col("raw_line")
     names = ["input_path", "line_no", "raw_line"]
-    parsed = {f.name: X.parse(line, f) for f in layout.fields}
-    # A struct in a step of its own, so each value is computed once however often it is used below.
-    step = lines.select(
-        *names,
-        length_message(line, layout).alias("structural"),
-        F.struct(*(v.alias(n) for n, (v, _, _) in parsed.items())).alias("value"),
-        F.struct(*(b.alias(n) for n, (_, b, _) in parsed.items())).alias("bad"),
-        F.struct(*(c.alias(n) for n, (_, _, c) in parsed.items())).alias("was_bad"),
-    )
-    made = {c.name: X.compute([F.col("value")[s] for s in c.sources], c) for c in layout.computed_columns}
-    messages = [(f.name, F.col("bad")[f.name]) for f in layout.fields if not f.coerce_invalid_to_null and (f.dtype != "Utf8" or not f.nullable)]
-    messages += [(n, b) for n, (_, b) in made.items()]
-    error = F.coalesce(*(F.when(m.isNotNull(), F.struct(F.lit(n).alias("column"), m.alias("message"))) for n, m in messages), F.lit(None).cast(ERROR))
-    error = F.when(F.col("structural").isNull(), error)
-    value = lambda c: (made[c.name][0] if isinstance(c, Computed) else F.col("value")[c.name]).alias(c.name)
-    return step.select(*names, F.struct(*map(value, layout.outputs)).alias("row"), error.alias("error"), "structural", _coerced(layout, dict(messages)).alias("coerced"))
-
-
-def _coerced(layout: Layout, messages: dict[str, Column]) -> Column:
-    marks, clean = [], F.col("structural").isNull()
-    for f in layout.fields:
+    fields = layout.fields
+    text, value = {f.name: f"__text{i}" for i, f in enumerate(fields)}, {f.name: f"__value{i}" for i, f in enumerate(fields)}
+    read_error = [F.col("read_error")] if "read_error" in lines.columns else []
+    # Plain columns step by step: the optimizer keeps apart what is used more than once, so nothing is computed twice.
+    step = lines.select(*names, F.coalesce(*read_error, length_message(line, layout)).alias("structural"), *(X.text_of(line, f).alias(text[f.name]) for f in fields))
+    step = step.select("*", *(X.value_of(F.col(text[f.name]), f).alias(value[f.name]) for f in fields))
+    messages: dict[str, Column] = {}
+    for f in fields:
+        message = X.message_of(F.col(text[f.name]), F.col(value[f.name]), f)
+        if message is not None:
+            messages[f.name] = message.alias(f"__bad{len(messages)}")
+    step = step.select("*", *messages.values())
+    messages = {n: F.col(f"__bad{i}") for i, n in enumerate(messages)}
+    for i, c in enumerate(layout.computed_columns):
+        made, message = X.compute([F.col(value[s]) for s in c.sources], c)
+        value[c.name] = f"__computed{i}"
+        step = step.select("*", made.alias(value[c.name]), message.alias(f"__message{i}"))
+        messages[c.name] = F.col(f"__message{i}")
+    first = F.coalesce(*(F.when(m.isNotNull(), F.struct(F.lit(n).alias("column"), m.alias("message"))) for n, m in messages.items()), F.lit(None).cast(ERROR))
+    error = F.when(F.col("structural").isNull(), first)
+    coerced, clean = [], F.col("structural").isNull()
+    for f in fields:
         if f.coerce_invalid_to_null:
-            marks.append(F.when(clean & F.col("was_bad")[f.name], F.lit(f.name)))
+            coerced.append(F.when(clean & X.is_bad(F.col(text[f.name]), F.col(value[f.name]), f), F.lit(f.name)))
         elif f.name in messages:
             clean = clean & messages[f.name].isNull()
-    return F.array_compact(F.array(*marks)) if marks else F.lit(None).cast("array<string>")
+    names_of = F.array_compact(F.array(*coerced)) if coerced else F.lit(None).cast("array<string>")
+    row = F.struct(*(F.col(value[c.name]).alias(c.name) for c in layout.outputs))
+    return step.select(*names, row.alias("row"), error.alias("error"), "structural", names_of.alias("coerced"), F.spark_partition_id().alias("task"))
+
+
+def select_decoded(decoded: DataFrame, condition: Column) -> DataFrame:
+    """Rows of decoded lines that meet ``condition``."""
+    return decoded.where(condition & (F.col("task") >= 0))
 
 
 def good_rows(decoded: DataFrame, layout: Layout) -> DataFrame:
     """Output columns of rows without errors; without validation where no column can fail."""
-    return decoded.where(F.col("structural").isNull() & F.col("error").isNull()).select("row.*")
+    return select_decoded(decoded, F.col("structural").isNull() & F.col("error").isNull()).select("row.*")
 
 
 def project(lines: DataFrame, layout: Layout, columns: list[str]) -> DataFrame:
     """Some output columns without validation: only their slices are parsed, bad values are null."""
-    by_name = {c.name: c for c in layout.outputs}
-    fields = {f.name: f for f in layout.fields}
-
-    def one(name: str) -> Column:
-        c = by_name[name]
-        if isinstance(c, Field):
-            return X.parse(F.col("raw_line"), c)[0].alias(name)
-        return X.compute([X.parse(F.col("raw_line"), fields[s])[0] for s in c.sources], c)[0].alias(name)
-
-    return lines.select(*map(one, columns))
+    made = {c.name: c for c in layout.computed_columns}
+    needed = [f for f in layout.fields if f.name in columns or any(f.name in made[c].sources for c in columns if c in made)]
+    step = lines.select(*(X.text_of(F.col("raw_line"), f).alias(f"__text{i}") for i, f in enumerate(needed)))
+    step = step.select(*(X.value_of(F.col(f"__text{i}"), f).alias(f.name) for i, f in enumerate(needed)))
+    return step.select(*(X.compute([F.col(s) for s in made[c].sources], made[c])[0].alias(c) if c in made else F.col(c) for c in columns))
 
 
 def render(df: DataFrame, layout: Layout) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Order of preference among files of one month: no flag, N, C, anything else.
-FLAG_RANK = F.when(F.col("flag").isNull(), 0).when(F.col("flag") == "N", 1).when(F.col("flag") == "C", 2).otherwise(3)
+FLAG_RANK = "CASE WHEN flag IS NULL THEN 0 WHEN flag = 'N' THEN 1 WHEN flag = 'C' THEN 2 ELSE 3 END"
 
 
 class DiscoveryError(ValueError):
@@ -63,7 +63,7 @@ def first_match(matched: DataFrame) -> DataFrame:
 
 def prefer_flag(found: DataFrame) -> DataFrame:
     """One file for each trade type and month."""
-    order = Window.partitionBy("trade_type", "year", "month").orderBy(FLAG_RANK, "path")
+    order = Window.partitionBy("trade_type", "year", "month").orderBy(F.expr(FLAG_RANK), "path")
     return found.withColumn("n", F.row_number().over(order)).where("n = 1").drop("n")
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fwloom.operators.decode import select_decoded
+
 
 def routing_reject(routing: Column, year: Column, month: Column, name: str) -> Column:
     """Message for rows that belong to no month of a year-to-date snapshot; null for rows that do."""
@@ -24,8 +26,8 @@ def issues(decoded: DataFrame, routing: str, year: Column, month: Column) -> Dat
     reject = F.when(F.col("structural").isNull() & F.col("error").isNull(), routing_reject(F.col("row")[routing], year, month, routing))
     message = F.coalesce("structural", F.col("error")["message"], reject)
     column = F.when(F.col("structural").isNotNull(), F.lit(None).cast("string")).otherwise(F.coalesce(F.col("error")["column"], F.lit(routing)))
-    found = decoded.select("input_path", "line_no", column.alias("column"), message.alias("message"), "raw_line", F.col("structural").isNotNull().alias("structural"), F.col("error").isNotNull().alias("row_error"))
-    return found.where(F.col("message").isNotNull())
+    found = decoded.select("input_path", "line_no", column.alias("column"), message.alias("message"), "raw_line", F.col("structural").isNotNull().alias("structural"), F.col("error").isNotNull().alias("row_error"), "task")
+    return select_decoded(found, F.col("message").isNotNull()).drop("task")
 
 
 def verdicts(found: DataFrame, max_skip_rate: float = 1.0, max_issues: int = 0) -> DataFrame:

@@ -141,7 +141,7 @@ class FwfReader(DataSourceReader):
             yield from read_file(partition.path, self.encoding, self.batch_rows, self.max_lines)
 
 
-class FwfStreamReader(DataSourceStreamReader, FwfReader):
+class FwfStreamReader(FwfReader, DataSourceStreamReader):
     """Offsets are the age and name of the youngest file seen."""
 
     def _aged(self) -> list[tuple[int, str]]:

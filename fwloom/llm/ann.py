@@ -5,8 +5,8 @@ quantisation, a byte for each sub-vector. A query probes its best lists, adds up
 (exact query part against coded part), and the best ``RERANK`` candidates are scored again on the original
 vectors in double precision. Nearness is the inner product.
 
-Centroids and codebooks are fitted on at most ``SAMPLE`` vectors in the order of a hash of their id; every
-row is indexed. Equal vectors share one index entry with all its ids in the posting table, so a vector that a
+Centroids and codebooks are fitted on at most ``SAMPLE`` vectors, chosen by a hash of their id; every row is
+indexed. Equal vectors share one index entry with all its ids in the posting table, so a vector that a
 third of all rows hold costs no more than any other; of its ids the smallest ``K + 1`` can appear in results.
 Lists are cut into blocks of ``INDEX_BLOCK`` codes, the queries of a list into blocks of ``QUERY_BLOCK``; a
 task holds one block of each. Only lists' sizes and the model reach the driver.
@@ -108,7 +108,8 @@ def search(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY) -> DataFram
     schema = "query_id long, rank int, vec_id long, score double"
     if total == 0:
         return spark.createDataFrame([], schema)
-    sample = np.array([r["v"] for r in entries.orderBy(F.xxhash64("entry"), "entry").limit(SAMPLE).collect()])
+    share = F.pmod(F.xxhash64("entry"), F.lit(total)) < SAMPLE
+    sample = np.array([r["v"] for r in entries.where(share).orderBy(F.xxhash64("entry"), "entry").limit(SAMPLE).collect()] or [entries.first()["v"]])
     lists = max(1, min(MAX_LISTS, int(math.sqrt(total)), len(sample)))
     state = spark.sparkContext.broadcast(Model(sample, lists))
     probes = max(1, math.ceil(lists * PROBE_SHARE))

@@ -426,8 +426,13 @@ def kept_bytes(data: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def common_anchors(texts: DataFrame) -> np.ndarray:
-    """Hashes of anchors in many documents of a bounded sample, sorted; at most a few for each sampled document."""
-    sample = texts.select("d", "s", "text", F.xxhash64("d", "s").alias("o")).orderBy("o").limit(SAMPLE_DOCS).drop("o")
+    """Hashes of anchors in many documents of a sample, sorted.
+
+    The sample is about ``SAMPLE_DOCS`` documents by a hash of their id, whatever the size of the table; an
+    anchor counts from a fixed share of that on, so there are at most a few for each sampled document.
+    """
+    every = max(1, texts.count() // SAMPLE_DOCS)
+    sample = texts.where(F.pmod(F.xxhash64("d", "s"), F.lit(every)) == 0).select("d", "s", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

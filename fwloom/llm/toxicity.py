@@ -198,7 +198,8 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """text and toxic of the labelled sample; the ids number ``TRAIN_ROWS`` at most, so the join sends them to every task."""
     allowed = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("labelled")).agg(F.max("toxic").cast("int").alias("toxic"))
     allowed = allowed.where(F.crc32(F.col("labelled").cast("string").cast("binary")) % 3 != 1)
-    sample = allowed.orderBy(F.xxhash64("labelled"), "labelled").limit(TRAIN_ROWS)
+    share = F.pmod(F.xxhash64("labelled"), F.lit(max(1, allowed.count()))) < TRAIN_ROWS
+    sample = allowed.where(share).orderBy(F.xxhash64("labelled"), "labelled").limit(TRAIN_ROWS)
     ids = docs.sparkSession.createDataFrame([tuple(r) for r in sample.collect()], "labelled long, toxic int")
     return docs.join(F.broadcast(ids), F.col("doc_id").cast("long") == F.col("labelled")).select(F.col("text").cast("string"), "toxic")
 

@@ -168,8 +168,16 @@ def features_of(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in PREFIXES if len(word) > n)]
 
 
+def scaled(total: float, top: float, density: float) -> tuple[float, float, float]:
+    """Evidence as the logistic curve takes it."""
+    return math.log1p(total), top, math.log1p(20 * density)
+
+
 class Scorer(dict):
-    """Evidence of a text: sum of log-odds over distinct tokens, and the largest. A mapping of known tokens to log-odds."""
+    """Evidence of a text: sum of log-odds over distinct tokens, the largest, and the sum for each token.
+
+    A mapping of known tokens to log-odds.
+    """
 
     def __init__(self, counts: np.ndarray, weights: dict[str, float], curve: tuple[float, ...] = ()):
         self.counts, self.weights, self.curve = counts, weights, curve
@@ -182,16 +190,17 @@ class Scorer(dict):
         value = self[token] = max((get(f, 0.0) for w in self.channel.readings(token) for f in features_of(w)), default=0.0)
         return value
 
-    def evidence(self, text: str) -> tuple[float, float]:
-        hits = [w for w in map(self.__getitem__, tokens_of(text)) if w]
-        return sum(hits), max(hits, default=0.0)
+    def evidence(self, text: str) -> tuple[float, float, float]:
+        tokens = tokens_of(text)
+        hits = [w for w in map(self.__getitem__, tokens) if w]
+        return sum(hits), max(hits, default=0.0), sum(hits) / max(1, len(tokens))
 
     def score(self, text: str) -> float:
         if len(self.curve) == 1:
             return self.curve[0]
-        total, top = self.evidence(text)
-        bias, a, b = self.curve
-        return 1 / (1 + math.exp(-max(-500.0, min(500.0, bias + a * math.log1p(total) + b * top))))
+        bias, *slopes = self.curve
+        logit = bias + sum(a * x for a, x in zip(slopes, scaled(*self.evidence(text))))
+        return 1 / (1 + math.exp(-max(-500.0, min(500.0, logit))))
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -242,7 +251,7 @@ def feature_weights(rows: DataFrame, counts: np.ndarray) -> dict[str, float]:
 def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
     """Logistic regression with a small ridge, by Newton steps."""
     x = np.column_stack([np.ones(len(x)), x])
-    ridge, beta = np.array([1e-3, 0.05, 0.05]), np.zeros(3)
+    ridge, beta = np.array([1e-3, 0.05, 0.05, 0.05]), np.zeros(4)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), x.T @ (y - p) - ridge * beta)
@@ -262,13 +271,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
         scorer = Scorer(counts, weights)
         for batch in batches:
             found = [scorer.evidence(t or "") for t in batch.column(0).to_pylist()]
-            yield pa.record_batch([pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.float64()), batch.column(1)], ["total", "top", "toxic"])
+            yield pa.record_batch([pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.float64()), batch.column(1)], ["total", "top", "density", "toxic"])
 
-    seen = rows.mapInArrow(run, "total double, top double, toxic int").collect()  # the labelled sample
+    seen = rows.mapInArrow(run, "total double, top double, density double, toxic int").collect()  # the labelled sample
     y = np.array([float(r["toxic"] == 1) for r in seen])
     if not len(y) or y.min() == y.max():
         return Scorer(counts, weights, (float(y.mean()) if len(y) else 0.0,))
-    return Scorer(counts, weights, fit_curve(np.array([(math.log1p(r["total"]), r["top"]) for r in seen]), y))
+    return Scorer(counts, weights, fit_curve(np.array([scaled(r["total"], r["top"], r["density"]) for r in seen]), y))
 
 
 def score_texts(docs: DataFrame, model: Scorer) -> DataFrame:

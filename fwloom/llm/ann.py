@@ -1,15 +1,18 @@
 """Operator 5: approximate nearest neighbours by an inverted file with product-quantised residuals.
 
 Coarse centroids part the vectors into lists; what is left after the centroid is coded by product
-quantisation, a byte for each sub-vector. A query probes its best lists, adds up asymmetric distance tables
-(exact query part against coded part), and the best ``RERANK`` candidates are scored again on the original
-vectors in double precision. Nearness is the inner product.
+quantisation, a byte for each sub-vector. A query probes its best lists and adds up asymmetric distance tables
+(exact query part against coded part). The stored length of what the codes leave out bounds the error of that sum,
+so every candidate that may be among the nearest of its block is scored again on the original vectors in double
+precision: nothing in a probed list is lost to the quantisation. A query whose best lists hold too few entries
+probes further ones. Nearness is the inner product.
 
 Centroids and codebooks are fitted on at most ``SAMPLE`` vectors, chosen by a hash of their id; every row is
 indexed. Equal vectors share one index entry with all its ids in the posting table, so a vector that a
 third of all rows hold costs no more than any other; of its ids the smallest ``K + 1`` can appear in results.
-Lists are cut into blocks of ``INDEX_BLOCK`` codes, the queries of a list into blocks of ``QUERY_BLOCK``; a
-task holds one block of each. Only lists' sizes and the model reach the driver.
+Lists are cut into pieces of about ``INDEX_BLOCK`` entries and small lists are put together to blocks of that size
+(fewer entries if vectors are long), the queries into blocks of ``QUERY_BLOCK``; a task holds one block of each and
+gives the ``K + 1`` best for each query. Only lists' sizes and the model reach the driver.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no part, nor those
 of another dimension than the commonest (the smaller of two as common); a row with a null vec_id takes no
@@ -31,9 +34,13 @@ from fwloom.llm.common import materialize, table
 K, QUERY_EVERY = 20, 20
 SAMPLE, ROUNDS, SUB, CODES = 20_000, 12, 4, 256
 MAX_LISTS = 4096
-#: Share of the lists that a query probes, and candidates scored exactly.
-PROBE_SHARE, RERANK = 0.8, 240
+#: Share of the lists that a query probes.
+PROBE_SHARE = 0.8
 INDEX_BLOCK, QUERY_BLOCK = 1 << 15, 1 << 10
+#: Numbers in the vectors of an index block.
+BLOCK_NUMBERS = INDEX_BLOCK * 64
+#: Rounding of sums, as a share of the lengths of both vectors.
+ROUNDING = 1e-9
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
@@ -72,18 +79,69 @@ class Model:
         m = -(-x.shape[1] // SUB)
         return np.pad(x, ((0, 0), (0, m * SUB - x.shape[1]))).reshape(len(x), m, SUB)
 
-    def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Lists, codes, and the lengths of what the codes leave out."""
         lists = nearest(x, self.centers)
         rest = self.parts(x - self.centers[lists])
-        return lists, np.stack([nearest(rest[:, m], self.books[m]) for m in range(rest.shape[1])], 1).astype(np.uint8)
+        codes = np.stack([nearest(rest[:, m], self.books[m]) for m in range(rest.shape[1])], 1).astype(np.uint8)
+        lost = rest - self.books[np.arange(rest.shape[1]), codes]
+        return lists, codes, np.sqrt((lost * lost).sum((1, 2)))
 
     def tables(self, q: np.ndarray) -> np.ndarray:
         """Inner products of query sub-vectors with all codes."""
         return np.einsum("qms,mcs->qmc", self.parts(q), self.books)
 
 
-def matrix(column: pa.Array) -> np.ndarray:
-    return np.array(column.to_pylist(), dtype=np.float64)
+    def probed(self, q: np.ndarray, sizes: np.ndarray, probes: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """Inner products of queries with centroids, and which lists they probe: the best ``probes``, and further
+        ones while those hold fewer than ``least`` entries."""
+        base = q @ self.centers.T
+        order = np.argsort(-base, axis=1, kind="stable")
+        before = np.cumsum(sizes[order], axis=1) - sizes[order]
+        chosen = np.zeros(base.shape, bool)
+        np.put_along_axis(chosen, order, (np.arange(base.shape[1]) < probes) | (before < least), 1)
+        return base, chosen
+
+
+def best_of_block(model: Model, q: np.ndarray, base: np.ndarray, chosen: np.ndarray, entry: np.ndarray, own: np.ndarray, code: np.ndarray, lost: np.ndarray, x: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query number, entry and exact score of the ``keep`` best entries of a block for every query, ties to the smaller entry.
+
+    The best by codes are scored exactly; the last of their scores is a floor under the true one, and whatever
+    may reach it by its codes and ``lost`` is scored too.
+    """
+    tables, length = model.tables(q), np.sqrt((q * q).sum(1))
+    near = base[:, own]
+    for m in range(code.shape[1]):
+        near += tables[:, m, :][:, code[:, m]]
+    near[~chosen[:, own]] = -np.inf
+    slack = ROUNDING * length * np.sqrt((x * x).sum(1)).max()
+    head = min(keep, len(entry))
+    best = np.argpartition(-near, head - 1, axis=1)[:, :head]
+    first = np.einsum("qd,qkd->qk", q, x[best])
+    first[np.isneginf(np.take_along_axis(near, best, 1))] = -np.inf
+    floor = first.min(1) - slack if head == keep else np.full(len(q), -np.inf)
+    may = ~(near + length[:, None] * lost < floor[:, None]) & chosen[:, own]
+    columns = np.flatnonzero(may.any(0))
+    exact = np.where(may[:, columns], q @ x[columns].T, -np.inf)
+    if len(columns) > keep:
+        edge = np.partition(exact, len(columns) - keep, axis=1)[:, len(columns) - keep]
+        may[:, columns] &= ~(exact < (edge - slack)[:, None])
+    at, column = np.nonzero(may)
+    # The order of the sum decides ties, so it is the same for every pair.
+    score = np.zeros(len(at))
+    for d in range(q.shape[1]):
+        score += q[at, d] * x[column, d]
+    order = np.lexsort((entry[column], -score, at))
+    at, column, score = at[order], column[order], score[order]
+    place = np.arange(len(at)) - np.searchsorted(at, at)
+    return at[place < keep], entry[column[place < keep]], score[place < keep]
+
+
+def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Vectors of one dimension as rows."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(column), -1)
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -96,6 +154,22 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.where(F.size("v") == (size["n"] if size else 0))
 
 
+def blocks_of(sizes: dict[int, int], most: int) -> tuple[list[tuple[int, list[int]]], int]:
+    """The blocks over which the entries of each list are dealt, and the number of blocks."""
+    out, block, filled = [], 0, 0
+    for name in sorted(sizes):
+        pieces = math.ceil(sizes[name] / most)
+        places = []
+        for _ in range(pieces):
+            size = sizes[name] / pieces
+            if filled and filled + size > most:
+                block, filled = block + 1, 0
+            places.append(block)
+            filled += size
+        out.append((name, places))
+    return out, block + 1
+
+
 def search(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY) -> DataFrame:
     """query_id, rank, vec_id, score of the ``k`` nearest of every query: rows whose vec_id is divisible by ``every``."""
     spark = vectors.sparkSession
@@ -117,54 +191,36 @@ def search(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY) -> DataFram
     def code(batches):
         for batch in batches:
             if len(batch):
-                own, codes = state.value.encode(matrix(batch.column(1)))
-                yield pa.record_batch([batch.column(0), pa.array(own, pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary())], ["entry", "list", "codes"])
-
-    def probe(batches):
-        for batch in batches:
-            if len(batch):
-                q = matrix(batch.column(1))
-                score = q @ state.value.centers.T
-                best = np.argsort(-score, axis=1, kind="stable")[:, :probes]
-                at = np.repeat(np.arange(len(q)), probes)
-                yield pa.record_batch([batch.column(0).take(pa.array(at)), pa.array(best.ravel(), pa.int32()), pa.array(np.take_along_axis(score, best, 1).ravel()), batch.column(1).take(pa.array(at))], ["q", "list", "base", "v"])
+                own, codes, lost = state.value.encode(matrix(batch.column(1)))
+                yield pa.record_batch([batch.column(0), batch.column(1), pa.array(own, pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(lost)], ["entry", "v", "list", "codes", "lost"])
 
-    index = materialize(entries.select("entry", "v").mapInArrow(code, "entry long, list int, codes binary"))
+    index = materialize(entries.select("entry", "v").mapInArrow(code, "entry long, v array<double>, list int, codes binary, lost double"))
     queries = materialize(asked.select("q").distinct().join(entries, F.col("q") == F.col("entry")).select("q", "v"))
-    probed = materialize(queries.mapInArrow(probe, "q long, list int, base double, v array<double>"))
     # A row for each list at most.
-    sizes = index.groupBy("list").agg(F.ceil(F.count("*") / INDEX_BLOCK).cast("int").alias("i_blocks")).join(probed.groupBy("list").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("q_blocks")), "list")
-    sizes = F.broadcast(materialize(sizes))
-    all_of = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    i_side = index.join(sizes, "list").select("list", F.pmod(F.xxhash64("entry"), F.col("i_blocks")).cast("int").alias("i"), all_of("q_blocks").alias("j"), "entry", "codes")
-    q_side = probed.join(sizes, "list").select("list", F.pmod(F.xxhash64("q"), F.col("q_blocks")).cast("int").alias("j"), all_of("i_blocks").alias("i"), "q", "base", "v")
+    counted = {r["list"]: r["n"] for r in index.groupBy("list").agg(F.count("*").alias("n")).collect()}
+    sizes = np.array([counted.get(n, 0) for n in range(len(state.value.centers))])
+    places, i_blocks = blocks_of(counted, max(1, min(INDEX_BLOCK, BLOCK_NUMBERS // sample.shape[1])))
+    q_blocks = max(1, math.ceil(queries.count() / QUERY_BLOCK))
+    places = F.broadcast(spark.createDataFrame(places, "list int, places array<int>"))
+    at = F.pmod(F.xxhash64("entry"), F.size("places")).cast("int")
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    i_side = index.join(places, "list").select(F.get("places", at).alias("i"), all_of(q_blocks).alias("j"), "entry", "list", "codes", "lost", "v")
+    q_side = queries.select(all_of(i_blocks).alias("i"), F.pmod(F.xxhash64("q"), F.lit(q_blocks)).cast("int").alias("j"), "q", "v")
 
     def scan(queries: pa.Table, codes: pa.Table) -> pa.Table:
-        out_q, out_e, out_s = [], [], []
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         if len(queries) and len(codes):
-            q, base, v = queries.column("q").to_numpy(), queries.column("base").to_numpy(), matrix(queries.column("v").combine_chunks())
-            entry = codes.column("entry").to_numpy()
+            model = state.value
+            q, v = queries.column("q").to_numpy(), matrix(queries.column("v"))
+            entry, own, lost, x = codes.column("entry").to_numpy(), codes.column("list").to_numpy(), codes.column("lost").to_numpy(), matrix(codes.column("v"))
             code = np.frombuffer(b"".join(codes.column("codes").to_pylist()), np.uint8).reshape(len(entry), -1)
-            keep = min(RERANK, len(entry))
             for s in range(0, len(q), 32):
                 part = slice(s, s + 32)
-                tables = state.value.tables(v[part])
-                score = np.repeat(base[part, None], len(entry), 1)
-                for m in range(code.shape[1]):
-                    score += tables[:, m, :][:, code[:, m]]
-                best = np.argpartition(-score, keep - 1, axis=1)[:, :keep]
-                out_q.append(np.repeat(q[part], keep))
-                out_e.append(entry[best].ravel())
-                out_s.append(np.take_along_axis(score, best, 1).ravel())
-        cat = lambda x, t: np.concatenate(x) if x else np.zeros(0, t)
-        return pa.table({"q": cat(out_q, np.int64), "entry": cat(out_e, np.int64), "near": cat(out_s, np.float64)})
-
-    place = ["list", "i", "j"]
-    rough = q_side.groupBy(*place).cogroup(i_side.groupBy(*place)).applyInArrow(scan, "q long, entry long, near double")
-    best = Window.partitionBy("q").orderBy(F.desc("near"), "entry")
-    rough = rough.withColumn("n", F.row_number().over(best)).where(F.col("n") <= RERANK).select("q", "entry")
-    product = F.aggregate(F.zip_with("qv", "v", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
-    exact = rough.join(queries.select("q", F.col("v").alias("qv")), "q").join(entries, "entry").select("q", "entry", product.alias("score"))
+                n, e, score = best_of_block(model, v[part], *model.probed(v[part], sizes, probes, k + 1), entry, own, code, lost, x, k + 1)
+                out.append((q[part][n], e, score))
+        return pa.table({name: np.concatenate(x) for name, x in zip(["q", "entry", "score"], zip(*out))})
+
+    exact = q_side.groupBy("i", "j").cogroup(i_side.groupBy("i", "j")).applyInArrow(scan, "q long, entry long, score double")
     best = Window.partitionBy("q").orderBy(F.desc("score"), "entry")
     top = exact.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).select("q", "entry", "score")
     own = asked.select(F.col("vec_id").alias("query_id"), "q").distinct()

@@ -167,6 +167,34 @@ def test_ann_recall_and_exact_scores(spark, sf_dir):
     assert hits / total >= 0.9
 
 
+@pytest.mark.parametrize("kind", ["clusters", "hot"])
+def test_ann_recall_where_vectors_crowd(spark, kind):
+    """Near copies, more of them than any list of candidates would hold."""
+    rng = np.random.default_rng(11)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    x = unit(rng.normal(size=(4000, 64)))
+    if kind == "clusters":
+        x = unit(np.repeat(x[:2], 2000, 0) + rng.normal(scale=0.02, size=(4000, 64)))
+    else:
+        x[::3] = unit(x[0] + rng.normal(scale=0.005, size=(len(x[::3]), 64)))
+    df = spark.createDataFrame([(n, v) for n, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got: dict = {}
+    for r in ann.search(df, every=60).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = 0
+    for i in range(0, 4000, 60):
+        score = x @ x[i]
+        score[i] = -np.inf
+        hits += len(got[i] & set(np.argsort(-score)[:20].tolist()))
+    assert len(got) == 67 and hits >= 0.9 * 20 * 67
+
+
+def test_ann_probes_until_lists_hold_enough():
+    model = ann.Model(np.eye(4), 4)
+    _, chosen = model.probed(np.array([[4.0, 3.0, 2.0, 1.0]]) @ model.centers, np.array([3, 3, 3, 30]), 1, 7)
+    assert chosen.tolist() == [[True, True, True, False]]
+
+
 def test_ann_odd_rows(spark):
     bad = [(1, None), (2, [0.0, 0.0]), (3, [1.0, float("nan")]), (4, [1.0, None]), (5, [1.0, 2.0, 3.0]), (None, [1.0, 0.0])]
     same = [(n, [1.0, 0.5]) for n in range(20, 100)]

@@ -42,14 +42,15 @@ LETTERS = "abcdefghijklmnopqrstuvwxyz"
 SIZE = len(LETTERS) + 1  # 0 is the edge of a word
 #: What a symbol may stand for.
 LOOKALIKE = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c", "¡": "i"}
+READABLE = frozenset(LETTERS).union(LOOKALIKE)
 SEPARATORS = ".-_*~^'`·"
 #: Channel log probabilities: a look-alike read as a letter, a dropped separator, a dropped or kept repeat.
 LOG_LOOK, LOG_DROP, LOG_REPEAT, LOG_KEEP = math.log(0.4), math.log(0.9), math.log(0.5), math.log(0.5)
 
-SUSPECT = re.compile(r"[0-9@$!|+€£(¡.\-_*~^'`·]|(.)\1\1")
+SUSPECT = re.compile(r"[0-9@$!|+€£(¡.\-_*~^'`·]|(.)\1")
 EDGE = re.compile(r"^[\W_]+|[\W_]+$")
-FIRST_SYMBOL = re.compile(r"[@$!|+€£(0-9][^\W\d_]")
-LAST_SYMBOL = re.compile(r"[^\W\d_][@$0-9]$")
+FIRST_SYMBOL = re.compile(r"[@$!|+€£(¡0-9]+[^\W\d_]")
+LAST_SYMBOL = re.compile(r"[^\W\d_][@$0-9]+$")
 
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
@@ -134,15 +135,14 @@ class Channel:
         found, shapes = {word}, set()
         if SUSPECT.search(word):
             shapes.add(word)
-        # A single symbol at the edge may be a letter of the word.
+        # Symbols at the edge may be letters of the word.
         if FIRST_SYMBOL.match(token):
             shapes.add(fold(re.sub(r"[\W_]+$", "", token)))
         if LAST_SYMBOL.search(token):
             shapes.add(fold(re.sub(r"^[\W_]+", "", token)))
         if shapes:
             for shape in shapes:
-                letters = sum(c.isalpha() for c in shape)
-                if 2 <= letters >= len(shape) - letters:  # a token of mostly symbols hides no word
+                if sum(c in READABLE for c in shape) >= 2:  # else the lattice yields no word
                     found.add(self.decode(shape))
             found |= {re.sub(r"(.)\1+", r"\1", x) for x in list(found) if re.search(r"(.)\1", x)}
             found |= {x for x in re.split(r"[^a-z]+", word) if len(x) > 3}

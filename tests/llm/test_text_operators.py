@@ -154,6 +154,19 @@ def test_toxic_readings():
     assert "idiot" in toxicity.tokens_of("you I d i O t there") or "iidiot" in toxicity.tokens_of("you I d i O t there")
 
 
+def channel_of(words):
+    codes = np.frombuffer(b"\0\0".join([words] * 30).translate(toxicity.FOLD_BYTES), np.uint8).astype(np.int32)
+    return np.bincount((codes[:-2] * toxicity.SIZE + codes[1:-1]) * toxicity.SIZE + codes[2:], minlength=toxicity.SIZE**3)
+
+
+def test_toxic_readings_of_heavy_disguises():
+    channel = toxicity.Channel(channel_of(b"stupid idiot clown worthless moron pathetic scum loser trash kill fuck ass the and of"))
+    hidden = {"1d10t": "idiot", "l053r": "loser", "k.1.l.l": "kill", "f--u--c--k": "fuck", "f-----u-----c-----k": "fuck", "stuupid": "stupid", "1d107": "idiot", "$$tupid": "stupid", "455": "ass"}
+    for token, word in hidden.items():
+        assert word in channel.readings(token), token
+    assert channel.readings("4") == {"4"}
+
+
 def test_toxicity_held_out(spark):
     """On rows never learnt from, toxic documents are found and clean ones left alone."""
     rows = toxicity.op4_toxicity(spark, "/root/testdata/sf0.01").collect()

@@ -3,7 +3,9 @@
 The channel: a writer hides a word by look-alike symbols, by separators between its letters, or by repeating
 letters. Every suspicious token becomes a lattice of letters (each symbol with what it may stand for, each
 separator and repeat with a way to drop it); Viterbi decoding under a character trigram model, counted over
-all documents, restores the likeliest word. Restored text is then scored.
+all documents, restores the likeliest word. Restored text is then scored. Words written as four or more single
+letters in a row, with or without separators, are read as one lattice whose hidden states include the edges between
+words; learnt words are also looked up at every letter of such a run. Both are linear in the run.
 
 The scorer is learnt from ``labels.toxic``: words and word beginnings that are significantly commoner in
 toxic texts carry log-odds, a document sums them over its distinct words, and a logistic curve turns that
@@ -38,6 +40,8 @@ from fwloom.llm.common import table
 TRAIN_ROWS, MAX_FEATURES, THRESHOLD = 12_000, 4000, 0.7
 PREFIXES = (4, 5, 6)
 MEMO_WORDS = 300_000
+#: Fewest letters of a spaced run and of a learnt word looked up in it, and most of a run that counts as one word.
+RUN_LETTERS, RUN_WORD = 4, 24
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 SIZE = len(LETTERS) + 1  # 0 is the edge of a word
 #: What a symbol may stand for.
@@ -107,9 +111,13 @@ class Channel:
 
     def decode(self, token: str) -> str:
         """The likeliest word behind a folded token."""
+        return "".join(self.words(token, False))
+
+    def words(self, run: str, spaced: bool = True) -> list[str]:
+        """The likeliest words behind folded letters; ``spaced`` lets words end at any letter."""
         log = self.log
         states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
-        for options in self.lattice(token):
+        for options in self.lattice(run):
             after: dict[tuple[int, int], tuple[float, tuple]] = {}
             for (a, b), (score, path) in states.items():
                 for letter, cost in options:
@@ -119,13 +127,17 @@ class Channel:
                         key, value, way = (a, b), score + cost, path
                     if key not in after or value > after[key][0]:
                         after[key] = (value, way)
+            if spaced:
+                for (a, b), (score, path) in list(after.items()):
+                    if b and ((b, 0) not in after or score + log[a][b][0] > after[b, 0][0]):
+                        after[b, 0] = (score + log[a][b][0], (0, path))
             states = after
-        _, path = max(((s + log[a][b][0], p) for (a, b), (s, p) in states.items()), key=lambda x: x[0])
+        _, path = max(((s + (log[a][b][0] if b else 0.0), p) for (a, b), (s, p) in states.items()), key=lambda x: x[0])
         word = []
         while path:
-            word.append(LETTERS[path[0] - 1])
+            word.append(LETTERS[path[0] - 1] if path[0] else " ")
             path = path[1]
-        return "".join(reversed(word))
+        return "".join(reversed(word)).split()
 
     def readings(self, token: str) -> set[str]:
         """Words to score for a token: as written, and as restored if it looks hidden."""
@@ -149,20 +161,29 @@ class Channel:
         return found
 
 
-def tokens_of(text: str) -> set[str]:
-    """Distinct tokens in lower case, and words written as four or more single letters in a row."""
-    tokens = text.lower().split()
-    found = set(tokens)
+def runs_of(tokens: list[str]) -> list[str]:
+    """Folded letters of words written as single letters in a row. Up to two separators may stand beside a letter."""
+    found: list[str] = []
     run: list[str] = []
-    at = -2
-    for i in [i for i, t in enumerate(tokens) if len(t) == 1]:
-        run = [*run, tokens[i]] if i == at + 1 else [tokens[i]]
-        at = i
-        if len(run) >= 4:
-            found.add("".join(run))
+    for t in [*(t if len(t) < 4 else "" for t in tokens), ""]:
+        c = t if len(t) == 1 and (t.isalnum() or t in LOOKALIKE) else EDGE.sub("", t)
+        if t and len(c) < 2:
+            run.append(c)
+            continue
+        if len(run) >= RUN_LETTERS:
+            letters = fold("".join(run))
+            if len(letters) >= RUN_LETTERS:
+                found.append(letters)
+        run = []
     return found
 
 
+def tokens_of(text: str) -> set[str]:
+    """Distinct tokens in lower case, and short runs of single letters as one word."""
+    tokens = text.lower().split()
+    return {*tokens, *(r for r in runs_of(tokens) if len(r) <= RUN_WORD)}
+
+
 def features_of(word: str) -> list[str]:
     """The word itself and its beginnings."""
     return [word, *(word[:n] + "*" for n in PREFIXES if len(word) > n)]
@@ -182,6 +203,9 @@ class Scorer(dict):
     def __init__(self, counts: np.ndarray, weights: dict[str, float], curve: tuple[float, ...] = ()):
         self.counts, self.weights, self.curve = counts, weights, curve
         self.channel = Channel(counts)
+        words = [w for w in weights if len(w) >= RUN_LETTERS and w.isalpha() and w.isascii()]
+        self.beginnings = {w[:n] for w in words for n in range(len(w) + 1)}
+        self.longest = 2 * max(map(len, words), default=0)
 
     def __missing__(self, token: str) -> float:
         if len(self) >= MEMO_WORDS:
@@ -190,8 +214,31 @@ class Scorer(dict):
         value = self[token] = max((get(f, 0.0) for w in self.channel.readings(token) for f in features_of(w)), default=0.0)
         return value
 
+    def learnt_in(self, run: str) -> set[str]:
+        """Learnt words at any place of a run of letters; more than two equal letters count as two."""
+        run = re.sub(r"(.)\1\1+", r"\1\1", run)
+        options = [[LETTERS[o - 1] for o, _ in at if o] for at in self.channel.lattice(run)]
+        found = set()
+        for start in range(len(run)):
+            states, last = {""}, ""
+            for c, letters in zip(run[start : start + self.longest], options[start : start + self.longest]):
+                after = {w + x for w in states for x in letters if w + x in self.beginnings}
+                if not letters or c == last:  # a dropped separator or repeat
+                    after |= states - {""}
+                if not after:
+                    break
+                found.update(w for w in after if len(w) >= RUN_LETTERS and w in self.weights)
+                states, last = after, c
+        return found
+
     def evidence(self, text: str) -> tuple[float, float, float]:
         tokens = tokens_of(text)
+        for run in runs_of(text.lower().split()):
+            tokens.update(self.channel.words(run))
+            learnt = self.learnt_in(run)
+            if learnt:  # they stand for the run
+                tokens.discard(run)
+                tokens |= learnt
         hits = [w for w in map(self.__getitem__, tokens) if w]
         return sum(hits), max(hits, default=0.0), sum(hits) / max(1, len(tokens))
 
@@ -226,7 +273,8 @@ def feature_weights(rows: DataFrame, counts: np.ndarray) -> dict[str, float]:
             found: dict[str, list[int]] = defaultdict(lambda: [0, 0])
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 own = set()
-                for t in tokens_of(text or ""):
+                text = text or ""
+                for t in tokens_of(text).union(*map(channel.words, runs_of(text.lower().split()))):
                     if t not in memo:
                         if len(memo) >= MEMO_WORDS:
                             memo.clear()

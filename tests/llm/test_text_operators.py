@@ -167,6 +167,18 @@ def test_toxic_readings_of_heavy_disguises():
     assert channel.readings("4") == {"4"}
 
 
+def test_toxic_words_at_any_place_of_a_spaced_run():
+    counts = channel_of(b"stupid idiot clown moron shut up kill the and of a you are")
+    scorer = toxicity.Scorer(counts, {"kill": 3.0, "idiot": 4.0, "stupid": 5.0})
+    hidden = {"a k i l l": 3.0, "s h u t u p i d i o t": 4.0, "i. d. i. o. t": 4.0, "you i - d - 1 - o - t": 4.0, "x s t u p i d i d i o t x": 9.0, "k i i l l": 3.0}
+    for text, total in hidden.items():
+        assert scorer.evidence(text)[0] == total, text
+    assert scorer.evidence("a k i d")[0] == 0
+    assert toxicity.Channel(counts).words("killmoron") == ["kill", "moron"]
+    long = "a " * 20_000
+    assert sum(map(len, toxicity.tokens_of(long))) < 100 and scorer.evidence(long)[0] == 0
+
+
 def test_toxicity_held_out(spark):
     """On rows never learnt from, toxic documents are found and clean ones left alone."""
     rows = toxicity.op4_toxicity(spark, "/root/testdata/sf0.01").collect()

@@ -165,23 +165,31 @@ def runs_of(tokens: list[str]) -> list[str]:
     """Folded letters of words written as single letters in a row. Up to two separators may stand beside a letter."""
     found: list[str] = []
     run: list[str] = []
-    for t in [*(t if len(t) < 4 else "" for t in tokens), ""]:
+    at = -2
+    for i in [*(i for i, t in enumerate(tokens) if len(t) == 1 or len(t) < 4 and not t.isalpha()), -1]:
+        t = tokens[i] if i >= 0 else ""
         c = t if len(t) == 1 and (t.isalnum() or t in LOOKALIKE) else EDGE.sub("", t)
-        if t and len(c) < 2:
-            run.append(c)
-            continue
-        if len(run) >= RUN_LETTERS:
+        single = t and len(c) < 2
+        if run and (not single or i != at + 1):
             letters = fold("".join(run))
             if len(letters) >= RUN_LETTERS:
                 found.append(letters)
-        run = []
+            run = []
+        if single:
+            run.append(c)
+            at = i
     return found
 
 
-def tokens_of(text: str) -> set[str]:
-    """Distinct tokens in lower case, and short runs of single letters as one word."""
+def tokens_and_runs(text: str) -> tuple[set[str], list[str]]:
+    """Distinct tokens in lower case with short runs of single letters as one word, and all such runs."""
     tokens = text.lower().split()
-    return {*tokens, *(r for r in runs_of(tokens) if len(r) <= RUN_WORD)}
+    runs = runs_of(tokens)
+    return {*tokens, *(r for r in runs if len(r) <= RUN_WORD)}, runs
+
+
+def tokens_of(text: str) -> set[str]:
+    return tokens_and_runs(text)[0]
 
 
 def features_of(word: str) -> list[str]:
@@ -232,8 +240,8 @@ class Scorer(dict):
         return found
 
     def evidence(self, text: str) -> tuple[float, float, float]:
-        tokens = tokens_of(text)
-        for run in runs_of(text.lower().split()):
+        tokens, runs = tokens_and_runs(text)
+        for run in runs:
             tokens.update(self.channel.words(run))
             learnt = self.learnt_in(run)
             if learnt:  # they stand for the run
@@ -273,8 +281,8 @@ def feature_weights(rows: DataFrame, counts: np.ndarray) -> dict[str, float]:
             found: dict[str, list[int]] = defaultdict(lambda: [0, 0])
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 own = set()
-                text = text or ""
-                for t in tokens_of(text).union(*map(channel.words, runs_of(text.lower().split()))):
+                tokens, runs = tokens_and_runs(text or "")
+                for t in tokens.union(*map(channel.words, runs)):
                     if t not in memo:
                         if len(memo) >= MEMO_WORDS:
                             memo.clear()

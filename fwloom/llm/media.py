@@ -5,22 +5,26 @@ members of archives (plain ZIP files with stored members, which any tool opens),
 task. ``media_archive`` is a data source for folders of such archives:
 
 * writing streams Arrow batches into an archive under a temporary name; the commit of the job renames the
-  archives of the tasks that won, so failed or repeated tasks leave nothing visible;
+  archives of the tasks that won, so failed or repeated tasks leave nothing visible; a task without rows
+  writes no archive, a task that fails deletes its own;
 * reading plans byte ranges over the archives from their sizes alone. A task reads the archive's directory,
   takes the members whose records start in its range, and streams them in Arrow batches of bounded bytes;
 * each member is read by its own offset and checked by its own checksum. A failed read opens the archive
-  anew and tries that member again, ``ATTEMPTS`` times, without a second read of its neighbours.
+  anew and tries that member again, ``ATTEMPTS`` times, without a second read of its neighbours;
+* an archive whose directory cannot be read fails with an error that names the archive.
 
 Archives lie in the shared folder, reached through pyarrow's file systems (file, hdfs, s3, gs).
 
 Defined results: a null text counts as empty; empty texts have one row of padding; the payload ends at the
 last byte that is not 255, a byte UTF-8 never has; a null doc_id stays null; repeated rows repeat; extra
-columns are dropped; an empty table gives an empty result.
+columns are dropped; an empty table writes no archive and gives an empty result, as does a folder that is
+missing or empty.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 import struct
 import time
@@ -102,7 +106,9 @@ def open_fs(path: str) -> tuple[fs.FileSystem, str]:
 
 
 class ArchiveCommit(WriterCommitMessage):
-    def __init__(self, temporary: str, final: str):
+    """Names of the archive a task wrote; None for a task without rows."""
+
+    def __init__(self, temporary: str | None, final: str | None):
         self.temporary, self.final = temporary, final
 
 
@@ -111,29 +117,56 @@ class ArchiveWriter(DataSourceArrowWriter):
         self.path = path
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> ArchiveCommit:
+        batches = (b for b in iterator if len(b))
+        first = next(batches, None)
+        if first is None:
+            return ArchiveCommit(None, None)
         files, root = open_fs(self.path)
         files.create_dir(root, recursive=True)
         name = uuid.uuid4().hex
         temporary, final = f"{root}/.{name}.tmp", f"{root}/{name}.zip"
-        with files.open_output_stream(temporary) as sink, zipfile.ZipFile(sink, "w", zipfile.ZIP_STORED, allowZip64=True) as archive:
-            nth = 0
-            for batch in iterator:
-                for doc, media in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    archive.writestr(zipfile.ZipInfo(f"{nth}/{'null' if doc is None else doc}.png", EPOCH), media)
-                    nth += 1
+        try:
+            with files.open_output_stream(temporary) as sink, zipfile.ZipFile(sink, "w", zipfile.ZIP_STORED, allowZip64=True) as archive:
+                nth = 0
+                for batch in itertools.chain([first], batches):
+                    for doc, media in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                        archive.writestr(zipfile.ZipInfo(f"{nth}/{'null' if doc is None else doc}.png", EPOCH), media)
+                        nth += 1
+        except BaseException:
+            remove(files, temporary)
+            raise
         return ArchiveCommit(temporary, final)
 
     def commit(self, messages: list) -> None:
         files, _ = open_fs(self.path)
         for m in messages:
-            if m:
+            if m and m.temporary:
                 files.move(m.temporary, m.final)
 
     def abort(self, messages: list) -> None:
         files, _ = open_fs(self.path)
         for m in messages:
-            if m:
-                files.delete_file(m.temporary)
+            if m and m.temporary:
+                remove(files, m.temporary)
+
+
+def remove(files: fs.FileSystem, path: str) -> None:
+    """Deletes a file that may never have come to be."""
+    if files.get_file_info(path).type != fs.FileType.NotFound:
+        files.delete_file(path)
+
+
+def members_of(files: fs.FileSystem, archive: str) -> list[zipfile.ZipInfo]:
+    """An archive's directory."""
+    for attempt in range(ATTEMPTS):
+        try:
+            with files.open_input_file(archive) as f, zipfile.ZipFile(f) as opened:
+                return opened.infolist()
+        except (zipfile.BadZipFile, OSError, ValueError) as e:
+            if attempt == ATTEMPTS - 1:
+                raise OSError(f"archive {archive}: its directory cannot be read: {e}") from e
+            time.sleep(0.05 * 2**attempt)
+    raise AssertionError("unreachable")
 
 
 class Range(InputPartition):
@@ -180,8 +213,7 @@ class ArchiveReader(DataSourceReader):
         if not partition.archive:
             return
         files, _ = open_fs(self.path)
-        with files.open_input_file(partition.archive) as f, zipfile.ZipFile(f) as archive:
-            members = [m for m in archive.infolist() if partition.start <= m.header_offset < partition.end]
+        members = [m for m in members_of(files, partition.archive) if partition.start <= m.header_offset < partition.end]
         opened: list = []
         docs, media, size = [], [], 0
         for m in members:

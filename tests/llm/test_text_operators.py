@@ -236,6 +236,39 @@ def test_media_retries(tmp_path, monkeypatch):
         media.read_member(files, str(tmp_path / "a.zip"), opened, info[0])
 
 
+@pytest.mark.parametrize("rows,parts", [(0, 1), (0, 3), (1, 3), (5, 40)])
+def test_media_with_empty_tasks(spark, rows, parts):
+    """Tasks without rows leave no archive; an empty table reads back as an empty one."""
+    from fwloom.llm.common import shared_dir
+
+    path = shared_dir(spark)
+    docs = spark.createDataFrame([(n, f"text {n}") for n in range(rows)], "doc_id long, text string").repartition(parts)
+    media.write_archives(docs, path)
+    assert sorted(r["doc_id"] for r in media.features(media.read_archives(spark, path)).collect()) == list(range(rows))
+    files, root = media.open_fs(path)
+    found = files.get_file_info(media.fs.FileSelector(root, allow_not_found=True))
+    assert len(found) <= rows and all(f.path.endswith(".zip") for f in found)
+
+
+def test_media_damaged_directory(tmp_path):
+    (tmp_path / "a.zip").write_bytes(b"PK\x05\x06")
+    files, root = media.open_fs(str(tmp_path))
+    with pytest.raises(OSError, match="a.zip: its directory"):
+        media.members_of(files, f"{root}/a.zip")
+
+
+def test_media_failed_task_leaves_nothing(tmp_path):
+    import pyarrow as pa
+
+    def batches():
+        yield pa.record_batch([pa.array([1]), pa.array([b"x"])], ["doc_id", "media"])
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        media.ArchiveWriter(str(tmp_path)).write(batches())
+    assert list(tmp_path.iterdir()) == []
+
+
 def test_sharding(spark, sf_dir):
     texts = {r["doc_id"]: (r["text"] or "").encode() for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     rows = sharding.op10_sharding(spark, sf_dir).collect()

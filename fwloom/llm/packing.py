@@ -2,10 +2,15 @@
 
 The lengths of all pieces form a histogram of at most ``capacity`` numbers, however large the corpus. Over it
 stands the configuration linear program: a variable for each multiset of lengths that fits a sequence, and a
-covering row for each length. Multiplicative weights solve it: a length's weight falls as its demand gets
-covered, and knapsack dynamic programming prices the lengths and gives the best fill of every capacity, so one
-pricing yields a column for each length. The fractional solution is rounded down; the rest is packed by the
-same pricing in whole steps, at last by best fit.
+covering row for each length, over the whole demand. Multiplicative weights solve it: a length's weight, which
+starts at its size, falls with the share of its demand that is covered and rises where a phase left it for the
+end. Knapsack dynamic programming prices the lengths by these weights and gives the best fill of every capacity,
+so one pricing yields a column for each length. Phases go on until the fractional solution covers all demand.
+It is rounded down; what is left is packed by the same pricing in whole steps.
+
+Every pricing proves a lower bound by duality: weights divided by the value of the best configuration are
+feasible prices, so no packing uses fewer sequences than they give for the demand. ``solve`` reports the best of
+these bounds and of the step prices that hold for lengths over half a sequence.
 
 Only the histogram reaches the driver. Pieces find their place by rank among the pieces of their length: each
 task numbers its own pieces while it makes them, and sums over tasks give the rank in the whole table. No
@@ -17,24 +22,32 @@ each; doc_id may be null; extra columns of the input are dropped; an empty table
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fwloom.llm import bpe
+from fwloom.llm import bpe, merges
 from fwloom.llm.common import materialize, table
 
 CAPACITY = 2048
 SEPARATOR = 0
-#: Passes of the fractional solver; in each, a column takes this share of what it could cover.
-PHASES, SHARE = 8, 0.5
+#: Phases of the fractional solver before the last; in each, a column takes this share of what it could cover.
+PHASES, SHARE = 10, 0.5
 #: How strongly covered demand lowers a weight.
 ETA = 1.0
+#: Most covers, and how far a price moves towards what its length took in the last one.
+ROUNDS, PULL = 6, 0.5
+#: Sequences over the proven bound, as a share of it, at which no further cover is tried.
+GAP = 0.0005
+#: Demand below this counts as covered.
+TINY = 1e-6
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task long, nth long"
 PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -54,17 +67,20 @@ def knapsack(lengths: np.ndarray, values: np.ndarray, capacity: int) -> tuple[np
     return best, first
 
 
-def column(seed: int, left: np.ndarray, first: np.ndarray, capacity: int) -> Counter:
-    """The priced configuration that holds ``seed``; where a length runs out, the longest that fits is taken."""
+def column(seed: int, left: np.ndarray, first: np.ndarray, capacity: int, least: float) -> Counter:
+    """The priced configuration that holds ``seed``; where a length runs out, the longest that fits is taken.
+
+    In whole steps (``least`` is 1) a length can be taken as often as it is left.
+    """
     config, room = Counter([seed]), capacity - seed
     while room > 0:
         take = int(first[room])
         if take == 0:
             room -= 1
             continue
-        if left[take] - config[take] < 1:
-            fitting = np.flatnonzero(left[1 : room + 1] >= 1) + 1
-            take = next((int(x) for x in fitting[::-1] if left[x] - config[int(x)] >= 1), 0)
+        if left[take] < least * (1 + config[take] * (least == 1)):
+            fitting = np.flatnonzero(left[1 : room + 1] >= least) + 1
+            take = next((int(x) for x in fitting[::-1] if least < 1 or left[x] - config[int(x)] >= 1), 0)
             if take == 0:
                 break
         config[take] += 1
@@ -72,46 +88,125 @@ def column(seed: int, left: np.ndarray, first: np.ndarray, capacity: int) -> Cou
     return config
 
 
-def solve(histogram: np.ndarray, capacity: int) -> list[tuple[tuple[tuple[int, int], ...], int]]:
-    """Configurations as ((length, times), ...) and how often each is used; together they hold the histogram exactly."""
-    demand = histogram.astype(np.float64)
-    used: Counter = Counter()
-
-    def sweep(left: np.ndarray, weight: np.ndarray, whole: bool, out: Counter) -> None:
-        """One pricing and its columns, the longest lengths first."""
-        lengths = np.flatnonzero(left >= 1)
-        _, first = knapsack(lengths, lengths * weight[lengths], capacity)
-        for seed in lengths[::-1].tolist():
-            while left[seed] >= 1:
-                config = column(seed, left, first, capacity)
-                step = min(left[x] / n for x, n in config.items())
-                step = float(int(step)) if whole else step * SHARE
-                if step <= 0:
-                    break
+class Solution(NamedTuple):
+    """Configurations as ((length, times), ...) with how often each is used; together they hold the histogram exactly."""
+
+    configurations: list[tuple[tuple[tuple[int, int], ...], int]]
+    #: Sequences in use, the value of the fractional solution, and a proven lower bound.
+    sequences: int
+    fractional: float
+    bound: int
+
+
+def step_bound(demand: np.ndarray, capacity: int) -> float:
+    """Dual bound of the step prices: for a threshold t, lengths over ``capacity - t`` weigh 1, those from t their share, the rest 0."""
+    size = np.arange(capacity + 1)
+    count, volume = np.cumsum(demand), np.cumsum(demand * size)
+    best = 0.0
+    for t in range(capacity // 2 + 1):
+        over = count[capacity] - count[capacity - t]
+        # Two lengths over half do not share a sequence; the rest of their sequences takes others.
+        half = max(capacity // 2, t - 1)
+        wide = count[capacity - t] - count[half] if capacity - t > half else 0.0
+        free = wide * capacity - (volume[capacity - t] - volume[half]) if wide else 0.0
+        small = volume[half] - (volume[t - 1] if t else 0.0) if half >= t else 0.0
+        best = max(best, over + wide + max(0.0, small - free) / capacity)
+    return best
+
+
+def cover(demand: np.ndarray, price: np.ndarray, capacity: int) -> tuple[Counter, float]:
+    """A fractional cover of the whole demand by columns priced with multiplicative weights, and the best dual bound.
+
+    Weights start at ``price``; in every phase a weight falls with the share of its demand that the phase covered.
+    """
+    lengths = np.flatnonzero(demand)
+    weight, left, out, bound = price.copy(), demand.copy(), Counter(), 0.0
+    for phase in range(PHASES + 1):
+        best, first = knapsack(lengths, weight[lengths], capacity)
+        bound = max(bound, demand @ weight / best[capacity])
+        open_ = np.flatnonzero(left > TINY)
+        if len(open_) < len(lengths):  # columns are made of what is left
+            _, first = knapsack(open_, weight[open_], capacity)
+        last = phase == PHASES
+        before = left.copy()
+        for seed in open_[::-1].tolist():  # the longest first
+            while left[seed] > TINY:
+                config = column(seed, left, first, capacity, TINY)
+                step = min(left[x] / n for x, n in config.items()) * (1.0 if last else SHARE)
                 for x, n in config.items():
                     left[x] -= n * step
-                    weight[x] *= np.exp(-ETA * n * step / demand[x])
                 out[tuple(sorted(config.items(), reverse=True))] += step
-                if not whole:
+                if not last:
                     break
-
-    left, weight, fractional = demand.copy(), np.ones(capacity + 1), Counter()
-    for _ in range(PHASES):
-        if not (left >= 1).any():
+        if (left <= TINY).all():
             break
-        sweep(left, weight, False, fractional)
+        covered = (before - left)[lengths] / demand[lengths]
+        weight[lengths] *= np.exp(-ETA * (covered - covered @ demand[lengths] / demand.sum()))
+    return out, bound
+
+
+def costs(fractional: Counter, demand: np.ndarray, price: np.ndarray) -> np.ndarray:
+    """Sequences that a piece of each length took in a cover, each sequence shared out by ``price``."""
+    out = np.zeros(len(demand))
+    for config, x in fractional.items():
+        value = sum(price[length] * times for length, times in config)
+        for length, times in config:
+            out[length] += x * times * price[length] / value
+    return out / np.maximum(demand, 1)
+
+
+def rounded(fractional: Counter, histogram: np.ndarray, price: np.ndarray, capacity: int) -> Counter:
+    """Whole sequences: the fractional solution rounded down, the rest by columns in whole steps.
+
+    The rest is priced by ``price`` and by size, and the better is taken.
+    """
+    floor: Counter = Counter()
     left = histogram.astype(np.int64)
-    for config, x in fractional.items():  # rounding down never covers more than is there
+    for config, x in fractional.items():
         n = int(x + 1e-9)
-        if n:
-            used[config] += n
+        if n and all(left[length] >= n * times for length, times in config):
+            floor[config] += n
             for length, times in config:
                 left[length] -= n * times
-    if (left < 0).any():
-        raise AssertionError("rounding covered too much")
-    rest = left.astype(np.float64)
-    sweep(rest, np.ones(capacity + 1), True, used)
-    return [(config, int(n)) for config, n in used.items()]
+    lengths = np.flatnonzero(left)
+    found = []
+    for value in (price[lengths], lengths / capacity) if len(lengths) else ():
+        _, first = knapsack(lengths, value, capacity)
+        used, rest = Counter(), left.copy()
+        for seed in lengths[::-1].tolist():
+            while rest[seed]:
+                config = column(seed, rest, first, capacity, 1)
+                step = int(min(rest[x] // n for x, n in config.items()))
+                used[tuple(sorted(config.items(), reverse=True))] += step
+                for x, n in config.items():
+                    rest[x] -= n * step
+        found.append(used)
+    return floor + min(found, key=Counter.total, default=Counter())
+
+
+def solve(histogram: np.ndarray, capacity: int) -> Solution:
+    """The configuration program of ``histogram`` (times of every length up to ``capacity``), solved and rounded.
+
+    A length's price starts at its size. After a cover it moves by multiplicative weights towards what pieces of
+    that length took, so lengths that fill sequences badly get dearer and come first; ``ROUNDS`` covers at most,
+    fewer once one comes within ``GAP`` of the bound.
+    """
+    demand = histogram.astype(np.float64)
+    if not demand.any():
+        return Solution([], 0, 0.0, 0)
+    price = np.arange(capacity + 1) / capacity
+    bound = max(demand @ price, step_bound(demand, capacity))
+    best: tuple[int, float, Counter] | None = None
+    for _ in range(ROUNDS):
+        fractional, proven = cover(demand, price, capacity)
+        used = rounded(fractional, histogram, price, capacity)
+        bound = max(bound, proven)
+        if best is None or sum(used.values()) < best[0]:
+            best = sum(used.values()), float(sum(fractional.values())), used
+        if best[0] <= math.ceil(bound - 1e-6) + max(1, GAP * bound):
+            break
+        price = np.where(demand > 0, price ** (1 - PULL) * np.maximum(costs(fractional, demand, price), 1e-12) ** PULL, price)
+    return Solution([(c, int(n)) for c, n in best[2].items()], best[0], best[1], math.ceil(bound - 1e-6))
 
 
 def slots(solution: list, capacity: int) -> dict[int, tuple[np.ndarray, ...]]:
@@ -133,12 +228,13 @@ def cut(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        memo, end = bpe.memo_of(path, bpe.words_le), bpe.words_le([SEPARATOR])
+        memo, end = merges.batch_memo(path, merges.as_bytes), bpe.words_le([SEPARATOR])
         task, seen = TaskContext.get().partitionId(), Counter()
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                data = b"".join(memo.of(text or "")) + end
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for doc, parts in zip(batch.column(0).to_pylist(), memo.many(texts)):
+                data = b"".join(parts) + end
                 for piece, at in enumerate(range(0, len(data), 4 * capacity)):
                     part = data[at : at + 4 * capacity]
                     n = len(part) // 4
@@ -151,14 +247,19 @@ def cut(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> D
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, PIECES)
 
 
+def histogram_of(pieces: DataFrame, capacity: int = CAPACITY) -> np.ndarray:
+    """How many pieces have each length; a row for each length at most reaches the driver."""
+    histogram = np.zeros(capacity + 1, dtype=np.int64)
+    for row in pieces.groupBy("length").count().collect():
+        histogram[row["length"]] = row["count"]
+    return histogram
+
+
 def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``PLACED`` for written ``PIECES``."""
     by_task = pieces.groupBy("task", "length").agg((F.max("nth") + 1).alias("n"))
-    totals = by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()  # a row for each length at most
-    histogram = np.zeros(capacity + 1, dtype=np.int64)
-    for row in totals:
-        histogram[row["length"]] = row["n"]
-    plan = pieces.sparkSession.sparkContext.broadcast(slots(solve(histogram, capacity), capacity))
+    solution = solve(histogram_of(pieces, capacity), capacity)
+    plan = pieces.sparkSession.sparkContext.broadcast(slots(solution.configurations, capacity))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     base = by_task.select("task", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     ranked = pieces.join(base, ["task", "length"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("nth")).alias("rank"))

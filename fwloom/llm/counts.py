@@ -3,17 +3,24 @@
 A document's text is cut at white space into leaves of some dozens of pre-tokens; no pre-token crosses white
 space, so counts of leaves add up. A segment tree over the leaves holds characters and tokens. An edit finds
 its leaves by character offset, re-encodes only these (and the leaf before, if the new text no longer starts
-with white space: a pre-token may then reach over the border) and updates sums on the way to the root.
+with white space: a pre-token may then reach over the border) and updates sums on the way to the root. A leaf
+that has grown past ``GROWN`` times its size is split.
 
-One pass over the table without a shuffle; trees live only while their document is at hand.
+``build_trees`` encodes documents once and keeps a tree as a row: its text and, for each leaf, characters and
+tokens; the sums above the leaves follow from these without encoding. ``apply_edits`` joins such a table with a
+table of edits and gives the next one, so a later batch of edits starts from stored counts. Trees without edits
+pass by; the others meet their edits by a shuffle on doc_id and stream through a task in the order of the
+document and of ``seq``, so a task holds one document's tree and no list of edits, however many there are.
 
 The query needs an edit log, which the tables do not have: ``routine_edits`` makes one for every document
-from its length alone (a replaced word, an insertion, a deletion, an appended line). Edits apply in order,
-offsets are code points in the text as edited so far.
+from its length alone (a replaced word, an insertion, a deletion, an appended line). Offsets are code points in
+the text as edited so far.
 
 Defined results: a null text counts as empty, which has no tokens before and those of the insertions after;
-offsets beyond the end mean the end; repeated rows repeat; extra columns are dropped; an empty table gives an
-empty result.
+offsets beyond the end mean the end, a null start the start, an end before the start (or null) the start, a null
+new text nothing; edits apply in the order of ``seq`` (null first), then start, end and text; edits of an unknown
+or null doc_id apply nowhere; every row of a doc_id gets its edits, repeated rows repeat; extra columns are
+dropped; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,14 +32,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fwloom.llm import bpe
-from fwloom.llm.common import table
+from fwloom.llm import bpe, merges
+from fwloom.llm.common import materialize, table
 
-#: Characters from which a leaf ends at the next white space.
-LEAF_CHARS = 256
+#: Characters from which a leaf ends at the next white space, and times that from which it is split.
+LEAF_CHARS, GROWN = 256, 4
 BORDER = re.compile(r"[ \t\n\r]")
 
-SCHEMA = "doc_id long, n_tokens long, n_edits int, n_tokens_edited long, n_leaves long, leaves_encoded long, chars_encoded long"
+TREES = "doc_id long, text string, leaf_chars array<int>, leaf_tokens array<int>, n_tokens long"
+EDITED = TREES + ", n_edits long, n_tokens_before long, leaves_encoded long, chars_encoded long"
+RESULT = ["doc_id", "n_tokens", "n_edits", "n_tokens_edited", "n_leaves", "leaves_encoded", "chars_encoded"]
 
 
 def leaves_of(text: str) -> list[str]:
@@ -45,17 +54,35 @@ def leaves_of(text: str) -> list[str]:
 
 
 class TokenTree:
-    """Segment tree of characters and tokens over the leaves of one text."""
-
-    def __init__(self, text: str, memo: bpe.ChunkMemo):
-        self.memo, self.leaves = memo, leaves_of(text)
+    """Segment tree of characters and tokens over the leaves of one text, from counts already known."""
+
+    def __init__(self, leaves: list[str], tokens: list[int], memo: bpe.ChunkMemo):
+        self.memo, self.encoded, self.encoded_chars = memo, 0, 0
+        self.build(leaves, tokens)
+
+    @classmethod
+    def of(cls, text: str, memo: bpe.ChunkMemo) -> TokenTree:
+        leaves = leaves_of(text)
+        return cls(leaves, [sum(memo.of(leaf)) for leaf in leaves], memo)
+
+    @classmethod
+    def stored(cls, text: str, chars: list[int], tokens: list[int], memo: bpe.ChunkMemo) -> TokenTree:
+        leaves, at = [], 0
+        for n in chars:
+            leaves.append(text[at : at + n])
+            at += n
+        return cls(leaves, tokens, memo)
+
+    def build(self, leaves: list[str], tokens: list[int]) -> None:
+        """Sums of all nodes; nothing is encoded."""
+        self.leaves = leaves or [""]
         self.size = 1 << max(0, len(self.leaves) - 1).bit_length()
-        self.chars, self.tokens = [0] * (2 * self.size), [0] * (2 * self.size)
-        self.encoded, self.encoded_chars = 0, 0
-        for i, leaf in enumerate(self.leaves):
-            self.chars[self.size + i], self.tokens[self.size + i] = len(leaf), sum(memo.of(leaf))
-        for i in range(self.size - 1, 0, -1):
-            self.chars[i], self.tokens[i] = self.chars[2 * i] + self.chars[2 * i + 1], self.tokens[2 * i] + self.tokens[2 * i + 1]
+        rest = self.size - len(self.leaves)
+        self.chars = [0] * self.size + [*map(len, self.leaves), *[0] * rest]
+        self.tokens = [0] * self.size + [*(tokens or [0]), *[0] * rest]
+        for sums in (self.chars, self.tokens):
+            for i in range(self.size - 1, 0, -1):
+                sums[i] = sums[2 * i] + sums[2 * i + 1]
 
     @property
     def count(self) -> int:
@@ -71,16 +98,36 @@ class TokenTree:
                 node += 1
         return node - self.size, offset
 
+    def start_of(self, leaf: int) -> int:
+        """Characters before a leaf."""
+        node, before = self.size + leaf, 0
+        while node > 1:
+            if node & 1:
+                before += self.chars[node - 1]
+            node //= 2
+        return before
+
     def put(self, leaf: int, text: str) -> None:
         """Re-encodes a leaf and updates the sums above it."""
         self.leaves[leaf] = text
         node = self.size + leaf
-        self.chars[node], self.tokens[node] = len(text), sum(self.memo.of(text)) if text else 0
-        self.encoded += bool(text)
-        self.encoded_chars += len(text)
+        self.chars[node], self.tokens[node] = len(text), self.encode(text)
         while node := node // 2:
             self.chars[node], self.tokens[node] = self.chars[2 * node] + self.chars[2 * node + 1], self.tokens[2 * node] + self.tokens[2 * node + 1]
 
+    def encode(self, text: str) -> int:
+        self.encoded += bool(text)
+        self.encoded_chars += len(text)
+        return sum(self.memo.of(text)) if text else 0
+
+    def split(self, leaf: int, text: str) -> None:
+        """Puts the parts of a grown leaf in its place; empty leaves go, counts of the others stay."""
+        parts = leaves_of(text)
+        own = [(x, self.tokens[self.size + i]) for i, x in enumerate(self.leaves[:leaf]) if x]
+        own += [(x, self.encode(x)) for x in parts]
+        own += [(x, self.tokens[self.size + leaf + 1 + i]) for i, x in enumerate(self.leaves[leaf + 1 :]) if x]
+        self.build([x for x, _ in own], [n for _, n in own])
+
     def edit(self, start: int, end: int, new: str) -> None:
         """Replaces code points ``start`` to ``end`` by ``new``."""
         start = min(max(start, 0), self.chars[1])
@@ -92,47 +139,118 @@ class TokenTree:
             if self.leaves[i]:
                 self.put(i, "")
         # What follows starts with white space; what comes before may now run on.
-        while text and not BORDER.match(text) and any(self.leaves[:first]):
+        while text and not BORDER.match(text) and (before := self.start_of(first)):
             self.put(first, "")
-            first = max(i for i in range(first) if self.leaves[i])
+            first, _ = self.find(before)
             text = self.leaves[first] + text
-        self.put(first, text)
+        if len(text) > GROWN * LEAF_CHARS and BORDER.search(text, LEAF_CHARS):
+            self.split(first, text)
+        else:
+            self.put(first, text)
 
     def text(self) -> str:
         return "".join(self.leaves)
 
-
-def routine_edits(n: int) -> list[tuple[int, int, str]]:
-    """Start, end and new text of the edits of a text of ``n`` code points."""
-    return [(n // 4, n // 4 + 7, "redacted"), (n // 2, n // 2, " and "), (3 * n // 4, 3 * n // 4 + 24, ""), (n + 64, n + 64, "\nEnd of document.")]
-
-
-def size_of(ids: list[int]) -> int:
-    return len(ids)
+    def row(self) -> tuple[str, list[int], list[int], int]:
+        kept = [i for i, x in enumerate(self.leaves) if x]
+        return self.text(), [len(self.leaves[i]) for i in kept], [self.tokens[self.size + i] for i in kept], self.count
 
 
-def edited_counts(docs: DataFrame, edits=routine_edits, path: str | None = None) -> DataFrame:
-    """``SCHEMA`` for (doc_id, text); ``edits`` maps a text's length to its edit list."""
+def build_trees(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """``TREES`` of (doc_id, text): every text is encoded whole, once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = bpe.memo_of(path, size_of)
+        memo = merges.batch_memo(path, merges.count_of)
         for batch in batches:
-            rows = []
-            for text in batch.column(1).to_pylist():
-                tree = TokenTree(text or "", memo)
-                before, log = tree.count, edits(len(text or ""))
-                for edit in log:
-                    tree.edit(*edit)
-                rows.append((before, len(log), tree.count, len(tree.leaves), tree.encoded, tree.encoded_chars))
-            kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 4]
-            columns = list(zip(*rows)) or [()] * 6
-            yield pa.record_batch([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))], [f.split()[0] for f in SCHEMA.split(", ")])
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            cut = [leaves_of(t) if t else [] for t in texts]
+            counted = iter(map(sum, memo.many([leaf for leaves in cut for leaf in leaves])))
+            tokens = [[next(counted) for _ in leaves] for leaves in cut]
+            arrays = [pa.array(texts, pa.string()), pa.array([list(map(len, x)) for x in cut], pa.list_(pa.int32())), pa.array(tokens, pa.list_(pa.int32())), pa.array(list(map(sum, tokens)), pa.int64())]
+            yield pa.record_batch([batch.column(0), *arrays], [f.split()[0] for f in TREES.split(", ")])
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, TREES)
+
+
+def apply_edits(trees: DataFrame, edits: DataFrame, path: str | None = None) -> DataFrame:
+    """``EDITED``: the trees after all ``edits`` (doc_id, seq, start, end, text), with what was encoded for them."""
+    log = edits.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("seq").cast("long").alias("seq"), F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), F.col("text").cast("string").alias("text"))
+    log = log.where(F.col("doc_id").isNotNull())
+    n = int(trees.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ids = log.select("doc_id").distinct()
+    none = F.lit(None)
+    stored = trees.select("doc_id", "text", "leaf_chars", "leaf_tokens", "n_tokens")
+    untouched = stored.join(ids, "doc_id", "left_anti").select("*", F.lit(0).cast("long").alias("n_edits"), F.col("n_tokens").alias("n_tokens_before"), F.lit(0).cast("long").alias("leaves_encoded"), F.lit(0).cast("long").alias("chars_encoded"))
+    one = stored.where(F.col("doc_id").isNotNull()).select("doc_id", F.lit(0).alias("kind"), none.cast("long").alias("seq"), none.cast("long").alias("start"), none.cast("long").alias("end"), "text", "leaf_chars", "leaf_tokens", "n_tokens")
+    two = log.select("doc_id", F.lit(1).alias("kind"), "seq", "start", "end", "text", none.cast("array<int>").alias("leaf_chars"), none.cast("array<int>").alias("leaf_tokens"), none.cast("long").alias("n_tokens"))
+    met = one.join(ids, "doc_id", "left_semi").unionByName(two).repartition(n, "doc_id").sortWithinPartitions("doc_id", "kind", "seq", "start", "end", "text")
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SCHEMA)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = merges.batch_memo(path, merges.count_of)
+        held: dict[str, list] = {}  # by text as stored: its tree, how many rows have it, tokens before
+        doc, done, edited = None, 0, []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal edited
+            if edited:
+                columns = list(zip(*edited))
+                kinds = [pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), *[pa.int64()] * 5]
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], [f.split()[0] for f in EDITED.split(", ")])
+                edited = []
+
+        def close() -> None:
+            for tree, times, before in held.values():
+                edited.extend([(doc, *tree.row(), done, before, tree.encoded, tree.encoded_chars)] * times)
+            held.clear()
+
+        for batch in batches:
+            for own, kind, _, start, end, text, chars, tokens, count in zip(*(c.to_pylist() for c in batch.columns)):
+                if own != doc:
+                    close()
+                    doc, done = own, 0
+                if kind == 0:
+                    if text in held:
+                        held[text][1] += 1
+                    else:
+                        held[text] = [TokenTree.stored(text, chars, tokens, memo), 1, count]
+                else:
+                    done += 1
+                    start = start or 0
+                    for tree, _, _ in held.values():
+                        tree.edit(start, start if end is None else end, text or "")
+            yield from flush()
+        close()
+        yield from flush()
+
+    return met.mapInArrow(run, EDITED).unionByName(untouched)
+
+
+def routine_edits(docs: DataFrame) -> DataFrame:
+    """(doc_id, seq, start, end, text): four edits of every document, from its length alone."""
+    n = F.length(F.coalesce(F.col("text").cast("string"), F.lit(""))).cast("long")
+    at = lambda share: F.floor(n * share).cast("long")
+    edit = lambda seq, start, end, text: F.struct(F.lit(seq).cast("long").alias("seq"), start.alias("start"), end.alias("end"), F.lit(text).alias("text"))
+    log = F.array(edit(1, at(0.25), at(0.25) + 7, "redacted"), edit(2, at(0.5), at(0.5), " and "), edit(3, at(0.75), at(0.75) + 24, ""), edit(4, n + 64, n + 64, "\nEnd of document."))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(log).alias("e")).dropDuplicates(["doc_id", "e"]).select("doc_id", "e.*")
+
+
+def edited_counts(docs: DataFrame, edits: DataFrame, path: str | None = None) -> DataFrame:
+    """Token counts of (doc_id, text) before and after ``edits``."""
+    out = apply_edits(materialize(build_trees(docs, path)), edits, path)
+    return out.select(
+        "doc_id",
+        F.col("n_tokens_before").alias("n_tokens"),
+        "n_edits",
+        F.col("n_tokens").alias("n_tokens_edited"),
+        F.size("leaf_chars").cast("long").alias("n_leaves"),
+        "leaves_encoded",
+        "chars_encoded",
+    )
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edited_counts(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return edited_counts(docs, routine_edits(docs))
 
 
 QUERIES = {"op6_token_counts": op6_token_counts}

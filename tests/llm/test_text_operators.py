@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from fwloom.llm import bpe, counts, media, packing, secrets, sharding, toxicity
+from fwloom.llm import bpe, counts, media, merges, packing, secrets, sharding, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, shard string, rank int"
 ODD = [None, "", "a", " ", "word " * 3000, "ü\x1cb", "x" * 5000, "same text", "same text"]
@@ -61,7 +61,7 @@ def test_special_tokens(library):
 
 
 def test_odd_rows(odd, empty):
-    for run in (bpe.encode_digests, bpe.encode_ids, counts.edited_counts, secrets.find_secrets, media.images, sharding.shards, lambda d: packing.pack(d).dropDuplicates(["doc_id", "piece", "sequence_id", "offset"])):
+    for run in (bpe.encode_digests, bpe.encode_ids, lambda d: counts.edited_counts(d, counts.routine_edits(d)), secrets.find_secrets, media.images, sharding.shards, lambda d: packing.pack(d).dropDuplicates(["doc_id", "piece", "sequence_id", "offset"])):
         assert run(odd).count() >= odd.count()
         assert run(empty).count() == 0
 
@@ -90,16 +90,60 @@ def test_packing(spark, sf_dir, library):
     assert len(sequences) <= -(-sum(r["length"] for r in rows) // 2048) + 2
 
 
-@settings(max_examples=40, deadline=None)
-@given(st.lists(st.integers(1, 64), max_size=200))
-def test_solution_holds_the_histogram(lengths):
-    histogram = np.bincount(lengths, minlength=65) if lengths else np.zeros(65, dtype=np.int64)
-    total = np.zeros(65, dtype=np.int64)
-    for config, n in packing.solve(histogram, 64):
-        assert sum(length * times for length, times in config) <= 64
+def least_sequences(lengths, capacity):
+    """The true optimum of a few pieces, by trying every open sequence."""
+    best = len(lengths)
+
+    def put(i, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if i == len(lengths):
+            best = len(rooms)
+            return
+        for k, room in enumerate(rooms):
+            if room >= lengths[i] and room not in rooms[:k]:
+                put(i + 1, [*rooms[:k], room - lengths[i], *rooms[k + 1 :]])
+        put(i + 1, [*rooms, capacity - lengths[i]])
+
+    put(0, [])
+    return best
+
+
+def check_solution(lengths, capacity):
+    histogram = np.bincount(lengths, minlength=capacity + 1) if len(lengths) else np.zeros(capacity + 1, dtype=np.int64)
+    solution = packing.solve(histogram, capacity)
+    total = np.zeros(capacity + 1, dtype=np.int64)
+    for config, n in solution.configurations:
+        assert n > 0 and sum(length * times for length, times in config) <= capacity
         for length, times in config:
             total[length] += n * times
     assert (total == histogram).all()
+    assert solution.sequences == sum(n for _, n in solution.configurations) >= solution.bound
+    return solution
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(1, 64), max_size=200))
+def test_solution_holds_the_histogram(lengths):
+    check_solution(lengths, 64)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(1, 40), max_size=9))
+def test_bound_and_solution_against_the_optimum(lengths):
+    solution = check_solution(lengths, 40)
+    best = least_sequences(sorted(lengths, reverse=True), 40)
+    assert solution.bound <= best <= solution.sequences <= best + 1
+
+
+@pytest.mark.parametrize(
+    "low,high,share",
+    [(1, 300, 1.001), (1, 2048, 1.002), (960, 1090, 1.015), (1025, 2048, 1.0), (640, 720, 1.04), (682, 682, 1.0), (1024, 1024, 1.0), (500, 1100, 1.08)],
+)
+def test_sequences_near_the_proven_bound(low, high, share):
+    solution = check_solution(np.random.default_rng(1).integers(low, high + 1, 9000), 2048)
+    assert solution.sequences <= share * solution.bound + 2 and abs(solution.fractional - solution.sequences) <= 0.02 * solution.sequences + 2
 
 
 def test_knapsack_against_brute_force():
@@ -111,17 +155,79 @@ def test_knapsack_against_brute_force():
 
 
 def test_token_tree():
-    memo, own = bpe.memo_of(None, counts.size_of), bpe.load(bpe.tokenizer_path())
+    memo, own = merges.batch_memo(None, merges.count_of), bpe.load(bpe.tokenizer_path())
     random.seed(5)
     text = " ".join(random.choice(["alpha", "Beta,", "it's", "naïve", "42", "\n"]) for _ in range(900))
-    tree = counts.TokenTree(text, memo)
-    for _ in range(120):
+    tree = counts.TokenTree.of(text, memo)
+    for _ in range(160):
         a = random.randint(0, len(text))
         b = min(len(text), a + random.choice([0, 1, 6, 300]))
-        new = random.choice(["", "x", " ", "two words", "\nz"])
+        new = random.choice(["", "x", " ", "two words", "\nz", "many more words " * 200])
         tree.edit(a, b, new)
         text = text[:a] + new + text[b:]
         assert tree.text() == text and tree.count == len(own.encode(text))
+        assert sum(tree.row()[1]) == len(text) and sum(tree.row()[2]) == tree.count
+    assert max(map(len, tree.leaves)) <= counts.GROWN * counts.LEAF_CHARS + 40
+
+
+def test_edit_tables_against_encoding_anew(spark):
+    """Two batches of random edits on stored trees; a very long text, a hot document, repeated and null ids."""
+    from fwloom.llm.common import materialize
+
+    random.seed(8)
+    own = bpe.load(bpe.tokenizer_path())
+    word = lambda: random.choice(["alpha", "Beta,", "it's", "naïve", "42", "\n", "x1"])
+    texts = {n: " ".join(word() for _ in range(random.choice([0, 1, 50, 400]))) for n in range(12)}
+    texts[12] = " ".join(word() for _ in range(60_000))
+    rows = [*texts.items(), (3, texts[3]), (3, "another text under one id"), (None, "no id"), (13, None)]
+    docs = spark.createDataFrame([(d, t, 5) for d, t in rows], "doc_id long, text string, n_tokens long")
+    trees = materialize(counts.build_trees(docs))
+    now = [(d, t or "") for d, t in rows]
+    for _ in range(2):
+        log = []
+        for d in [*random.sample(range(14), 9), 12, 99]:
+            for seq in range(200 if d == 12 else random.randint(1, 8)):
+                a = random.randint(-3, 2500)
+                log.append((d, seq, a, a + random.choice([-1, 0, 1, 9, 300]), random.choice(["", "x", " ", "two words", None, "long " * 300])))
+        random.shuffle(log)
+        edits = spark.createDataFrame(log, "doc_id long, seq long, start long, `end` long, text string")
+        result = counts.apply_edits(trees, edits)
+        trees = materialize(result)
+        want = []
+        for d, t in now:
+            for _, _, a, b, new in sorted(x for x in log if x[0] == d):
+                a = min(max(a, 0), len(t))
+                b = min(max(b, a), len(t))
+                t = t[:a] + (new or "") + t[b:]
+            want.append((d, t))
+        now = want
+        got = trees.collect()
+        assert sorted(map(str, [(r["doc_id"], r["text"]) for r in got])) == sorted(map(str, now))
+        for r in got:
+            assert r["n_tokens"] == sum(r["leaf_tokens"]) == len(own.encode(r["text"])) and sum(r["leaf_chars"]) == len(r["text"])
+            assert r["n_edits"] == sum(x[0] == r["doc_id"] for x in log) and (r["n_edits"] or not r["leaves_encoded"])
+        long = next(r for r in got if r["doc_id"] == 12)
+        assert long["leaves_encoded"] < 2500 and len(long["leaf_chars"]) > 900
+
+
+def test_merged_words_equal_the_queue():
+    own = bpe.load(bpe.tokenizer_path())
+    random.seed(3)
+    letters = "etaoinshrdlucmf" * 4 + "üß漢1'!-"
+    words = list({"".join(random.choice(letters) for _ in range(random.randint(1, 60))) for _ in range(4000)} | {"a" * n for n in range(1, 50)} | {"the", "ththth", "nananana"})
+    memo = merges.BatchMemo(own, merges.as_bytes)
+    assert dict(memo.words(words)) == {w: bpe.words_le(own.merged(w.encode())) for w in words}
+    texts = [" ".join(random.choice(words) for _ in range(50)) for _ in range(40)] + ["", " ", "<|endoftext|>x <|endoftext|>", "a\x1cb ü", "\U0001fae8 x"]
+    for _ in range(2):
+        assert [b"".join(v) for v in memo.many(texts)] == [bpe.words_le(own.encode(t)) for t in texts]
+
+
+def test_batch_memo_when_full(monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO_WORDS", 20)
+    own, memo = bpe.load(bpe.tokenizer_path()), merges.BatchMemo(bpe.load(bpe.tokenizer_path()), merges.count_of)
+    for n in range(30):
+        texts = [" ".join(f"word{(n * 7 + i * k) % 60} x" for i in range(12)) for k in range(3)]
+        assert [sum(v) for v in memo.many(texts)] == [len(own.encode(t)) for t in texts]
 
 
 def test_base_secrets_against_plain_patterns():

@@ -14,31 +14,34 @@ process ends once its time has passed all registers of the document, hence few p
    classes. That settles most members of even the largest groups with one comparison each.
 4. What still meets in a bucket in different classes is compared pair by pair inside the bucket: signatures
    first (a pair at 0.8 agrees in under ``LEAST_AGREE`` of 128 registers with a chance of 1e-7), then the
-   multisets themselves. Buckets over ``BLOCK`` documents are cut into blocks and every pair of blocks is a
-   task of its own; a pair of documents is handled in the first band they share. Only links that join
-   classes leave a task, never all pairs.
+   multisets themselves. The largest class of a bucket is dealt out once, in blocks of at most ``BLOCK``
+   documents and ``BLOCK_BYTES`` bytes of text; the other documents go to every block, and meet each other in
+   blocks of their own. So a million copies and one stray cost a million rows, not their product. A pair of
+   documents is handled in the first band they share. Only links that join classes leave a task, never all pairs.
 5. Connected components give the class; its id is its smallest doc_id.
 
 No link, component or signature is collected to the driver.
 
 Defined results: null, empty and wordless texts are no near-duplicates of others (equal wordless texts other
-than blank ones are exact copies); a text under five words is one shingle of all its words; rows with one
-doc_id count as one document; a null doc_id gets a negative stand-in made from the text's hash; repeated
-rows repeat; extra columns are dropped; an empty table gives an empty result.
+than blank ones are exact copies); a text under five words is one shingle of all its words; rows that repeat id
+and text are one document, of which ``keep_one`` keeps one row; a null doc_id, and one that stands over different
+texts, gets a negative stand-in made from the text's hash, so no text passes for another; repeated rows repeat;
+extra columns are dropped (``keep_one`` keeps all, whatever their names); an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fwloom.llm.common import materialize, mix64, table
+from fwloom.llm.common import materialize, mix64, release, table
 
 WORDS, THRESHOLD = 5, 0.8
 REGISTERS, BANDS = 128, 32
@@ -46,10 +49,10 @@ ROWS = REGISTERS // BANDS
 #: Registers that two signatures must share for their documents to be compared in a bucket.
 LEAST_AGREE = 79
 #: Documents of a bucket that one task compares with each other or with those of another block.
-BLOCK = 800
+BLOCK, BLOCK_BYTES = 400, 16 << 20
 MEMO_WORDS = 300_000
 WORD = re.compile(r"\w+")
-SIGNED = "d long, signature binary, bands array<long>"
+SIGNED = "d long, size long, signature binary, bands array<long>"
 FIRST_STAND_IN, STAND_INS = -(2**62), 2**61
 
 
@@ -127,12 +130,42 @@ def similarity(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, d (never null), sha of the text, text."""
+    """``docs`` with __text, __sha of the text and __d, a number for the document (never null)."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long"), text.alias("text")).withColumn("sha", F.sha2("text", 256))
-    stand_in = F.lit(FIRST_STAND_IN) - F.pmod(F.xxhash64("sha"), F.lit(STAND_INS))
+    rows = docs.withColumn("__text", text).withColumn("__sha", F.sha2("__text", 256))
+    rows = rows.withColumn("__d", F.coalesce(F.col("doc_id").cast("long"), stand_in(0)))
     # Blank texts are no copies of each other.
-    return rows.withColumn("d", F.coalesce("doc_id", stand_in)).withColumn("sha", F.when(F.col("text").rlike(r"^\s*$"), F.concat(F.lit("blank "), F.col("d").cast("string"))).otherwise(F.col("sha")))
+    return rows.withColumn("__sha", F.when(F.col("__text").rlike(r"^\s*$"), F.concat(F.lit("blank "), F.col("__d").cast("string"))).otherwise(F.col("__sha")))
+
+
+def stand_in(salt: int) -> Column:
+    return F.lit(FIRST_STAND_IN) - F.pmod(F.xxhash64(F.lit(salt), "__sha"), F.lit(STAND_INS))
+
+
+class Documents(NamedTuple):
+    """Rows (``keyed``) whose __d stands for one text each; the first document of every text; whether rows repeat."""
+
+    rows: DataFrame
+    firsts: DataFrame
+    repeats: bool
+
+
+def documents(docs: DataFrame) -> Documents:
+    """Numbers over different texts give way to stand-ins, until every number stands for one text."""
+    rows, salt = keyed(docs), 0
+    while True:
+        held = materialize(rows.groupBy(F.col("__d").alias("d"), F.col("__sha").alias("sha")).agg(F.count("*").alias("times")))
+        clash = held.groupBy("d").count().where("count > 1").select(F.col("d").alias("__clash"))
+        clash = materialize(clash)
+        if clash.isEmpty():
+            break
+        salt += 1
+        rows = rows.join(clash, F.col("__d") == F.col("__clash"), "left").withColumn("__d", F.when(F.col("__clash").isNotNull(), stand_in(salt)).otherwise(F.col("__d"))).drop("__clash")
+        release(held)
+    firsts = materialize(held.groupBy("sha").agg(F.min("d").alias("d")))
+    repeats = not held.where("times > 1").isEmpty()
+    release(held)
+    return Documents(rows, firsts, repeats)
 
 
 def signed(texts: DataFrame) -> DataFrame:
@@ -141,11 +174,12 @@ def signed(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in batches:
-            ids, bags = [], []
+            ids, sizes, bags = [], [], []
             for d, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 bag = shingler.bag(text)
                 if len(bag[0]):
                     ids.append(d)
+                    sizes.append(len(text))
                     bags.append(bag)
             points = signatures(bags)
             keys = np.full((len(ids), BANDS), 0, np.uint64)
@@ -153,7 +187,7 @@ def signed(texts: DataFrame) -> DataFrame:
                 keys = mix64(keys ^ points[:, r::ROWS])
             keys = mix64(keys + np.arange(BANDS, dtype=np.uint64))
             short = (points & np.uint64(0xFFFF)).astype("<u2")
-            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array([s.tobytes() for s in short], pa.binary()), pa.array(list(keys.view(np.int64)), pa.list_(pa.int64()))], ["d", "signature", "bands"])
+            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array([s.tobytes() for s in short], pa.binary()), pa.array(list(keys.view(np.int64)), pa.list_(pa.int64()))], ["d", "size", "signature", "bands"])
 
     return texts.select("d", "text").mapInArrow(run, SIGNED)
 
@@ -171,10 +205,12 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(least, "x").where("y > x").select(F.col("y").alias("x"), F.col("m").alias("y")).where("x <> y").distinct()
         down = large.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
         down = materialize(down)
+        release(links)
         least = down.groupBy("x").agg(F.min("y").alias("m"))
         joined = down.join(least, "x")
         small = joined.where("y <> m").select(F.col("y").alias("x"), F.col("m").alias("y")).union(least.select("x", F.col("m").alias("y")))
         links = materialize(small.where("x <> y").distinct())
+        release(down)
         state = tuple(links.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("x", "y").cast("decimal(20,0)")), F.lit(0)).cast("string")).first())
         if state == before:
             return links.groupBy(F.col("x").alias("d")).agg(F.min("y").alias("class"))
@@ -310,52 +346,68 @@ def overlaps(bags: list, pairs: np.ndarray) -> np.ndarray:
     return hit / np.maximum(1, total[pairs[:, 0]] + total[pairs[:, 1]] - hit)
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, d, sha, class_id for every row of ``docs``."""
-    rows = keyed(docs)
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    narrow = materialize(rows.select("doc_id", "d", "sha"))
-    firsts = materialize(narrow.groupBy("sha").agg(F.min("d").alias("d")))
-    texts = rows.select("d", "sha", "text")
-    marks = materialize(signed(texts).join(firsts.select("d").distinct(), "d", "left_semi"))
-    banded = marks.select("d", F.posexplode("bands").alias("band", "key"))
-    buckets = banded.groupBy("band", "key").agg(F.min("d").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    members = materialize(banded.join(buckets, ["band", "key"]).select("band", "key", "d", "leader", "n"))
+def dealt(open_: DataFrame) -> DataFrame:
+    """Members of open buckets (band, key, d, class, size) dealt to the cells (i, j) in which they are compared.
+
+    Blocks of the other documents come first, those of the largest class after them; no cell holds two blocks of
+    the largest class.
+    """
+    sums = open_.groupBy("band", "key", "class").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    order = F.struct("n", -F.col("class"))
+    plan = sums.groupBy("band", "key").agg(F.max_by("class", order).alias("main"), F.max("n").alias("m"), F.max_by("bytes", order).alias("mb"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
+    blocks = lambda n, size: F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_BYTES)).cast("int")
+    plan = plan.select("band", "key", "main", blocks(F.col("m"), F.col("mb")).alias("mains"), blocks(F.col("n") - F.col("m"), F.col("bytes") - F.col("mb")).alias("rests"))
+    rows = open_.join(plan, ["band", "key"]).withColumn("in_main", F.col("class") == F.col("main"))
+    block = F.when(F.col("in_main"), F.col("rests") + F.pmod(F.xxhash64("d"), F.col("mains"))).otherwise(F.pmod(F.xxhash64("d"), F.col("rests")))
+    rows = rows.withColumn("block", block.cast("int"))
+    others = F.sequence(F.lit(0), F.when(F.col("in_main"), F.col("rests") - 1).otherwise(F.col("rests") + F.col("mains") - 1))
+    rows = rows.withColumn("other", F.explode(others))
+    return rows.select("band", "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "d", "class", "block")
+
+
+def classes(found: Documents) -> DataFrame:
+    """d, sha and class_id (the smallest d of the class) for every text."""
+    firsts, n = found.firsts, int(found.rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = found.rows.select(F.col("__d").alias("d"), F.col("__text").alias("text"))
+    if found.repeats:
+        texts = texts.dropDuplicates(["d"])
+    marks = materialize(signed(texts).join(firsts.select("d"), "d", "left_semi"))
+    banded = marks.select("d", "size", F.posexplode("bands").alias("band", "key"))
+    buckets = banded.groupBy("band", "key").agg(F.min("d").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n")
+    members = materialize(banded.join(buckets, ["band", "key"]).select("band", "key", "d", "size", "leader"))
     met = members.where("d <> leader").groupBy("d", "leader").agg(F.count("*").alias("times"))
     pairs = met.groupBy("d").agg(F.max_by("leader", F.struct("times", -F.col("leader"))).alias("y")).select(F.col("d").alias("x"), "y")
     links = materialize(verified(pairs, texts))
     label = components(links)
     labelled = members.join(label, "d", "left").withColumn("class", F.coalesce("class", "d"))
     mixed = labelled.groupBy("band", "key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("band", "key")
-    open_ = labelled.join(mixed, ["band", "key"]).select("band", "key", "d", "class", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    open_ = open_.withColumn("block", F.pmod(F.xxhash64("d"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = open_.withColumn("other", other).select("band", "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "d", "class", "block")
+    open_ = materialize(labelled.join(mixed, ["band", "key"]).select("band", "key", "d", "class", "size"))
+    release(members)
     place = ["band", "key", "i", "j"]
     fields = PLACE + ", d long, class long, block int, signature binary, bands array<long>"
-    seen = dealt.join(marks.dropDuplicates(["d"]), "d").select(*place, "d", "class", "block", "signature", "bands")
-    seen = seen.repartition(n, *place).sortWithinPartitions(*place, "d").mapInArrow(flagged, fields)
-    seen = materialize(seen)
+    seen = dealt(open_).join(marks, "d").select(*place, "d", "class", "block", "signature", "bands")
+    seen = materialize(seen.repartition(n, *place).sortWithinPartitions(*place, "d").mapInArrow(flagged, fields))
+    release(marks, open_)
     full = seen.join(texts, "d").select(*place, "d", "class", "block", "signature", "bands", "text")
     more = full.repartition(n, *place).sortWithinPartitions(*place, "d").mapInArrow(joined_in_bucket, "x long, y long")
     label = components(links.union(more))
-    named = firsts.join(label, "d", "left").select("sha", F.coalesce("class", "d").alias("class_id"))
-    return narrow.join(named, "sha").select("doc_id", "d", "sha", "class_id")
+    release(seen, links)
+    return firsts.join(label, "d", "left").select("d", "sha", F.coalesce("class", "d").alias("class_id"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, class_id and whether the document stays, for every row."""
-    found = classes(docs)
-    return found.select("doc_id", "class_id", (F.col("d") == F.col("class_id")).alias("kept"))
+    found = documents(docs)
+    rows = found.rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("__d").alias("own"), F.col("__sha").alias("sha"))
+    return rows.join(classes(found).select("sha", "class_id"), "sha").select("doc_id", "class_id", (F.col("own") == F.col("class_id")).alias("kept"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of every class, with all columns of ``docs``."""
-    stay = classes(docs).where("d = class_id").select(F.col("d").alias("__d")).distinct()
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_STAND_IN) - F.pmod(F.xxhash64(F.sha2(text, 256)), F.lit(STAND_INS)))
-    kept = docs.withColumn("__d", own).join(stay, "__d", "left_semi")
-    return kept.dropDuplicates(["__d"]).select(*docs.columns)
+    found = documents(docs)
+    stay = classes(found).where("d = class_id").select(F.col("d").alias("__d"))
+    kept = found.rows.join(stay, "__d", "left_semi")
+    return (kept.dropDuplicates(["__d"]) if found.repeats else kept).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,12 +15,18 @@ with the same anchor form a run; a run is about 35 windows, so few rows move.
 4. Anchors common to many different contexts (found in a sample of documents, or by the size of a bucket)
    are dealt out window by window instead. That changes the route, not the result.
 
-Texts are written once, bucketed by document, and joined from there without moving again.
-
-Order: (doc_id, start); a null doc_id counts as the smallest. Rows with equal doc_id are one document:
-a string that starts at the same place in two of its rows has no earlier start there. Defined results: a
-null text counts as empty; texts under ``LENGTH`` bytes keep everything; repeated rows repeat; extra columns
-are dropped; an empty table gives an empty result.
+Most repeats are settled by steps 1 and 2, which compare 64-bit hashes of whole runs (with a second hash of the
+anchor); suffix arrays and intervals settle what is left. The groups themselves stay inside the tasks: what leaves
+a bucket is the covered spans.
+
+Texts are written once, bucketed by a key of (doc_id, text), and joined from there without moving again; so rows
+that share a doc_id, or have none, spread out like any others.
+
+Order: (doc_id, start); null ids come first, each of their texts as a document of its own, in the order of a hash of
+the text. Rows with equal doc_id are one document: a string that starts at the same place in two of its rows has no
+earlier start there. Defined results: a null text counts as empty; texts under ``LENGTH`` bytes keep everything;
+repeated rows repeat; extra columns are dropped (``strip_repeats`` keeps all, whatever their names); an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fwloom.llm.common import materialize, mix64, shared_dir, table
+from fwloom.llm.common import materialize, mix64, release, shared_dir, table
 
 LENGTH, GRAM = 100, 32
 SIDE = LENGTH - GRAM
@@ -45,14 +51,16 @@ BUCKET, CHUNK = 2000, 100_000
 #: Sample for anchors that are common everywhere: documents, and the share of them that makes an anchor common.
 SAMPLE_DOCS, COMMON = 2000, 0.01
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
-FIRST_ID = -(2**63)
-
-RUN = "kind int, g long, h long, d long, s int, p long, q long, a long"
-FOUND = "kind int, g long, d long, s int, p long, q long, a long"
-CONTEXT = "g long, h long, d long, s int, p long, a long, body binary"
-COVER = "d long, s int, p long, q long"
+#: Where the order of null ids begins, and how many numbers it has; ids of documents lie above.
+FIRST_ID, NULL_IDS = -(2**63), 2**61
+
+#: d orders documents, s is the key of a text.
+RUN = "kind int, g long, h long, d long, s long, p long, q long, a long"
+FOUND = "kind int, g long, d long, s long, p long, q long, a long"
+CONTEXT = "g long, h long, d long, s long, p long, a long, body binary"
+COVER = "d long, s long, p long, q long"
 NAMES = {x: [f.split()[0] for f in x.split(", ")] for x in (RUN, FOUND, CONTEXT, COVER)}
-TYPES = {"kind": pa.int32(), "s": pa.int32(), "body": pa.binary()}
+TYPES = {"kind": pa.int32(), "body": pa.binary()}
 
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -157,7 +165,7 @@ def emit_runs(batches: Iterator[pa.RecordBatch], common: np.ndarray) -> Iterator
                     n = (last - first + 1)[wide]
                     at = np.repeat(first[wide] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
                     first, last, a, g, h = (np.concatenate([c[~wide], x]) for c, x in zip((first, last, a, g, h), (at, at, at, one[at], two[at])))
-                held.append((g, h, np.full(len(g), d), np.full(len(g), s, np.int32), first + start, last + start + LENGTH, a + start))
+                held.append((g, h, np.full(len(g), d), np.full(len(g), s), first + start, last + start + LENGTH, a + start))
                 size += len(part)
             if size >= 1 << 24:
                 yield from flush()
@@ -240,8 +248,6 @@ def emit_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for d, s, text, wanted in zip(*(batch.column(i).to_pylist() for i in range(4))):
             data = None
             for x in wanted:
-                if x["s"] != s:
-                    continue
                 data = data if data is not None else text.encode()
                 body = data[x["p"] : x["q"]]
                 if x["kind"] == 1:
@@ -249,7 +255,7 @@ def emit_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 else:
                     one, two = window_keys(np.frombuffer(body, np.uint8))
                     at = np.arange(len(one)) + x["p"]
-                    wide.append((one, two, np.full(len(at), d), np.full(len(at), s, np.int32), at, at))
+                    wide.append((one, two, np.full(len(at), d), np.full(len(at), s), at, at))
         if out:
             yield batch_of(CONTEXT, list(zip(*out)))
         if wide:
@@ -447,68 +453,88 @@ def common_anchors(texts: DataFrame) -> np.ndarray:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    d = F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID))
-    return docs.select(F.col("doc_id").cast("long"), d.alias("d"), text.alias("text")).withColumn("sha", F.sha2("text", 256)).withColumn("n", F.octet_length("text").cast("long"))
-
-
-def first_texts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The first document of every text of ``LENGTH`` bytes or more: (d, sha), and (d, s, sha, text) bucketed by d."""
-    spark = docs.sparkSession
-    rows = keyed(docs)
-    firsts = materialize(rows.where(F.col("n") >= LENGTH).groupBy("sha").agg(F.min("d").alias("d")))
-    wanted = firsts.groupBy("d").agg(F.collect_list("sha").alias("wanted"))
+    """``docs`` with __text, __sha, __n (bytes), __d (order of the document) and __s (key of document and text)."""
+    rows = docs.withColumn("__text", F.coalesce(F.col("text").cast("string"), F.lit(""))).withColumn("__sha", F.sha2("__text", 256))
+    first = F.lit(FIRST_ID) + F.pmod(F.xxhash64("__sha"), F.lit(NULL_IDS))
+    rows = rows.withColumn("__n", F.octet_length("__text").cast("long")).withColumn("__d", F.coalesce(F.col("doc_id").cast("long"), first))
+    return rows.withColumn("__s", F.xxhash64("__d", "__sha"))
+
+
+def first_texts(rows: DataFrame) -> DataFrame:
+    """(d, s, sha, text) of the first document of every text of ``LENGTH`` bytes or more, bucketed by s."""
+    spark = rows.sparkSession
+    long = rows.where(F.col("__n") >= LENGTH)
+    held = long.groupBy(F.col("__sha").alias("sha"), F.col("__d").alias("d")).agg(F.count("*").alias("times"))
+    firsts = materialize(held.groupBy("sha").agg(F.min(F.struct("d", "times")).alias("first")).select("sha", "first.*"))
+    repeats = not firsts.where("times > 1").isEmpty()
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = rows.where(F.col("n") >= LENGTH).repartition(n, "d").join(wanted, "d").where(F.array_contains("wanted", F.col("sha")))
-    texts = texts.select("d", F.hash("sha").alias("s"), "sha", "text")
-    name = f"fwloom_{uuid.uuid4().hex}"
+    wanted = firsts.select(F.xxhash64("d", "sha").alias("__s"), F.col("sha").alias("own"))
+    texts = long.select("__d", "__s", "__sha", "__text").repartition(n, "__s").join(wanted, "__s")
+    texts = texts.where(F.contains("own", "__sha"))  # a hash of 64 bits is no proof; equal lengths make this equality
+    if repeats:
+        texts = texts.dropDuplicates(["__s", "__sha"])
+    texts = texts.select(F.col("__d").alias("d"), F.col("__s").alias("s"), F.col("__sha").alias("sha"), F.col("__text").alias("text"))
+    name, path = f"fwloom_{uuid.uuid4().hex}", shared_dir(spark)
     cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(cleanup, None)
     spark.conf.set(cleanup, "true")  # the shuffled texts are not needed once they are written
-    texts.write.bucketBy(n, "d").option("path", shared_dir(spark)).format("parquet").saveAsTable(name)
+    texts.write.bucketBy(n, "s").option("path", path).format("parquet").saveAsTable(name)
     spark.conf.unset(cleanup) if before is None else spark.conf.set(cleanup, before)
-    return firsts, spark.table(name)
+    release(firsts)
+    out = spark.table(name)
+    out.schema  # resolved: only the files are needed from here on
+    spark.sql(f"DROP TABLE {name}")
+    return out
 
 
-def covers(texts: DataFrame) -> DataFrame:
-    """``COVER``: spans of (d, s) that also start earlier."""
+def found_runs(texts: DataFrame) -> DataFrame:
+    """``FOUND``, written."""
     n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     common = texts.sparkSession.sparkContext.broadcast(common_anchors(texts))
     runs = texts.select("d", "s", "text").mapInArrow(lambda it: emit_runs(it, common.value), RUN)
-    found = materialize(runs.repartition(n, "g").sortWithinPartitions("g", "h", "d", "p").mapInArrow(fold_runs, FOUND))
-    wanted = found.where("kind > 0").groupBy("d").agg(F.collect_list(F.struct("kind", "g", "s", "p", "q", "a")).alias("wanted"))
-    contexts = texts.join(wanted, "d").select("d", "s", "text", "wanted").mapInArrow(emit_contexts, CONTEXT)
+    return materialize(runs.repartition(n, "g").sortWithinPartitions("g", "h", "d", "p").mapInArrow(fold_runs, FOUND))
+
+
+def covers(texts: DataFrame) -> DataFrame:
+    """``COVER``: spans of (d, s) that also start earlier."""
+    n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = found_runs(texts)
+    wanted = found.where("kind > 0").groupBy("s").agg(F.collect_list(F.struct("kind", "g", "p", "q", "a")).alias("wanted"))
+    contexts = texts.join(wanted, "s").select("d", "s", "text", "wanted").mapInArrow(emit_contexts, CONTEXT)
     compared = contexts.repartition(n, "g").sortWithinPartitions("g", "h", "d", "p").mapInArrow(compare_contexts, COVER)
-    return materialize(found.where("kind = 0").select("d", "s", "p", "q").union(compared))
+    out = materialize(found.where("kind = 0").select("d", "s", "p", "q").union(compared))
+    release(found)
+    return out
 
 
 def reduced(texts: DataFrame, spans: DataFrame, keep_text: bool) -> DataFrame:
-    """d, sha, n_removed, n_spans, kept_sha256 and, if asked, the text that stays."""
-    grouped = spans.groupBy("d").agg(F.collect_list(F.struct("s", "p", "q")).alias("spans"))
-    schema = "d long, sha string, n_removed long, n_spans long, kept_sha256 string, kept string"
+    """s, sha, n_removed, n_spans, kept_sha256 and, if asked, the text that stays."""
+    grouped = spans.groupBy("s").agg(F.collect_list(F.struct("p", "q")).alias("spans"))
+    schema = "s long, sha string, n_removed long, n_spans long, kept_sha256 string, kept string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for d, s, sha, text, spans in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                own = merged([(x["p"], x["q"]) for x in spans or [] if x["s"] == s])
+            for s, sha, text, spans in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                own = merged([(x["p"], x["q"]) for x in spans or []])
                 if not own:
-                    rows.append((d, sha, 0, 0, sha, text if keep_text else None))
+                    rows.append((s, sha, 0, 0, sha, text if keep_text else None))
                     continue
                 kept = kept_bytes(text.encode(), own)
                 # A cut may split a character; its remaining bytes go with it where text is wanted.
-                rows.append((d, sha, sum(q - p for p, q in own), len(own), hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore") if keep_text else None))
+                rows.append((s, sha, sum(q - p for p, q in own), len(own), hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore") if keep_text else None))
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 6, kinds)], ["d", "sha", "n_removed", "n_spans", "kept_sha256", "kept"])
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 6, kinds)], ["s", "sha", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    return texts.join(grouped, "d", "left").select("d", "s", "sha", "text", "spans").mapInArrow(run, schema)
+    return texts.join(grouped, "s", "left").select("s", "sha", "text", "spans").mapInArrow(run, schema)
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
-    firsts, texts = first_texts(docs)
-    done = reduced(texts, covers(texts), False).drop("kept").dropDuplicates(["d", "sha"])
-    rows = keyed(docs).select("doc_id", "d", "sha", "n").join(done, ["d", "sha"], "left")
+    rows = keyed(docs.select(F.col("doc_id").cast("long"), "text"))
+    texts = first_texts(rows)
+    done = reduced(texts, covers(texts), False).drop("kept")
+    rows = rows.select("doc_id", F.col("__s").alias("s"), F.col("__sha").alias("sha"), F.col("__n").alias("n")).join(done, ["s", "sha"], "left")
     copy = F.col("kept_sha256").isNull() & (F.col("n") >= LENGTH)
     return rows.select(
         "doc_id",
@@ -521,12 +547,12 @@ def dedup(docs: DataFrame) -> DataFrame:
 
 def strip_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated strings removed from ``text``; all columns stay, ``n_chars`` follows the text."""
-    firsts, texts = first_texts(docs)
-    done = reduced(texts, covers(texts), True).select(F.col("d").alias("__d"), F.col("sha").alias("__sha"), "kept").dropDuplicates(["__d", "__sha"]).withColumn("__done", F.lit(True))
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.join(done, (F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID)) == F.col("__d")) & (F.sha2(text, 256) == F.col("__sha")), "left")
-    new = F.when(F.octet_length(text) < LENGTH, F.col("text")).when(F.col("__done"), F.col("kept")).otherwise(F.lit(""))
-    out = {c: new if c == "text" else F.length(new).cast("long") if c == "n_chars" else F.col(c) for c in docs.columns}
+    rows = keyed(docs)
+    texts = first_texts(rows)
+    done = reduced(texts, covers(texts), True).select(F.col("s").alias("__s"), F.col("sha").alias("__sha"), F.col("kept").alias("__kept"), F.lit(True).alias("__done"))
+    rows = rows.join(done, ["__s", "__sha"], "left")
+    new = F.when(F.col("__n") < LENGTH, F.col("text")).when(F.col("__done"), F.col("__kept")).otherwise(F.lit(""))
+    out = {c: new if c == "text" else F.length(new).cast(docs.schema[c].dataType) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns}
     return rows.select(*(v.alias(c) for c, v in out.items()))
 
 

@@ -13,8 +13,9 @@ into a probability. Training rows are a sample of at most ``TRAIN_ROWS`` labelle
 a hash of their id, and only of those whose crc32(doc_id) mod 3 is not 1. Labels, lang, source and doc_id
 are no inputs of a score.
 
-Trigram counts and feature counts are summed by Spark; what reaches the driver is bounded by the alphabet's
-cube, by ``MAX_FEATURES`` and by ``TRAIN_ROWS``. Documents are scored in one pass without a shuffle.
+Trigram counts and feature counts are summed by Spark; what reaches the driver is bounded by the alphabet's cube and
+by ``TRAIN_ROWS``: the labelled sample, and the features that pass the test on it, all of them. Documents are
+scored in one pass without a shuffle.
 
 Defined results: null and empty texts score like a text without evidence; a null doc_id is not held out;
 of several labels for a document the largest counts, null labels none; without labels of both kinds every
@@ -34,10 +35,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fwloom.llm.common import table
+from fwloom.llm.common import materialize, release, table
 
-#: Bound of the labelled sample, of the learnt features, and the score from which a text counts as toxic.
-TRAIN_ROWS, MAX_FEATURES, THRESHOLD = 12_000, 4000, 0.7
+#: Bound of the labelled sample, and the score from which a text counts as toxic.
+TRAIN_ROWS, THRESHOLD = 12_000, 0.7
 PREFIXES = (4, 5, 6)
 MEMO_WORDS = 300_000
 #: Fewest letters of a spaced run and of a learnt word looked up in it, and most of a run that counts as one word.
@@ -292,7 +293,7 @@ def feature_weights(rows: DataFrame, counts: np.ndarray) -> dict[str, float]:
                     found[f][toxic == 1] += 1
             yield pa.record_batch([pa.array(list(found), pa.string()), pa.array([v[1] for v in found.values()], pa.int64()), pa.array([v[0] for v in found.values()], pa.int64())], ["feature", "toxic", "clean"])
 
-    summed = rows.mapInArrow(run, "feature string, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("k1"), F.sum("clean").alias("k0"))
+    summed = materialize(rows.mapInArrow(run, "feature string, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("k1"), F.sum("clean").alias("k0")))
     k1, k0, share = F.col("k1"), F.col("k0"), n1 / (n1 + n0)
     n = k1 + k0
     xlogy = lambda x, y: F.when(x > 0, x * F.log(y)).otherwise(0.0)
@@ -300,8 +301,9 @@ def feature_weights(rows: DataFrame, counts: np.ndarray) -> dict[str, float]:
     odds = F.log((k1 + 0.5) / (n1 + 1.0)) - F.log((k0 + 0.5) / (n0 + 1.0))
     tested = summed.where((k1 > 1) & (k1 > n * share)).select("feature", odds.alias("odds"), test.alias("test"))
     number = max(summed.count(), 2)
-    kept = tested.where((F.col("test") >= 2 * math.log(number)) & (F.col("odds") >= 1.5)).orderBy(F.desc("test"), "feature").limit(MAX_FEATURES)
-    return {r["feature"]: r["odds"] for r in kept.collect()}
+    kept = tested.where((F.col("test") >= 2 * math.log(number)) & (F.col("odds") >= 1.5)).orderBy("feature").collect()
+    release(summed)
+    return {r["feature"]: r["odds"] for r in kept}
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
@@ -320,7 +322,7 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
 def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
     """Channel model from all documents, scorer from the labelled sample."""
     counts = trigram_counts(docs)
-    rows = training_rows(docs, labels)
+    rows = materialize(training_rows(docs, labels))
     weights = feature_weights(rows, counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,15 +332,18 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
             yield pa.record_batch([pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.float64()), batch.column(1)], ["total", "top", "density", "toxic"])
 
     seen = rows.mapInArrow(run, "total double, top double, density double, toxic int").collect()  # the labelled sample
+    release(rows)
     y = np.array([float(r["toxic"] == 1) for r in seen])
     if not len(y) or y.min() == y.max():
         return Scorer(counts, weights, (float(y.mean()) if len(y) else 0.0,))
     return Scorer(counts, weights, fit_curve(np.array([scaled(r["total"], r["top"], r["density"]) for r in seen]), y))
 
 
-def score_texts(docs: DataFrame, model: Scorer) -> DataFrame:
-    """All columns of ``docs`` and ``score``; a column of that name gives way."""
-    docs = docs.drop("score")
+def score_texts(docs: DataFrame, model: Scorer, column: str = "score") -> DataFrame:
+    """All columns of ``docs`` and the score, in a new ``column``; another name is needed where ``docs`` has one of it."""
+    if column in docs.columns:
+        raise ValueError(f"a column named {column} is there already")
+    docs = docs.withColumn("text", F.col("text").cast("string"))
     names = docs.columns
     state = docs.sparkSession.sparkContext.broadcast((model.counts, model.weights, model.curve))
 
@@ -347,9 +352,9 @@ def score_texts(docs: DataFrame, model: Scorer) -> DataFrame:
         at = names.index("text")
         for batch in batches:
             scores = [scorer.score(t or "") for t in batch.column(at).to_pylist()]
-            yield pa.record_batch([*batch.columns, pa.array(scores, pa.float64())], [*names, "score"])
+            yield pa.record_batch([*batch.columns, pa.array(scores, pa.float64())], [*names, column])
 
-    return docs.mapInArrow(run, docs.withColumn("score", F.lit(0.0)).schema)
+    return docs.mapInArrow(run, docs.withColumn(column, F.lit(0.0)).schema)
 
 
 def held_out(doc_id: str = "doc_id"):

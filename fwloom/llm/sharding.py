@@ -12,7 +12,8 @@ Quantisation: numbers by the table's own approximate quantiles; strings by cut p
 taken from a range partitioning of the distinct values. Both give at most ``2**BITS - 1`` cuts.
 
 Defined results: a null text has size 8 and the checksum of nothing; nulls of a dimension come first; fully
-equal rows share out neighbouring slots in any order; extra columns are dropped; an empty table gives none.
+equal rows share out neighbouring slots in any order; extra columns are dropped (``write_shards`` keeps them; one
+named ``shard`` is an error, as the folders need that name); an empty table gives none.
 """
 
 from __future__ import annotations
@@ -120,8 +121,8 @@ def ranked(df: DataFrame, dimensions: list[str], ties: list[str], bits: int = BI
     return numbered.join(base, "part").withColumn("rank", F.col("base") + F.col("nth")).select(*names, "curve", "rank")
 
 
-def shards(docs: DataFrame, count: int = SHARDS, dimensions: tuple[str, ...] = ("lang", "source", "size")) -> DataFrame:
-    """``RESULT`` for ``docs`` (doc_id, text and the dimensions; ``size`` is made here)."""
+def shards(docs: DataFrame, count: int = SHARDS, dimensions: tuple[str, ...] = ("lang", "source", "size"), keep: tuple[str, ...] = ()) -> DataFrame:
+    """``RESULT`` for ``docs`` (doc_id, text and the dimensions; ``size`` is made here), and the columns to ``keep``."""
     own = [c for c in dimensions if c != "size"]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     narrow = docs.select(
@@ -129,6 +130,7 @@ def shards(docs: DataFrame, count: int = SHARDS, dimensions: tuple[str, ...] = (
         (F.octet_length(text).cast("long") + ROW_BYTES).alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         *own,
+        *keep,
     )
     narrow = materialize(narrow)
     total = narrow.count()
@@ -142,6 +144,7 @@ def shards(docs: DataFrame, count: int = SHARDS, dimensions: tuple[str, ...] = (
         shard.cast("int").alias("shard"),
         (F.col("rank") - F.expr(f"({shard_start('rank', count, total)})")).cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
+        *keep,
     )
 
 
@@ -151,12 +154,17 @@ def shard_start(rank: str, count: int, total: int) -> str:
     return f"((({rank} + 1) * {count} - 1) div {total}) * {total} div {count}"
 
 
-def write_shards(docs: DataFrame, path: str, **options) -> None:
-    """Writes whole rows as Parquet folders, one for each shard, in the order of the curve."""
-    placed = shards(docs, **options).select("doc_id", "text_crc32", "shard", "slot").dropDuplicates(["doc_id", "text_crc32"])
-    key = F.crc32(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
-    rows = docs.withColumn("text_crc32", key).join(placed, docs["doc_id"].eqNullSafe(placed["doc_id"]) & (key == placed["text_crc32"])).select(docs["*"], "shard", "slot")
-    rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").drop("slot").write.partitionBy("shard").parquet(path)
+def write_shards(docs: DataFrame, path: str, dimensions: tuple[str, ...] = ("lang", "source", "size"), **options) -> None:
+    """Writes whole rows as Parquet folders, one for each shard, in the order of the curve.
+
+    Rows are numbered first and meet their shard by that number, so repeated rows keep the law too.
+    """
+    if "shard" in docs.columns:
+        raise ValueError("a column named shard clashes with the folders of the shards")
+    numbered = materialize(docs.withColumn("__row", F.monotonically_increasing_id()))
+    placed = shards(numbered, dimensions=dimensions, keep=("__row",), **options).select("__row", F.col("shard").alias("__shard"), F.col("slot").alias("__slot"))
+    rows = numbered.join(placed, "__row").repartitionByRange("__shard", "__slot").sortWithinPartitions("__shard", "__slot")
+    rows.select(*(F.col(f"`{c}`") for c in docs.columns), F.col("__shard").alias("shard")).write.partitionBy("shard").parquet(path)
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from fwloom.llm import ann, neardup, suffixes
 
@@ -70,6 +71,33 @@ def test_near_duplicates_odd_rows(spark):
     assert sum(r["text"] == "a b c d e f" for r in neardup.keep_one(df).collect()) == 1
 
 
+def test_texts_under_one_id_are_not_lost(spark):
+    """Two texts under one id, repeated rows, null ids, and columns named like the operator's own."""
+    other = "quite another text that stands under the very same id"
+    rows = [(7, "a b c d e f", 1), (7, other, 2), (7, other, 2), (8, "a b c d e f", 3), (9, other, 4), (None, "g h i j k", 5), (None, "l m n o p", 6), (7, "", 7), (None, "", 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, d int").withColumn("class_id", F.lit("x")).withColumn("a.b", F.lit(1))
+    kept = neardup.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted(r["text"] for r in kept.collect()) == sorted(["a b c d e f", other, "g h i j k", "l m n o p", "", ""])
+    out = neardup.near_duplicates(df).collect()
+    assert len(out) == len(rows) and sum(r["kept"] for r in out) == 7  # the repeated row is kept or not as a whole
+
+
+def test_largest_class_of_a_bucket_is_dealt_once(spark):
+    """5,000 members of one class and three strays: rows dealt grow with the members, not with the blocks."""
+    rows = [(0, 1, d, 1, 100) for d in range(5000)] + [(0, 1, 9000 + d, 9000 + d, 100) for d in range(3)]
+    out = neardup.dealt(spark.createDataFrame(rows, "band int, key long, d long, class long, size long")).collect()
+    blocks = -(-5000 // neardup.BLOCK)
+    assert len(out) == 5000 + 3 * (blocks + 1)
+    cells: dict = {}
+    for r in out:
+        cells.setdefault((r["i"], r["j"]), set()).add(r["d"])
+    met = {(s, d) for members in cells.values() for s in range(9000, 9003) if s in members for d in members}
+    assert all((s, d) in met for s in range(9000, 9003) for d in [*range(5000), *range(9000, 9003)])
+    heavy = spark.createDataFrame([(0, 1, d, 1 + d % 2, neardup.BLOCK_BYTES // 2) for d in range(40)], "band int, key long, d long, class long, size long")
+    assert neardup.dealt(heavy).groupBy("i", "j").count().agg(F.max("count")).first()[0] < 25
+
+
 def test_signatures_are_unbiased():
     rng = np.random.default_rng(3)
     hits = []
@@ -238,6 +266,30 @@ def test_pipeline_odd_rows(spark, tmp_path):
         assert corpus_pipeline.run(spark, str(tmp_path / name)).count() == (3 if rows else 0)
 
 
+def test_pipeline_keeps_clashing_columns_and_texts(spark, tmp_path):
+    """Columns named like the operators' own, a very long text, two texts under one id, repeated rows: nothing clean is lost."""
+    import corpus_pipeline
+
+    own = ["score", "kept", "d", "sha", "s", "class", "class_id", "band", "shard", "slot", "length", "size", "task"]
+    long = " ".join(f"w{n * 7919 % 100_003}" for n in range(60_000))
+    rows = [(1, long), (2, "one text under this id"), (2, "another one under it"), (3, "the same row"), (3, "the same row"), (None, "no id at all"), (None, "nor here"), (4, None), (5, "")]
+    docs = spark.createDataFrame([(d, t, None, "src", len(t or "")) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for n, c in enumerate(own):
+        docs = docs.withColumn(c, F.lit(7.0) if n % 2 else F.lit("mine"))
+    spark.createDataFrame([(2, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    texts = [t for _, t in rows]
+    texts.remove("the same row")
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        columns = docs.columns
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == columns
+        got = docs.collect()
+        assert all(r[c] == (7.0 if n % 2 else "mine") for r in got for n, c in enumerate(own))
+        docs = spark.createDataFrame(got, docs.schema)
+    assert sorted(map(str, (r["text"] for r in got))) == sorted(map(str, texts))
+    assert corpus_pipeline.pack_sequences(spark, docs, str(tmp_path)).select("doc_id", "piece").count() > len(texts)
+
+
 @pytest.mark.parametrize("module", ["packing", "neardup", "secrets", "toxicity", "ann", "counts", "media", "bpe", "suffixes", "sharding"])
 def test_registered(module):
     import __spark_entry__

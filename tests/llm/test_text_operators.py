@@ -387,6 +387,34 @@ def test_sharding(spark, sf_dir):
     assert max(map(len, shards.values())) - min(map(len, shards.values())) <= 1
 
 
+def test_written_shards_keep_the_law(spark, tmp_path):
+    """Repeated rows, null ids and columns named like the operator's own are written once each."""
+    rows = [(n % 7 if n % 5 else None, "same" if n % 3 else f"text {n}", "en", "s", 1.0, "mine") for n in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, slot double, text_crc32 string")
+    sharding.write_shards(docs, str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    sizes = [r["count"] for r in back.groupBy("shard").count().collect()]
+    assert len(sizes) == 24 and max(sizes) - min(sizes) <= 1
+    assert sorted(map(str, back.drop("shard").select(*docs.columns).collect())) == sorted(map(str, docs.collect()))
+    with pytest.raises(ValueError, match="shard"):
+        sharding.write_shards(docs.withColumnRenamed("slot", "shard"), str(tmp_path / "no"))
+
+
+def test_ranks_follow_the_curve(spark):
+    """Against a plain sort of all rows by curve index, doc_id and checksum."""
+    random.seed(6)
+    rows = [(n, random.choice(["en", "de", None]), random.choice("abcdefgh"), random.randint(1, 900)) for n in range(500)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, source string, size long")
+    got = sharding.ranked(df, ["lang", "source", "size"], ["doc_id"]).collect()
+    order = sorted(got, key=lambda r: (r["curve"], r["doc_id"]))
+    assert [r["rank"] for r in order] == list(range(500))
+    cuts = sharding.number_cuts(df, ["size"], 64)["size"]
+    names = {c: sharding.string_cuts(df, c, 64) for c in ("lang", "source")}
+    for r in got:
+        cell = [sum(e <= r[c] for e in names[c]) if r[c] is not None else 0 for c in ("lang", "source")] + [sum(e <= r["size"] for e in cuts)]
+        assert r["curve"] == sharding.hilbert_index(np.array([cell]), sharding.BITS)[0]
+
+
 @pytest.mark.parametrize("dims,bits", [(2, 3), (3, 2), (4, 2)])
 def test_hilbert_steps_are_neighbours(dims, bits):
     cells = np.stack(np.meshgrid(*[np.arange(2**bits)] * dims, indexing="ij"), -1).reshape(-1, dims)

@@ -12,8 +12,8 @@ from fwloom.llm.common import materialize, table
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that operator 4 does not predict to be toxic; a null text stays."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score_texts(docs, model)
-    return scored.where(F.col("score") < toxicity.THRESHOLD).select(*docs.columns)
+    scored = toxicity.score_texts(docs, model, "__score")
+    return scored.where(F.col("__score") < toxicity.THRESHOLD).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,12 +1,16 @@
 """Operator 3: secret scans by assignment-aware lexing.
 
 Base findings are three fixed patterns (``assign``, ``access``, ``hex``). On top of them the scanner lexes
-source and configuration syntax into name-literal pairs: at every assignment sign it reads the name on its
-left and the value on its right (a quoted or bare literal, a sum of literals, or another name). Names bound
-to literals earlier in the document are propagated, so a literal that reaches a sensitive name through a
-neutral one is found where it stands. A pair scores by how sensitive its name is and how much its literal
-looks like a key rather than prose; pairs of at least ``MIN_SCORE`` add a ``lexed`` span, unless base spans
-hold it already. Base spans are never changed.
+source and configuration syntax into name-literal pairs: at every assignment sign it reads the whole name on its
+left and the value on its right (a quoted, triple-quoted, backquoted or bare literal, a sum of literals, or another
+name). A name inside braces or under a deeper line of YAML whose own name says nothing (``value``, ``key``) is read
+with the name around it. Constants are propagated over the document, wherever they are bound: a literal that
+reaches a sensitive name through any chain of names is found where it stands. A pair scores by how sensitive its
+name is and how much its literal looks like a key rather than prose; pairs of at least ``MIN_SCORE`` add a
+``lexed`` span, unless base spans hold it already. Base spans are never changed. Lines of a literal over several
+lines are literals of their own.
+
+Every step is linear in the text: a name, a sign and a literal are each read once.
 
 One pass over the table without a shuffle. Positions are code points, ends exclusive.
 
@@ -16,7 +20,9 @@ repeated rows give repeated results; extra columns are dropped; an empty table g
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import math
 import re
 from collections import Counter
@@ -46,15 +52,21 @@ PAIRED = [("api", "key"), ("private", "key"), ("access", "key"), ("secret", "key
 PLACEHOLDER = re.compile(r"(?ai)(?:none|null|true|false|undefined|changeme|example|placeholder|redacted|your[_-].*|x+|\*+|\.+|<.*>|\$\{.*\}|%\(.*|\{\{.*)$")
 MIN_SCORE = 1.2
 MIN_CHARS = 8
-
-SIGN = re.compile(r":=|=>|=(?![=~])|:(?![:/])")
-NAME = re.compile(r"([A-Za-z_$][A-Za-z0-9_.\-$]*)[\"'\]]{0,2}[ \t]*$")
-VALUE = re.compile(r"""[ \t]*(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|([^\s"'`,;(){}\[\]<>]+))""")
-PLUS = re.compile(r"[ \t]*\+(?=[ \t]*[\"'A-Za-z_])")
+#: Characters back to the start of a line whose indent counts; deeper lines open no block.
+INDENT = 200
+
+#: A whole name, what may close it (quotes, an index), and the sign; or a brace.
+LEXEME = re.compile(r"""(?<![A-Za-z0-9_.\-$])[0-9.\-]*+([A-Za-z_$][A-Za-z0-9_.\-$]*+)["'\]]{0,2}+[ \t]*+(:=|=>|=(?![=~])|:(?![:/]))|([{}])""")
+QUOTED = re.compile(r""""((?:[^"\\\n]|\\.)*+)"|'((?:[^'\\\n]|\\.)*+)'""")
+BARE = re.compile(r"""[^\s"'`,;(){}\[\]<>]++""")
+BLANK = re.compile(r"[ \t]*+")
+LONG_QUOTES = ('"""', "'''", "`")
+PLUS = re.compile(r"[ \t]*+\+(?=[ \t]*+[\"'`A-Za-z_])")
 IDENTIFIER = re.compile(r"[A-Za-z_$][A-Za-z0-9_.$]*$")
 SPLIT = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z0-9])(?=[A-Z])")
-#: A name of more characters than this before the sign is no identifier of source or configuration text.
-NAME_CHARS = 160
+LINE = re.compile(r"[^\n]+")
+#: Names that say nothing of their own.
+GENERIC = frozenset(["value", "key", "data", "content", "default", "current", "val"])
 
 SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_lexed long, top_score double"
 
@@ -89,48 +101,106 @@ def literal_score(value: str, quoted: bool) -> float:
     return min(1.0, 0.25 * (classes - 1) + 0.15 * entropy + 0.1 * quoted)
 
 
-def pairs(text: str) -> Iterator[tuple[str, list[tuple[int, int, bool]], list[str]]]:
-    """Name, literals (start, end, quoted) and names on the right of every assignment."""
-    for sign in SIGN.finditer(text):
-        low = max(0, sign.start() - NAME_CHARS)
-        name = NAME.search(text[low : sign.start()])
-        if not name:
-            continue
-        literals, names, at = [], [], sign.end()
-        while value := VALUE.match(text, at):
-            group = value.lastindex
-            start, end = value.span(group)
-            if group == 3:
-                end -= len(value[3]) - len(value[3].rstrip(".:!?"))
-                if IDENTIFIER.match(text[start:end]):
-                    names.append(text[start:end])
-            if end > start:
-                literals.append((start, end, group < 3))
-            at = value.end()
-            plus = PLUS.match(text, at)
-            if not plus:
-                break
-            at = plus.end()
-        if literals:
-            yield name[1], literals, names
+class Lexer:
+    """Reads the pairs of one text."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.unclosed: set[str] = set()  # long quotes that close nowhere from here on
+
+    def literal(self, at: int) -> tuple[list[tuple[int, int, bool]], str, int] | None:
+        """Literals (start, end, quoted), the name if it may be one, and the end of the value at ``at``."""
+        text = self.text
+        at = BLANK.match(text, at).end()
+        for mark in LONG_QUOTES:
+            if text.startswith(mark, at) and mark not in self.unclosed:
+                start = at + len(mark)
+                end = text.find(mark, start)
+                if end < 0:
+                    self.unclosed.add(mark)
+                    continue
+                lines = [(m.start(), m.end()) for m in LINE.finditer(text, start, end)]
+                stripped = [(a + len(text[a:b]) - len(text[a:b].lstrip()), b - len(text[a:b]) + len(text[a:b].rstrip())) for a, b in lines]
+                return [(a, b, True) for a, b in stripped if b > a], "", end + len(mark)
+        if m := QUOTED.match(text, at):
+            start, end = m.span(m.lastindex)
+            return [(start, end, True)] if end > start else [], "", m.end()
+        if m := BARE.match(text, at):
+            word = m[0].rstrip(".:!?")
+            return [(at, at + len(word), False)] if word else [], word if IDENTIFIER.match(word) else "", m.end()
+        return None
+
+    def pairs(self) -> Iterator[tuple[str, list[tuple[int, int, bool]], list[str]]]:
+        """Name, literals and names on the right of every assignment."""
+        text, around, at = self.text, [], 0
+        deeper: list[tuple[int, str]] = []  # indents and names of lines that open a block
+        opening = ""
+        for m in LEXEME.finditer(text):
+            if m.start() < at:  # inside a literal
+                continue
+            if m[3]:
+                if m[3] == "{":
+                    around.append(opening)
+                elif around:
+                    around.pop()
+                opening = ""
+                continue
+            name, own = m[1], m[1]
+            line = text.rfind("\n", max(0, m.start() - INDENT), m.start()) + 1
+            indent = m.start(1) - line if m[2] == ":" and (line or m.start() <= INDENT) and not text[line : m.start(1)].strip("- \"'\t") else -1
+            if indent >= 0:
+                while deeper and deeper[-1][0] >= indent:
+                    deeper.pop()
+            if name.lower() in GENERIC:
+                outer = around[-1] if around and around[-1] else deeper[-1][1] if deeper and indent >= 0 else ""
+                own = f"{outer}.{name}" if outer else name
+            literals, names, end = [], [], m.end()
+            while value := self.literal(end):
+                literals += value[0]
+                names += [value[1]] if value[1] else []
+                end = value[2]
+                plus = PLUS.match(text, end)
+                if not plus:
+                    break
+                end = plus.end()
+            opening = ""
+            if literals or names:
+                if literals and literals[0][2]:
+                    at = end
+                yield own, literals, names
+                continue
+            after = BLANK.match(text, m.end()).end()
+            if text.startswith("{", after):
+                opening = own
+            elif indent >= 0 and (after == len(text) or text[after] == "\n"):
+                deeper.append((indent, own))
 
 
 def lexed_spans(text: str) -> list[tuple[int, int, float]]:
     """(start, end, score) of literals that reach a sensitive name."""
     if "=" not in text and ":" not in text:
         return []
-    bound: dict[str, list[tuple[int, int, bool]]] = {}
+    held: dict[str, set[tuple[int, int, bool]]] = {}
+    refers: dict[str, set[str]] = {}
+    for name, literals, names in Lexer(text).pairs():
+        # A bare word without a digit is a name or prose.
+        held.setdefault(name, set()).update(x for x in literals if x[2] or not IDENTIFIER.match(text[x[0] : x[1]]) or re.search("[0-9]", text[x[0] : x[1]]))
+        refers.setdefault(name, set()).update(names)
+    sensitive = sorted(((s, name) for name in held if (s := name_score(name))), reverse=True)
+    seen: set[str] = set()
     found: dict[tuple[int, int], float] = {}
-    for name, literals, names in pairs(text):
-        reached = [x for x in literals if x[2] or not IDENTIFIER.match(text[x[0] : x[1]]) or re.search("[0-9]", text[x[0] : x[1]])]
-        reached += [x for n in names for x in bound.get(n, [])]
-        bound[name] = reached
-        sensitive = name_score(name)
-        if sensitive:
-            for start, end, quoted in reached:
+    for score, name in sensitive:  # the most sensitive first, so each name is passed once
+        open_ = [name]
+        while open_:
+            name = open_.pop()
+            if name in seen or name not in held:
+                continue
+            seen.add(name)
+            open_ += refers[name]
+            for start, end, quoted in held[name]:
                 own = literal_score(text[start:end], quoted)
-                if own and sensitive + own >= MIN_SCORE:
-                    found[start, end] = max(found.get((start, end), 0.0), sensitive + own)
+                if own and score + own >= MIN_SCORE:
+                    found[start, end] = max(found.get((start, end), 0.0), score + own)
     return sorted((a, b, s) for (a, b), s in found.items())
 
 
@@ -138,7 +208,9 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
     """Base spans, all spans, and the best score of a lexed literal."""
     base = base_spans(text)
     lexed = lexed_spans(text)
-    new = [(a, 3, b) for a, b, _ in lexed if not any(x <= a and b <= y for x, _, y in base)]
+    # The furthest end of base spans up to a start tells whether one of them holds the literal.
+    starts, ends = [x for x, _, _ in base], list(itertools.accumulate((y for _, _, y in base), max))
+    new = [(a, 3, b) for a, b, _ in lexed if not ((k := bisect.bisect_right(starts, a)) and ends[k - 1] >= b)]
     return base, sorted(base + new), max((s for *_, s in lexed), default=0.0)
 
 

@@ -250,6 +250,62 @@ def test_lexed_secrets():
     assert secrets.redact("a b c", [(0, 0, 1), (0, 1, 3)]) == "[SECRET] c"
 
 
+def lexed(text):
+    return [text[a:b] for a, kind, b in secrets.scan(text)[1] if kind == 3]
+
+
+def test_long_names_and_late_constants():
+    key = "Zx81kqPw92mmT0a"
+    assert lexed("password_" + "x" * 400 + f" = '{key}'") == [key]
+    assert lexed(f"private_key = a\na = b\nb = c\nc = '{key}'") == [key]  # bound after its use
+    assert lexed(f"x = '{key}'\ny = x") == []
+    assert lexed(f'private_key = """\n  {key}\n  plain words here\n"""\nn = 1') == [key]
+    assert lexed(f"auth_key = `{key}`") == [key]
+    assert lexed('{"auth": {"key": "%s", "user": "somebody12345"}, "n": {"key": "%s"}}' % (key, key[::-1])) == [key]
+    assert lexed(f"credential:\n  value: {key}\nother:\n  value: {key[::-1]}") == [key]
+    assert lexed('auth_key = """never closed ' + key) == []
+
+
+def plain_lexed(text):
+    """Literals that reach a sensitive name, by a plain scanner: lines of ``name = value`` and a closure over all names."""
+    bound = {}
+    for line in text.split("\n"):
+        name, sign, value = line.partition(" = ")
+        if sign:
+            bound.setdefault(name, []).append(value)
+    found, open_, seen = set(), [n for n in bound if secrets.name_score(n)], set()
+    while open_:
+        name = open_.pop()
+        if name in seen:
+            continue
+        seen.add(name)
+        for value in bound.get(name, []):
+            if value[0] in "'\"":
+                found.add(value[1:-1])
+            else:
+                open_.append(value)
+    return found
+
+
+def test_lexed_secrets_against_a_plain_scanner():
+    random.seed(12)
+    names = ["alpha", "beta_2", "gamma", "delta", "client_key", "privateKey", "auth.key", "user", "signing-key", "x" * 300]
+    for _ in range(400):
+        keys = ["".join(random.choice("abcdefgXYZ0123456789") for _ in range(14)) + "q7Q" for _ in range(6)]
+        lines = [f"{random.choice(names)} = " + (f"'{random.choice(keys)}'" if random.random() < 0.5 else random.choice(names)) for _ in range(9)]
+        text = "\n".join(lines)
+        assert set(lexed(text)) == {k for k in plain_lexed(text) if secrets.literal_score(k, True) >= 0.2}, text
+
+
+def test_lexing_is_linear():
+    import time
+
+    start = time.time()
+    for text in ("a" * 400_000, "a = " * 100_000, '= """ ' * 60_000, "k: {" * 80_000, "a.b-" * 100_000 + "=", " " * 400_000 + "=", "'x = " * 80_000, "key = 'a' + " * 40_000, "}" * 200_000 + "a:\n" * 50_000):
+        secrets.scan(text)
+    assert time.time() - start < 40
+
+
 def test_toxic_readings():
     text = b"\0\0".join([b"stupid idiot clown worthless moron pathetic scum loser trash the and of"] * 30)
     codes = np.frombuffer(text.translate(toxicity.FOLD_BYTES), np.uint8).astype(np.int32)

@@ -6,11 +6,13 @@ its leaves by character offset, re-encodes only these (and the leaf before, if t
 with white space: a pre-token may then reach over the border) and updates sums on the way to the root. A leaf
 that has grown past ``GROWN`` times its size is split.
 
-``build_trees`` encodes documents once and keeps a tree as a row: its text and, for each leaf, characters and
-tokens; the sums above the leaves follow from these without encoding. ``apply_edits`` joins such a table with a
-table of edits and gives the next one, so a later batch of edits starts from stored counts. Trees without edits
-pass by; the others meet their edits by a shuffle on doc_id and stream through a task in the order of the
-document and of ``seq``, so a task holds one document's tree and no list of edits, however many there are.
+``build_trees`` encodes documents once and keeps a tree as a narrow row without the text: characters and tokens of
+each leaf; leaf texts follow from the document, sums above the leaves from these, neither by encoding.
+``apply_edits`` brings documents, their trees and a table of edits together and gives the edited documents with
+their new trees, so a later batch of edits starts from stored counts. The three meet by one shuffle on doc_id
+and stream through a task in the order of the document and of ``seq``, so a task holds one document's texts and
+trees and no list of edits, however many there are. If few documents have edits (``FEW_IDS``, counted), only these
+move; else all do, and the others go at the end of the stream.
 
 The query needs an edit log, which the tables do not have: ``routine_edits`` makes one for every document
 from its length alone (a replaced word, an insertion, a deletion, an appended line). Offsets are code points in
@@ -19,7 +21,8 @@ the text as edited so far.
 Defined results: a null text counts as empty, which has no tokens before and those of the insertions after;
 offsets beyond the end mean the end, a null start the start, an end before the start (or null) the start, a null
 new text nothing; edits apply in the order of ``seq`` (null first), then start, end and text; edits of an unknown
-or null doc_id apply nowhere; every row of a doc_id gets its edits, repeated rows repeat; extra columns are
+or null doc_id apply nowhere; every row of a doc_id gets its edits, repeated rows repeat (equal texts under one
+id are held once); extra columns are
 dropped; an empty table gives an empty result.
 """
 
@@ -29,7 +32,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fwloom.llm import bpe, merges
@@ -39,9 +42,11 @@ from fwloom.llm.common import materialize, table
 LEAF_CHARS, GROWN = 256, 4
 BORDER = re.compile(r"[ \t\n\r]")
 
-TREES = "doc_id long, text string, leaf_chars array<int>, leaf_tokens array<int>, n_tokens long"
-EDITED = TREES + ", n_edits long, n_tokens_before long, leaves_encoded long, chars_encoded long"
-RESULT = ["doc_id", "n_tokens", "n_edits", "n_tokens_edited", "n_leaves", "leaves_encoded", "chars_encoded"]
+#: Ids of edited documents up to which they are sent to every task (8 MB).
+FEW_IDS = 1_000_000
+
+TREES = "doc_id long, text_key long, leaf_chars array<int>, leaf_tokens array<int>, n_tokens long"
+EDITED = "doc_id long, text string, leaf_chars array<int>, leaf_tokens array<int>, n_tokens long, n_edits long, n_tokens_before long, leaves_encoded long, chars_encoded long"
 
 
 def leaves_of(text: str) -> list[str]:
@@ -156,38 +161,57 @@ class TokenTree:
         return self.text(), [len(self.leaves[i]) for i in kept], [self.tokens[self.size + i] for i in kept], self.count
 
 
+def text_key() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
 def build_trees(docs: DataFrame, path: str | None = None) -> DataFrame:
     """``TREES`` of (doc_id, text): every text is encoded whole, once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = merges.batch_memo(path, merges.count_of)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            cut = [leaves_of(t) if t else [] for t in texts]
+            cut = [leaves_of(t) if t else [] for t in batch.column(2).to_pylist()]
             counted = iter(map(sum, memo.many([leaf for leaves in cut for leaf in leaves])))
             tokens = [[next(counted) for _ in leaves] for leaves in cut]
-            arrays = [pa.array(texts, pa.string()), pa.array([list(map(len, x)) for x in cut], pa.list_(pa.int32())), pa.array(tokens, pa.list_(pa.int32())), pa.array(list(map(sum, tokens)), pa.int64())]
-            yield pa.record_batch([batch.column(0), *arrays], [f.split()[0] for f in TREES.split(", ")])
+            arrays = [pa.array([list(map(len, x)) for x in cut], pa.list_(pa.int32())), pa.array(tokens, pa.list_(pa.int32())), pa.array(list(map(sum, tokens)), pa.int64())]
+            yield pa.record_batch([batch.column(0), batch.column(1), *arrays], [f.split()[0] for f in TREES.split(", ")])
+
+    return docs.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), F.col("text").cast("string")).mapInArrow(run, TREES)
+
+
+def trees_of(edited: DataFrame) -> DataFrame:
+    """``TREES`` of edited documents."""
+    return edited.select("doc_id", text_key().alias("text_key"), "leaf_chars", "leaf_tokens", "n_tokens")
+
+
+def edited_ids(edits: DataFrame) -> DataFrame:
+    return edits.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, TREES)
 
+def apply_edits(docs: DataFrame, trees: DataFrame, edits: DataFrame, path: str | None = None) -> DataFrame:
+    """``EDITED``: documents of (doc_id, text) that have ``edits`` (doc_id, seq, start, end, text), after all of them.
 
-def apply_edits(trees: DataFrame, edits: DataFrame, path: str | None = None) -> DataFrame:
-    """``EDITED``: the trees after all ``edits`` (doc_id, seq, start, end, text), with what was encoded for them."""
-    log = edits.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("seq").cast("long").alias("seq"), F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), F.col("text").cast("string").alias("text"))
-    log = log.where(F.col("doc_id").isNotNull())
-    n = int(trees.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ids = log.select("doc_id").distinct()
+    A document without a tree of its text is encoded whole first.
+    """
+    spark = docs.sparkSession
     none = F.lit(None)
-    stored = trees.select("doc_id", "text", "leaf_chars", "leaf_tokens", "n_tokens")
-    untouched = stored.join(ids, "doc_id", "left_anti").select("*", F.lit(0).cast("long").alias("n_edits"), F.col("n_tokens").alias("n_tokens_before"), F.lit(0).cast("long").alias("leaves_encoded"), F.lit(0).cast("long").alias("chars_encoded"))
-    one = stored.where(F.col("doc_id").isNotNull()).select("doc_id", F.lit(0).alias("kind"), none.cast("long").alias("seq"), none.cast("long").alias("start"), none.cast("long").alias("end"), "text", "leaf_chars", "leaf_tokens", "n_tokens")
-    two = log.select("doc_id", F.lit(1).alias("kind"), "seq", "start", "end", "text", none.cast("array<int>").alias("leaf_chars"), none.cast("array<int>").alias("leaf_tokens"), none.cast("long").alias("n_tokens"))
-    met = one.join(ids, "doc_id", "left_semi").unionByName(two).repartition(n, "doc_id").sortWithinPartitions("doc_id", "kind", "seq", "start", "end", "text")
+    fill = {"seq": "long", "start": "long", "end": "long", "text": "string", "text_key": "long", "leaf_chars": "array<int>", "leaf_tokens": "array<int>"}
+    row = lambda kind, **given: [F.col("doc_id").cast("long").alias("doc_id"), F.lit(kind).alias("kind"), *((given[c] if c in given else none).cast(t).alias(c) for c, t in fill.items())]
+    one = trees.select(*row(0, text_key=F.col("text_key"), leaf_chars=F.col("leaf_chars"), leaf_tokens=F.col("leaf_tokens")))
+    two = docs.select(*row(1, text=F.coalesce(F.col("text").cast("string"), F.lit("")), text_key=text_key()))
+    three = edits.select(*row(2, seq=F.col("seq"), start=F.col("start"), end=F.col("end"), text=F.col("text")))
+    ids = edited_ids(edits)
+    met = one.unionByName(two).where("doc_id IS NOT NULL")
+    if ids.limit(FEW_IDS + 1).count() <= FEW_IDS:
+        met = met.join(F.broadcast(ids), "doc_id", "left_semi")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    met = met.unionByName(three.where("doc_id IS NOT NULL")).repartition(n, "doc_id").sortWithinPartitions("doc_id", "kind", "seq", "start", "end", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = merges.batch_memo(path, merges.count_of)
-        held: dict[str, list] = {}  # by text as stored: its tree, how many rows have it, tokens before
+        stored: dict[int, tuple[list[int], list[int]]] = {}
+        held: dict[str, list] = {}  # by text as it was: its tree, how many rows have it, tokens before
         doc, done, edited = None, 0, []
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -199,20 +223,26 @@ def apply_edits(trees: DataFrame, edits: DataFrame, path: str | None = None) ->
                 edited = []
 
         def close() -> None:
-            for tree, times, before in held.values():
+            for tree, times, before in held.values() if done else ():
                 edited.extend([(doc, *tree.row(), done, before, tree.encoded, tree.encoded_chars)] * times)
             held.clear()
+            stored.clear()
 
         for batch in batches:
-            for own, kind, _, start, end, text, chars, tokens, count in zip(*(c.to_pylist() for c in batch.columns)):
+            for own, kind, _, start, end, text, key, chars, tokens in zip(*(c.to_pylist() for c in batch.columns)):
                 if own != doc:
                     close()
                     doc, done = own, 0
                 if kind == 0:
+                    stored[key] = chars, tokens
+                elif kind == 1:
                     if text in held:
                         held[text][1] += 1
-                    else:
-                        held[text] = [TokenTree.stored(text, chars, tokens, memo), 1, count]
+                        continue
+                    chars, tokens = stored.get(key, ([], []))
+                    # A key is no proof: characters must add up, else the text is encoded anew.
+                    tree = TokenTree.stored(text, chars, tokens, memo) if sum(chars) == len(text) else TokenTree.of(text, memo)
+                    held[text] = [tree, 1, tree.count]
                 else:
                     done += 1
                     start = start or 0
@@ -222,7 +252,7 @@ def apply_edits(trees: DataFrame, edits: DataFrame, path: str | None = None) ->
         close()
         yield from flush()
 
-    return met.mapInArrow(run, EDITED).unionByName(untouched)
+    return met.mapInArrow(run, EDITED)
 
 
 def routine_edits(docs: DataFrame) -> DataFrame:
@@ -235,22 +265,19 @@ def routine_edits(docs: DataFrame) -> DataFrame:
 
 
 def edited_counts(docs: DataFrame, edits: DataFrame, path: str | None = None) -> DataFrame:
-    """Token counts of (doc_id, text) before and after ``edits``."""
-    out = apply_edits(materialize(build_trees(docs, path)), edits, path)
-    return out.select(
-        "doc_id",
-        F.col("n_tokens_before").alias("n_tokens"),
-        "n_edits",
-        F.col("n_tokens").alias("n_tokens_edited"),
-        F.size("leaf_chars").cast("long").alias("n_leaves"),
-        "leaves_encoded",
-        "chars_encoded",
-    )
+    """Token counts of (doc_id, text) before and after ``edits``, for every document."""
+    trees = materialize(build_trees(docs, path))
+    edited = apply_edits(docs, trees, edits, path)
+    zero = F.lit(0).cast("long")
+    leaves = F.size("leaf_chars").cast("long").alias("n_leaves")
+    same = trees.join(edited_ids(edits), "doc_id", "left_anti").select("doc_id", "n_tokens", zero.alias("n_edits"), F.col("n_tokens").alias("n_tokens_edited"), leaves, zero.alias("leaves_encoded"), zero.alias("chars_encoded"))
+    changed = edited.select("doc_id", F.col("n_tokens_before").alias("n_tokens"), "n_edits", F.col("n_tokens").alias("n_tokens_edited"), leaves, "leaves_encoded", "chars_encoded")
+    return changed.unionByName(same)
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return edited_counts(docs, routine_edits(docs))
+    return edited_counts(docs, materialize(routine_edits(docs)))
 
 
 QUERIES = {"op6_token_counts": op6_token_counts}

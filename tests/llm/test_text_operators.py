@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from fwloom.llm import bpe, counts, media, merges, packing, secrets, sharding, toxicity
 
@@ -170,7 +171,8 @@ def test_token_tree():
     assert max(map(len, tree.leaves)) <= counts.GROWN * counts.LEAF_CHARS + 40
 
 
-def test_edit_tables_against_encoding_anew(spark):
+@pytest.mark.parametrize("few", [1_000_000, 3])
+def test_edit_tables_against_encoding_anew(spark, monkeypatch, few):
     """Two batches of random edits on stored trees; a very long text, a hot document, repeated and null ids."""
     from fwloom.llm.common import materialize
 
@@ -182,6 +184,8 @@ def test_edit_tables_against_encoding_anew(spark):
     rows = [*texts.items(), (3, texts[3]), (3, "another text under one id"), (None, "no id"), (13, None)]
     docs = spark.createDataFrame([(d, t, 5) for d, t in rows], "doc_id long, text string, n_tokens long")
     trees = materialize(counts.build_trees(docs))
+    docs = docs.select("doc_id", "text")
+    monkeypatch.setattr(counts, "FEW_IDS", few)
     now = [(d, t or "") for d, t in rows]
     for _ in range(2):
         log = []
@@ -191,23 +195,27 @@ def test_edit_tables_against_encoding_anew(spark):
                 log.append((d, seq, a, a + random.choice([-1, 0, 1, 9, 300]), random.choice(["", "x", " ", "two words", None, "long " * 300])))
         random.shuffle(log)
         edits = spark.createDataFrame(log, "doc_id long, seq long, start long, `end` long, text string")
-        result = counts.apply_edits(trees, edits)
-        trees = materialize(result)
+        ids = {x[0] for x in log}
+        edited = materialize(counts.apply_edits(docs, trees, edits))
         want = []
         for d, t in now:
-            for _, _, a, b, new in sorted(x for x in log if x[0] == d):
+            for _, _, a, b, new in sorted((x for x in log if x[0] == d), key=lambda x: x[1]):
                 a = min(max(a, 0), len(t))
                 b = min(max(b, a), len(t))
                 t = t[:a] + (new or "") + t[b:]
             want.append((d, t))
         now = want
-        got = trees.collect()
-        assert sorted(map(str, [(r["doc_id"], r["text"]) for r in got])) == sorted(map(str, now))
+        got = edited.collect()
+        assert sorted(map(str, [(r["doc_id"], r["text"]) for r in got])) == sorted(map(str, [x for x in now if x[0] in ids]))
         for r in got:
             assert r["n_tokens"] == sum(r["leaf_tokens"]) == len(own.encode(r["text"])) and sum(r["leaf_chars"]) == len(r["text"])
-            assert r["n_edits"] == sum(x[0] == r["doc_id"] for x in log) and (r["n_edits"] or not r["leaves_encoded"])
+            assert r["n_edits"] == sum(x[0] == r["doc_id"] for x in log)
         long = next(r for r in got if r["doc_id"] == 12)
         assert long["leaves_encoded"] < 2500 and len(long["leaf_chars"]) > 900
+        docs = materialize(edited.select("doc_id", "text").union(docs.where(~F.coalesce(F.col("doc_id").isin(list(ids)), F.lit(False)))))
+        trees = materialize(counts.trees_of(edited).union(trees.where(~F.coalesce(F.col("doc_id").isin(list(ids)), F.lit(False)))))
+    out = counts.edited_counts(docs, edits.limit(3)).collect()
+    assert len(out) == len(now) and sum(r["n_edits"] > 0 for r in out) <= 4
 
 
 def test_merged_words_equal_the_queue():

@@ -27,6 +27,11 @@ DATES = {
 Parsed = tuple[Column, Column]
 
 
+def is_plain(line: Column) -> Column:
+    """Whether a line is printable ASCII and spaces alone, so that spaces are all there is to trim."""
+    return ~line.rlike("[^\\x20-\\x7e]")
+
+
 def rstrip(c: Column) -> Column:
     return F.regexp_replace(c, SPACE + "+$", "")
 
@@ -35,10 +40,12 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
 
 
-def text_of(line: Column, field: Field) -> Column:
-    """The field's characters, trimmed as its type wants it; empty for blanks."""
+def text_of(line: Column, field: Field, plain: Column | None = None) -> Column:
+    """The field's characters, trimmed as its type wants it; empty for blanks. ``plain`` is ``is_plain`` of the line."""
+    plain = is_plain(line) if plain is None else plain
     raw = F.substring(line, field.start, field.length)
-    return rstrip(raw) if field.dtype == "Utf8" else strip(raw)
+    right = field.dtype == "Utf8"
+    return F.when(plain, F.rtrim(raw) if right else F.trim(raw)).otherwise(rstrip(raw) if right else strip(raw))
 
 
 def parse_text(text: Column, field: Field) -> Column:
@@ -50,15 +57,21 @@ def parse_long(text: Column, field: Field) -> Column:
 
 
 def parse_double(text: Column, field: Field) -> Column:
-    return F.when(text.rlike(FLOAT), text.try_cast("double"))
+    """Digits at the end and no hexadecimal mark leave the cast nothing to accept that Python would not."""
+    common = F.ascii(F.right(text, F.lit(1))).between(ord("."), ord("9")) & ~text.contains("x") & ~text.contains("X")
+    return F.when(common | text.rlike(FLOAT), text.try_cast("double"))
 
 
 def parse_date(text: Column, field: Field) -> Column:
+    """Dates in full digits by a cast; other forms, which strptime also takes, by regular expressions."""
     kind = field.parse or "yyyymmdd_to_date"
+    whole = kind == "yyyymmdd_to_date"
+    digits = F.concat(F.substring(text, 1, 4), F.lit("-"), F.substring(text, 5, 2), F.concat(F.lit("-"), F.substring(text, 7, 2)) if whole else F.lit("-01"))
     part = lambda n: F.regexp_extract(text, DATES[kind], n)
-    day = F.lpad(F.trim(part(3)), 2, "0") if kind == "yyyymmdd_to_date" else F.lit("01")
-    digits = F.concat(part(1), F.lpad(part(2), 2, "0"), day)
-    return F.when(text.rlike(DATES[kind]) & ~text.startswith("0000"), F.try_to_date(digits, "yyyyMMdd"))
+    day = F.lpad(F.trim(part(3)), 2, "0") if whole else F.lit("01")
+    other = F.try_to_date(F.concat(part(1), F.lpad(part(2), 2, "0"), day), "yyyyMMdd")
+    full = (F.length(text) == (8 if whole else 6)) & text.try_cast("int").isNotNull()
+    return F.when((text == "") | text.startswith("0000"), F.lit(None)).when(full, digits.try_cast("date")).when(text.rlike(DATES[kind]), other)
 
 
 PARSERS: dict[str, Callable[[Column, Field], Column]] = {"Utf8": parse_text, "Int64": parse_long, "Float64": parse_double, "Date": parse_date}

@@ -12,20 +12,23 @@ tables). Output: these three plus
 A filter on these columns should go through ``select_decoded``: it names ``task``, which is not deterministic,
 so the optimizer does not copy the whole parse into the filter and compute it twice.
 
-Everything is one projection inside whole-stage code generation; there is no Python and no shuffle.
+Everything is one projection of built-in expressions; there is no Python and no shuffle. The code generated for a
+layout soon passes 8000 bytes of a method, beyond which the JVM only interprets it, so sessions at Spark's own limit
+for such methods get that of the JVM (``JIT_LIMIT``): Spark then cuts the projection into smaller methods.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fwloom.functions import fields as X
 from fwloom.layouts import Layout, check
 
 ERROR = "struct<column:string,message:string>"
+HUGE_METHODS, SPARK_LIMIT, JIT_LIMIT = "spark.sql.codegen.hugeMethodLimit", "65535", "8000"
 
 
 def length_message(line: Column, layout: Layout) -> Column:
@@ -33,15 +36,23 @@ def length_message(line: Column, layout: Layout) -> Column:
     return F.when(n < layout.min_record_length, F.concat(F.lit("record truncated: length "), n, F.lit(f", needs {layout.min_record_length}"))).when(n > layout.record_length, F.concat(F.lit("record longer than declared: length "), n, F.lit(f", declared {layout.record_length}")))
 
 
+def compiled(spark: SparkSession) -> None:
+    """Keeps generated methods small enough for the JVM's compiler, unless the session has a limit of its own."""
+    if spark.conf.get(HUGE_METHODS, SPARK_LIMIT) == SPARK_LIMIT:
+        spark.conf.set(HUGE_METHODS, JIT_LIMIT)
+
+
 def decode(lines: DataFrame, layout: Layout) -> DataFrame:
     check(layout)
+    compiled(lines.sparkSession)
     line = F.col("raw_line")
     names = ["input_path", "line_no", "raw_line"]
     fields = layout.fields
     text, value = {f.name: f"__text{i}" for i, f in enumerate(fields)}, {f.name: f"__value{i}" for i, f in enumerate(fields)}
     read_error = [F.col("read_error")] if "read_error" in lines.columns else []
     # Plain columns step by step: the optimizer keeps apart what is used more than once, so nothing is computed twice.
-    step = lines.select(*names, F.coalesce(*read_error, length_message(line, layout)).alias("structural"), *(X.text_of(line, f).alias(text[f.name]) for f in fields))
+    step = lines.select(*names, F.coalesce(*read_error, length_message(line, layout)).alias("structural"), X.is_plain(line).alias("__plain"))
+    step = step.select("*", *(X.text_of(line, f, F.col("__plain")).alias(text[f.name]) for f in fields))
     step = step.select("*", *(X.value_of(F.col(text[f.name]), f).alias(value[f.name]) for f in fields))
     messages: dict[str, Column] = {}
     for f in fields:
@@ -78,13 +89,21 @@ def good_rows(decoded: DataFrame, layout: Layout) -> DataFrame:
     return select_decoded(decoded, F.col("structural").isNull() & F.col("error").isNull()).select("row.*")
 
 
-def project(lines: DataFrame, layout: Layout, columns: list[str]) -> DataFrame:
-    """Some output columns without validation: only their slices are parsed, bad values are null."""
+def project(lines: DataFrame, layout: Layout, columns: list[str], where: Column | None = None) -> DataFrame:
+    """Some output columns without validation: only their slices are parsed, bad values are null.
+
+    A filter on these columns should be given as ``where``: it is kept above the parse, as in ``select_decoded``.
+    """
+    compiled(lines.sparkSession)
     made = {c.name: c for c in layout.computed_columns}
     needed = [f for f in layout.fields if f.name in columns or any(f.name in made[c].sources for c in columns if c in made)]
-    step = lines.select(*(X.text_of(F.col("raw_line"), f).alias(f"__text{i}") for i, f in enumerate(needed)))
+    step = lines.select("raw_line", X.is_plain(F.col("raw_line")).alias("__plain"))
+    step = step.select(*(X.text_of(F.col("raw_line"), f, F.col("__plain")).alias(f"__text{i}") for i, f in enumerate(needed)))
     step = step.select(*(X.value_of(F.col(f"__text{i}"), f).alias(f.name) for i, f in enumerate(needed)))
-    return step.select(*(X.compute([F.col(s) for s in made[c].sources], made[c])[0].alias(c) if c in made else F.col(c) for c in columns))
+    out = step.select(*(X.compute([F.col(s) for s in made[c].sources], made[c])[0].alias(c) if c in made else F.col(c) for c in columns))
+    if where is None:
+        return out
+    return out.select("*", F.spark_partition_id().alias("__task")).where(where & (F.col("__task") >= 0)).drop("__task")
 
 
 def render(df: DataFrame, layout: Layout) -> Column:

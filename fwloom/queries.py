@@ -71,8 +71,8 @@ def fwf_decode_lineitem(spark, sf_dir):
 
 @query("SELECT l_returnflag, l_linestatus, cast(count(*) as bigint) AS n, cast(sum(l_orderkey) as bigint) AS keys FROM lineitem WHERE l_shipdate < DATE '1997-01-01' GROUP BY 1, 2")
 def fwf_project_aggregate(spark, sf_dir):
-    rows = D.project(lineitem_lines(spark, sf_dir, False), LINEITEM, ["l_returnflag", "l_linestatus", "l_orderkey", "l_shipdate"])
-    return rows.where("l_shipdate < '1997-01-01'").groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"), F.sum("l_orderkey").alias("keys"))
+    rows = D.project(lineitem_lines(spark, sf_dir, False), LINEITEM, ["l_returnflag", "l_linestatus", "l_orderkey", "l_shipdate"], F.col("l_shipdate") < "1997-01-01")
+    return rows.groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"), F.sum("l_orderkey").alias("keys"))
 
 
 ORDERS = Layout("imports", "1990-01", "1990-01", 60, (Field("o_month", 1, 6, "Date", parse="yyyymm_to_date"), Field("o_day", 7, 2, "Int64"), Field("o_orderkey", 9, 12, "Int64"), Field("o_orderpriority", 21, 20, "Utf8"), Field("o_totalprice", 41, 15, "Float64")), "o_month")

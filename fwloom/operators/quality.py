@@ -58,7 +58,8 @@ def logged(found: DataFrame, failed: DataFrame, max_issues: int = 0) -> DataFram
 
 def coerced_counts(decoded: DataFrame) -> DataFrame:
     """input_path, column, n: bad values that became null."""
-    return decoded.select("input_path", F.explode("coerced").alias("column")).groupBy("input_path", "column").agg(F.count("*").alias("n"))
+    found = select_decoded(decoded.select("input_path", "coerced", "task"), F.size("coerced") > 0)
+    return found.select("input_path", F.explode("coerced").alias("column")).groupBy("input_path", "column").agg(F.count("*").alias("n"))
 
 
 def total_coerced(results: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 from datetime import UTC, datetime
 from pathlib import Path
 
+from pyarrow.fs import FileType
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from fwloom import layouts as L
 from fwloom.operators import decode as D
 from fwloom.operators import discovery, quality
 from fwloom.plans import sinks
-from fwloom.sources.fwf_zip import FORMAT, FwfZip, files_at
+from fwloom.sources.fwf_zip import FORMAT, FwfZip, files_at, open_fs
 
 
 @dataclass(frozen=True)
@@ -78,7 +79,8 @@ def select_inputs(spark: SparkSession, options: IngestOptions, catalog: dict[str
     """path, trade_type, label, year, month, flag of the files to read."""
     if unknown := set(options.trade_types) - set(L.TRADE_TYPES):
         raise discovery.DiscoveryError(f"unknown trade types {sorted(unknown)}")
-    if not Path(options.input_dir.removeprefix("file://")).is_dir():
+    files, at = open_fs(options.input_dir.removeprefix("file://"))
+    if files.get_file_info(at).type != FileType.Directory:
         raise discovery.DiscoveryError(f"{options.input_dir} is no folder")
     files = spark.createDataFrame([(p,) for p in files_at(options.input_dir)], "path string")
     # Versions that share a pattern are told apart by their windows; outside all of them the file is still known.

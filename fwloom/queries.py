@@ -5,7 +5,9 @@ The tables are rendered to fixed-width lines in Spark, decoded again, and compar
 
 from __future__ import annotations
 
+import itertools
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -228,9 +230,10 @@ def partition_counts(spark, sf_dir):
 
 
 def scratch(spark: SparkSession) -> str:
+    """A new folder in the shared one; a local one stands in only where the master is local."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    import uuid
-
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{(base or tempfile.mkdtemp(prefix='fwloom-')).rstrip('/')}/table-{uuid.uuid4().hex}"
 
 
@@ -261,16 +264,16 @@ PATTERNS = [
     {"trade_type": "imports", "label": "imports", "pattern": r"^A_(?P<year>\d{4})(?P<month>\d{2})(?P<flag>[NCX])?\.zip$", "effective_from": "1990-01", "effective_to": None},
     {"trade_type": "exports_us", "label": "exports_us", "pattern": r"^B_(?P<year>\d{4})(?P<month>\d{2})(?P<flag>[NCX])?\.zip$", "effective_from": "1990-01", "effective_to": None},
 ]
-FLAGS = "CASE o_orderkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'N' WHEN 2 THEN 'C' ELSE 'X' END"
-NAMES = f"SELECT DISTINCT CASE WHEN o_custkey % 3 = 0 THEN 'A' WHEN o_custkey % 3 = 1 THEN 'B' ELSE 'Z' END AS sheet, year(o_orderdate) AS y, month(o_orderdate) AS m, {FLAGS} AS flag FROM orders WHERE day(o_orderdate) <= 8"
+FLAGS = "CASE (o_orderkey * 7 + month(o_orderdate)) % (1 + month(o_orderdate) % 4) WHEN 0 THEN '' WHEN 1 THEN 'N' WHEN 2 THEN 'C' ELSE 'X' END"
+NAMES = f"SELECT DISTINCT CASE WHEN o_custkey % 3 = 0 THEN 'A' WHEN o_custkey % 3 = 1 THEN 'B' ELSE 'Z' END AS sheet, year(o_orderdate) AS y, month(o_orderdate) AS m, {FLAGS} AS flag FROM orders"
 FOUND_SQL = f"WITH f AS ({NAMES}), g AS (SELECT CASE sheet WHEN 'A' THEN 'imports' ELSE 'exports_us' END AS trade_type, cast(y as integer) AS year, cast(m as integer) AS month, nullif(flag, '') AS flag FROM f WHERE sheet <> 'Z')"
 RANKED_SQL = FOUND_SQL + ", r AS (SELECT *, row_number() OVER (PARTITION BY trade_type, year, month ORDER BY CASE WHEN flag IS NULL THEN 0 WHEN flag = 'N' THEN 1 WHEN flag = 'C' THEN 2 ELSE 3 END) AS k FROM g)"
 
 
 def discovered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read(spark, sf_dir, "orders").where(F.dayofmonth("o_orderdate") <= 8)
+    orders, month = read(spark, sf_dir, "orders"), F.month("o_orderdate")
     sheet = F.when(F.col("o_custkey") % 3 == 0, "A").when(F.col("o_custkey") % 3 == 1, "B").otherwise("Z")
-    flag = F.element_at(F.array(*(F.lit(x) for x in ("", "N", "C", "X"))), (F.col("o_orderkey") % 4 + 1).cast("int"))
+    flag = F.element_at(F.array(*(F.lit(x) for x in ("", "N", "C", "X"))), ((F.col("o_orderkey") * 7 + month) % (1 + month % 4) + 1).cast("int"))
     files = orders.select(F.concat(F.lit("/drop/"), sheet, F.lit("_"), F.date_format("o_orderdate", "yyyyMM"), flag, F.lit(".zip")).alias("path")).distinct()
     return discovery.unambiguous(discovery.match(files, PATTERNS)).select("path", "trade_type", "year", "month", "flag")
 
@@ -360,27 +363,81 @@ def inspect_head(spark, sf_dir):
     return D.decode(lines, LINEITEM).select("input_path", "line_no", "row.l_orderkey")
 
 
-@query()
-def zip_scan(spark, sf_dir):
-    """Lines of each year packed into an archive by its task, read back by the data source and decoded."""
-    import os
+def pack_lines(lines: DataFrame, folder: str, end: str = "\n", notes: bool = False) -> None:
+    """Writes ``raw_line`` as archives, one for each task, as it streams by; a repeated task replaces its archive.
+
+    With ``notes`` each archive starts with a small member beside the data.
+    """
     import zipfile
 
-    from fwloom.sources.fwf_zip import FORMAT, FwfZip
+    from pyspark import TaskContext
+
+    from fwloom.sources.fwf_zip import open_fs
+
+    def pack(batches):
+        batches = (b for b in batches if len(b))
+        first = next(batches, None)
+        if first is None:
+            return
+        files, at = open_fs(folder)
+        files.create_dir(at, recursive=True)
+        task = TaskContext.get()
+        temporary, final = f"{at}/.{task.partitionId()}-{task.taskAttemptId()}.tmp", f"{at}/{task.partitionId()}.zip"
+        with files.open_output_stream(temporary) as sink, zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as z:
+            if notes:
+                z.writestr("readme.txt", "aux")
+            with z.open("data.fwf", "w", force_zip64=True) as out:
+                for batch in itertools.chain([first], batches):
+                    out.write("".join(line + end for line in batch.column(0).to_pylist()).encode())
+        files.move(temporary, final)
+        yield from ()
 
-    base = (spark.conf.get("spark.checkpoint.dir", None) or "").removeprefix("file://") or tempfile.gettempdir()
-    os.makedirs(base, exist_ok=True)
-    folder = tempfile.mkdtemp(prefix="fwloom-zip-", dir=base)
+    lines.select("raw_line").mapInArrow(pack, "raw_line string").write.format("noop").mode("overwrite").save()
 
-    def pack(key, frame):
-        import pandas as pd
 
-        path = f"{folder}/{key[0]}.zip"
-        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-            z.writestr("data.fwf", "\n".join(frame.sort_values("line_no")["raw_line"]) + "\n")
-        return pd.DataFrame({"path": [path]})
+def scanned(spark: SparkSession, folder: str) -> DataFrame:
+    from fwloom.sources.fwf_zip import FORMAT, FwfZip
 
-    lineitem_lines(spark, sf_dir).select("input_path", "line_no", "raw_line").groupBy("input_path").applyInPandas(pack, "path string").count()
     spark.dataSource.register(FwfZip)
-    lines = spark.read.format(FORMAT).option("path", folder).load()
-    return D.good_rows(D.decode(lines, LINEITEM), LINEITEM)
+    return spark.read.format(FORMAT).option("path", folder).load()
+
+
+@query(f"SELECT {PLAIN} FROM lineitem")
+def zip_scan(spark, sf_dir):
+    """Lines packed into archives, read back by the data source and decoded."""
+    folder = scratch(spark)
+    pack_lines(lineitem_lines(spark, sf_dir, False), folder)
+    return D.good_rows(D.decode(scanned(spark, folder), LINEITEM), LINEITEM)
+
+
+def one_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of all suppliers, in order, in one task: the size of one archive."""
+    df = read(spark, sf_dir, "supplier").orderBy("s_suppkey").coalesce(1)
+    return df.select(F.concat(F.lpad(F.col("s_suppkey").cast("string"), 12, " "), F.rpad("s_name", 30, " ")).alias("raw_line"))
+
+
+SUPPLIER_LINES = "SELECT cast(row_number() OVER (ORDER BY s_suppkey) as bigint) AS line_no, rtrim(s_name) AS name, s_suppkey AS key FROM supplier"
+
+
+def lines_back(spark: SparkSession, sf_dir: str, **how) -> DataFrame:
+    folder = scratch(spark)
+    pack_lines(one_file(spark, sf_dir), folder, **how)
+    return scanned(spark, folder).select("line_no", F.rtrim(F.substring("raw_line", 13, 30)).alias("name"), F.trim(F.substring("raw_line", 1, 12)).cast("long").alias("key"))
+
+
+@query(SUPPLIER_LINES)
+def zip_member_choice(spark, sf_dir):
+    """Of an archive with a small member beside the data, the largest is read; lines are numbered in order."""
+    return lines_back(spark, sf_dir, notes=True)
+
+
+@query(SUPPLIER_LINES)
+def zip_line_ends(spark, sf_dir):
+    """Lines that end in a carriage return and a line feed."""
+    return lines_back(spark, sf_dir, end="\r\n")
+
+
+@query(SUPPLIER_LINES)
+def zip_lone_returns(spark, sf_dir):
+    """Lines that end in a carriage return alone."""
+    return lines_back(spark, sf_dir, end="\r")

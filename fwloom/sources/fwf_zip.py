@@ -5,6 +5,8 @@ never unpacked to disk. Of an archive the largest member is read. Lines end at `
 ``\\r``. A file that cannot be read gives one row with ``read_error`` instead of ending the job, after the
 lines that came before the fault.
 
+Files lie where pyarrow's file systems reach: local paths, ``file://``, ``hdfs://``, ``s3://`` (or ``s3a://``), ``gs://``.
+
 Options: ``path`` (a folder, a file, or several separated by newlines), ``encoding`` (utf-8), ``batchRows``,
 ``maxLines`` (0: all). As a stream it offers the files of a folder once each, in the order of their age.
 """
@@ -13,10 +15,12 @@ from __future__ import annotations
 
 import io
 import os
+import re
 import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 FORMAT = "fwf_zip"
@@ -29,6 +33,21 @@ class ReadError(ValueError):
     """A file whose lines cannot be read."""
 
 
+def open_fs(path: str) -> tuple[fs.FileSystem, str]:
+    """File system and path in it; Spark's s3a counts as s3."""
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", path)) if re.match(r"^\w+://", path) else (fs.LocalFileSystem(), os.path.abspath(path))
+
+
+def open_file(path: str) -> pa.NativeFile | io.BytesIO:
+    """A file to seek in; very short ones are read at once, as zipfile looks for their end before their start."""
+    files, at = open_fs(path)
+    f = files.open_input_file(at)
+    if f.size() > 4096:
+        return f
+    with f:
+        return io.BytesIO(f.read())
+
+
 def data_member(archive: zipfile.ZipFile, path: str) -> zipfile.ZipInfo:
     """The largest member; the first of equals."""
     members = [m for m in archive.infolist() if not m.is_dir()]
@@ -45,7 +64,7 @@ class Deflate64Stream(io.RawIOBase):
             import inflate64
         except ImportError as e:
             raise ReadError(f"{path}: member {member.filename} uses Deflate64, for which the package inflate64 is missing") from e
-        self._file = open(path, "rb")
+        self._file = open_file(path)
         self._file.seek(member.header_offset + 26)
         name, extra = (int.from_bytes(self._file.read(2), "little") for _ in range(2))
         self._file.seek(name + extra, os.SEEK_CUR)
@@ -72,8 +91,9 @@ class Deflate64Stream(io.RawIOBase):
 
 def lines_of(path: str, encoding: str) -> Iterator[str]:
     """Lines without their ends."""
-    with open(path, "rb") as f:
+    with open_file(path) as f:
         if zipfile.is_zipfile(f):
+            f.seek(0)
             with zipfile.ZipFile(f) as archive:
                 member = data_member(archive, path)
                 stream = io.BufferedReader(Deflate64Stream(path, member)) if member.compress_type == DEFLATE64 else archive.open(member)
@@ -117,15 +137,26 @@ def read_file(path: str, encoding: str, batch_rows: int, max_lines: int) -> Iter
             yield batch(first, held)
 
 
-def files_at(path: str) -> list[str]:
-    """Files named by the option, or the files directly in a folder, sorted."""
+def infos_at(path: str) -> list[tuple[str, fs.FileInfo]]:
+    """Files named by the option, or the files directly in a folder, sorted, with what their file system knows of them."""
     out = []
     for one in path.split("\n"):
         one = one.removeprefix("file://")
-        out += [one] if not os.path.isdir(one) else sorted(e.path for e in os.scandir(one) if e.is_file())
+        files, at = open_fs(one)
+        info = files.get_file_info(at)
+        if info.type != fs.FileType.Directory:
+            out.append((one, info))
+            continue
+        before = one.removesuffix(at) if one.endswith(at) else re.match(r"^(\w+://)?", one)[0]
+        found = files.get_file_info(fs.FileSelector(at))
+        out += sorted(((before + f.path, f) for f in found if f.is_file), key=lambda x: x[0])
     return out
 
 
+def files_at(path: str) -> list[str]:
+    return [p for p, _ in infos_at(path)]
+
+
 class FwfReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.path, self.encoding = options["path"], options.get("encoding", "utf-8")
@@ -145,7 +176,7 @@ class FwfStreamReader(FwfReader, DataSourceStreamReader):
     """Offsets are the age and name of the youngest file seen."""
 
     def _aged(self) -> list[tuple[int, str]]:
-        return sorted((os.stat(p).st_mtime_ns, p) for p in files_at(self.path))
+        return sorted((f.mtime_ns, p) for p, f in infos_at(self.path) if f.is_file)
 
     def initialOffset(self) -> dict:
         return {"age": -1, "path": ""}

@@ -39,11 +39,16 @@ class IngestOptions:
     encoding: str = "utf-8"
     max_quality_issues: int = 10_000
     max_skip_rate: float = 0.5
+    fail_fast: bool = False
 
 
 RESULT = "run_id string, logged_at string, trade_type string, year int, month int, snapshot_month int, input_path string, spec_version string, rows_written long, rows_skipped long, rows_skipped_logged long, coerced_counts map<string,long>, duration_seconds double, output_path string, status string, error string"
 
 
+class BadRow(ValueError):
+    """The first bad row of a run that fails fast."""
+
+
 @dataclass
 class RunSummary:
     run_id: str
@@ -137,6 +142,9 @@ def ingest_files(spark: SparkSession, options: IngestOptions, layout: L.Layout,
     decoded = D.decode(lines, layout).join(info, "input_path")
     year, month = F.col("file_year"), F.col("file_month")
     found = quality.issues(decoded, layout.routing_column, year, month).persist(StorageLevel.DISK_ONLY)
+    if options.fail_fast and (bad := found.orderBy("input_path", "line_no").select("input_path", "line_no", "column", "message").head()):
+        found.unpersist()
+        raise BadRow(f"{bad['input_path']} line {bad['line_no']}, column {bad['column']}: {bad['message']}")
     failed = quality.verdicts(found, options.max_skip_rate, options.max_quality_issues).persist(StorageLevel.DISK_ONLY)
     log = quality.logged(found, failed, options.max_quality_issues).join(info, "input_path")
     log = log.select(F.lit(run_id).alias("run_id"), F.lit(kind).alias("trade_type"), F.col("file_year").alias("year"), F.col("file_month").alias("month"), "input_path", "line_no", "column", F.col("message").alias("error"), "raw_line").persist(StorageLevel.DISK_ONLY)

@@ -88,6 +88,14 @@ def test_skip_rate_and_cap(spark, env):
     assert "quality issues" in ingest.run(spark, options(env, max_skip_rate=1.0, max_quality_issues=3)).results[0]["error"]
 
 
+def test_fail_fast_names_the_first_bad_row(spark, env):
+    drop(env / "in", "Sheet_202402N.TXT.zip", [line("202402", n, "x" if n in (5, 8) else None) for n in range(12)])
+    with pytest.raises(ingest.BadRow, match=r"Sheet_202402N.TXT.zip line 6, column value: "):
+        ingest.run(spark, options(env, fail_fast=True))
+    assert not (env / "out" / "imports").exists()
+    assert ingest.run(spark, options(env)).failed_count == 0
+
+
 def test_flags_and_unknown_types(spark, env):
     drop(env / "in", "Sheet_202402C.TXT.zip", [line("202402", 99)])
     chosen = ingest.select_inputs(spark, options(env), {"imports": [LAYOUT]}).collect()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules that hold QUERIES and ORACLE_SQL.
-MODULES = ["packing", "neardup", "secrets", "toxicity", "ann", "counts", "media", "bpe", "suffixes", "sharding", "lexical"]
+MODULES = ["packing", "neardup", "secrets", "toxicity", "ann", "counts", "media", "bpe", "suffixes", "sharding", "lexical", "lines", "turns"]
 
 
 def _merged(name: str) -> dict:

@@ -86,7 +86,7 @@ class Runs:
         run = self.write(hashes.select(*HASH, "first", "last", F.coalesce(*flags, F.lit(False)).alias("seen")))
         self.levels[0].append(run)
         # Read as plain files: joins that follow may deal it out as they need.
-        return self.spark.read.parquet(run[1])
+        return self.spark.read.schema(self.spark.table(run[0]).schema).parquet(run[1])
 
     def compact(self) -> None:
         """Merges the runs of full levels; what ``add`` returned must have been used."""

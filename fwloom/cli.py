@@ -14,7 +14,7 @@ from fwloom.config import ConfigError, load_config
 from fwloom.operators import discovery
 from fwloom.plans import compile as C
 from fwloom.plans import cycle, ingest
-from fwloom.sources.fwf_zip import FORMAT, FwfZip
+from fwloom.sources.fwf_zip import read_lines
 
 
 def session() -> SparkSession:
@@ -25,8 +25,12 @@ def do_ingest(a: argparse.Namespace) -> int:
     if unknown := set(a.type or []) - set(L.TRADE_TYPES):
         print(f"unknown trade type: {', '.join(sorted(unknown))}", file=sys.stderr)
         return 2
-    options = ingest.IngestOptions(a.input, a.output, a.spec_dir, tuple(a.type or L.TRADE_TYPES), not a.all, a.current_year, a.year, a.month, a.chunk_rows, a.compression, a.encoding, a.max_quality_issues, a.max_skip_rate)
-    summary = ingest.run(session(), options)
+    options = ingest.IngestOptions(a.input, a.output, a.spec_dir, tuple(a.type or L.TRADE_TYPES), not a.all, a.current_year, a.year, a.month, a.chunk_rows, a.compression, a.encoding, a.max_quality_issues, a.max_skip_rate, a.fail_fast, a.skip_rule)
+    try:
+        summary = ingest.run(session(), options)
+    except ingest.BadRow as e:
+        print(e, file=sys.stderr)
+        return 1
     print(f"run {summary.run_id}: {summary.ok_count} ok, {summary.failed_count} failed, {summary.total_rows} rows")
     for r in summary.results:
         print(f"  [{r['status'].upper()}] {r['trade_type']} {r['year']:04d}-{r['month']:02d} rows={r['rows_written']} -> {r['output_path']}" + (f"  error={r['error']}" if r["error"] else ""))
@@ -84,8 +88,7 @@ def do_inspect(a: argparse.Namespace) -> int:
     print(f"{kind} {period}: v{layout.version} record_length={layout.record_length} columns={len(layout.columns)}")
     if a.rows <= 0:
         return 0
-    spark.dataSource.register(FwfZip)
-    rows = spark.read.format(FORMAT).option("path", a.path).option("encoding", a.encoding).option("maxLines", a.rows).load().orderBy("line_no").limit(a.rows + 1).collect()
+    rows = read_lines(spark, a.path, a.encoding, split_bytes=1 << 62, maxLines=a.rows).orderBy("line_no").limit(a.rows + 1).collect()
     for r in rows:
         if r["read_error"]:
             print(f"{a.path}: {r['read_error']}", file=sys.stderr)
@@ -109,7 +112,7 @@ def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="fwloom")
     sub = p.add_subparsers(dest="command", required=True)
     c = sub.add_parser("ingest", help="archives to partitioned Parquet")
-    for flag, more in {"--input": {"required": True}, "--output": {"required": True}, "--spec-dir": {"default": "specs"}, "--type": {"action": "append"}, "--year": {"type": int}, "--month": {"type": int}, "--all": {"action": "store_true"}, "--ytd": {"action": "store_true"}, "--current-year": {"type": int}, "--chunk-rows": {"type": int, "default": 250_000}, "--compression": {"default": "zstd"}, "--encoding": {"default": "cp1252"}, "--max-quality-issues": {"type": int, "default": 10_000}, "--max-skip-rate": {"type": float, "default": 0.5}}.items():
+    for flag, more in {"--input": {"required": True}, "--output": {"required": True}, "--spec-dir": {"default": "specs"}, "--type": {"action": "append"}, "--year": {"type": int}, "--month": {"type": int}, "--all": {"action": "store_true"}, "--ytd": {"action": "store_true"}, "--current-year": {"type": int}, "--chunk-rows": {"type": int, "default": 250_000}, "--compression": {"default": "zstd"}, "--encoding": {"default": "cp1252"}, "--max-quality-issues": {"type": int, "default": 10_000}, "--max-skip-rate": {"type": float, "default": 0.5}, "--fail-fast": {"action": "store_true"}, "--skip-rule": {"choices": ["batch", "every"], "default": "batch"}}.items():
         c.add_argument(flag, **more)
     c.set_defaults(do=do_ingest)
     c = sub.add_parser("import-spec", help="workbooks to layouts")

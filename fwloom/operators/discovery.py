@@ -83,5 +83,9 @@ def resolve(found: DataFrame, versions: DataFrame) -> DataFrame:
     ``versions``: trade_type, version, effective_from, effective_to. ``version`` is null where none applies.
     """
     v = versions.select(F.col("trade_type").alias("v_type"), "version", "effective_from", "effective_to")
-    inside = (F.col("trade_type") == F.col("v_type")) & (F.col("period") >= F.col("effective_from")) & (F.col("effective_to").isNull() | (F.col("period") <= F.col("effective_to")))
-    return found.join(v, inside, "left").groupBy(*found.columns).agg(F.max_by("version", "effective_from").alias("version"))
+    # Periods are few; rows of ``found`` meet their version by period, so equal rows stay apart.
+    periods = found.select(F.col("trade_type").alias("p_type"), F.col("period").alias("p_period")).distinct()
+    inside = (F.col("p_type") == F.col("v_type")) & (F.col("p_period") >= F.col("effective_from")) & (F.col("effective_to").isNull() | (F.col("p_period") <= F.col("effective_to")))
+    chosen = periods.join(v, inside, "left").groupBy("p_type", "p_period").agg(F.max_by("version", "effective_from").alias("version"))
+    same = F.col("trade_type").eqNullSafe(F.col("p_type")) & F.col("period").eqNullSafe(F.col("p_period"))
+    return found.join(chosen, same, "left").select(*found.columns, "version")

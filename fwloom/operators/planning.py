@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fwloom.storage import open_fs
+
 
 def with_hashes(files: DataFrame) -> DataFrame:
     """``files`` (path, ...) and ``sha256``; tasks read the files, which must lie on shared storage."""
@@ -18,8 +20,12 @@ def with_hashes(files: DataFrame) -> DataFrame:
         for frame in frames:
             out = []
             for path in frame["path"]:
-                with open(path.removeprefix("file://"), "rb") as f:
-                    out.append(hashlib.file_digest(f, "sha256").hexdigest())
+                digest = hashlib.sha256()
+                files, at = open_fs(path.removeprefix("file://"))
+                with files.open_input_stream(at) as f:
+                    while chunk := f.read(1 << 20):
+                        digest.update(chunk)
+                out.append(digest.hexdigest())
             yield frame.assign(sha256=out)[[*names, "sha256"]]
 
     return files.mapInPandas(run, files.withColumn("sha256", F.lit("")).schema)
@@ -42,6 +48,11 @@ def files_of_dirty_years(files: DataFrame, dirty: DataFrame) -> DataFrame:
     return files.join(dirty.select("trade_type", "year").distinct(), ["trade_type", "year"], "left_semi")
 
 
+def volume(files: DataFrame) -> DataFrame:
+    """files and bytes of a year or a run (``size``)."""
+    return files.agg(F.count("*").alias("files"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"))
+
+
 def restrict(dirty_years: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Dirty years that were asked for, and those asked for that are clean."""
     keys = ["trade_type", "year"]

@@ -21,11 +21,12 @@ import yaml
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fwloom import storage
 from fwloom.config import load_config
 from fwloom.operators import discovery, planning
 from fwloom.plans import compile as C
 from fwloom.plans import ingest
-from fwloom.sources.fwf_zip import files_at
+from fwloom.sources.fwf_zip import files_at, infos_at
 
 log = logging.getLogger(__name__)
 ENV = "FWLOOM_"
@@ -78,7 +79,7 @@ def mirror(source: str, target: str, patterns: tuple[str, ...] = ("*",), copy_fi
 def manifest(spark: SparkSession, folder: str, name: str, schema: str) -> DataFrame:
     """The last entry for each name of an append-only JSON table."""
     path = f"{folder}/{name}"
-    if not os.path.isdir(path):
+    if not storage.is_folder(path):
         return spark.createDataFrame([], schema)
     rows = spark.read.schema(schema).json(path)
     others = [c for c in rows.columns if c != "name"]
@@ -95,13 +96,15 @@ def config_hash(settings: Settings) -> str:
 
 
 def raw_files(spark: SparkSession, settings: Settings) -> DataFrame:
-    """path, name, trade_type, year, month, flag, mtime, sha256, output_present of every file the project knows."""
+    """path, name, trade_type, year, month, flag, mtime, size, sha256, output_present of every file the project knows."""
     config = load_config(Path(settings.project_yaml))
-    files = spark.createDataFrame([(p,) for p in files_at(settings.raw_dir)], "path string")
+    listed = [(p, f.mtime_ns // 10**9, f.size) for p, f in infos_at(settings.raw_dir) if f.is_file]
+    files = spark.createDataFrame([(p,) for p, *_ in listed], "path string")
     found = discovery.first_match(discovery.match(files, config.patterns())).select("path", "trade_type", "year", "month", "flag")
-    years = [(t.name, int(y.name.removeprefix("year="))) for t in Path(settings.processed_dir).glob("*") for y in t.glob("year=*") if any(y.iterdir())]
+    folders, done = storage.Folders(spark), settings.processed_dir
+    years = [(t, int(y.removeprefix("year="))) for t in folders.names(done) if not t.startswith("_") for y in folders.names(f"{done}/{t}") if y.startswith("year=") and folders.names(f"{done}/{t}/{y}")]
     present = spark.createDataFrame(years, "trade_type string, year int").withColumn("present", F.lit(True))
-    ages = spark.createDataFrame([(p, os.stat(p).st_mtime_ns // 10**9) for p in files_at(settings.raw_dir)], "path string, mtime long")
+    ages = spark.createDataFrame(listed, "path string, mtime long, size long")
     out = found.join(ages, "path").join(present, ["trade_type", "year"], "left").withColumn("output_present", F.coalesce("present", F.lit(False))).drop("present")
     return planning.with_hashes(out.withColumn("name", F.element_at(F.split("path", "/"), -1)))
 
@@ -129,24 +132,23 @@ def stage_layouts(spark: SparkSession, settings: Settings) -> int:
 def stage_years(spark: SparkSession, settings: Settings, only: list[tuple[str, int]] | None = None) -> int:
     """Ingests dirty years in order and stops at the first failure; 1 if there was one."""
     digest = config_hash(settings)
-    files = raw_files(spark, settings).persist()
-    dirty = planning.dirty_files(files, manifest(spark, settings.manifests_dir, "raw", RAW_MANIFEST), digest).select("trade_type", "year").distinct()
-    if only is not None:
-        dirty, clean = planning.restrict(dirty, spark.createDataFrame(only, "trade_type string, year int"))
-        for r in clean.collect():
-            log.warning("%s/%s was asked for and is clean", r["trade_type"], r["year"])
-    try:
+    with storage.scratch(spark) as folder:
+        files = storage.written(raw_files(spark, settings), folder)
+        dirty = planning.dirty_files(files, manifest(spark, settings.manifests_dir, "raw", RAW_MANIFEST), digest).select("trade_type", "year").distinct()
+        if only is not None:
+            dirty, clean = planning.restrict(dirty, spark.createDataFrame(only, "trade_type string, year int"))
+            for r in clean.collect():
+                log.warning("%s/%s was asked for and is clean", r["trade_type"], r["year"])
         for key in dirty.orderBy("trade_type", "year").collect():
             options = ingest.IngestOptions(settings.raw_dir, settings.processed_dir, settings.layouts_dir, (key["trade_type"],), year=key["year"], encoding=settings.encoding)
             began = int(time.time())
+            of_year = files.where((F.col("trade_type") == key["trade_type"]) & (F.col("year") == key["year"]))
+            log.info("%s/%s: %s", key["trade_type"], key["year"], planning.volume(of_year).first().asDict())
             summary = ingest.run(spark, options)
             if summary.failed_count or not summary.results:
                 log.error("%s/%s failed: %s", key["trade_type"], key["year"], [r["error"] for r in summary.results if r["error"]])
                 return 1
-            own = files.where((F.col("trade_type") == key["trade_type"]) & (F.col("year") == key["year"])).collect()
-            append(spark, settings.manifests_dir, "raw", [(r["name"], r["sha256"], digest, began, r["trade_type"], r["year"], r["month"]) for r in own], RAW_MANIFEST)
-    finally:
-        files.unpersist()
+            append(spark, settings.manifests_dir, "raw", [(r["name"], r["sha256"], digest, began, r["trade_type"], r["year"], r["month"]) for r in of_year.collect()], RAW_MANIFEST)
     return 0
 
 

@@ -5,16 +5,13 @@ The tables are rendered to fixed-width lines in Spark, decoded again, and compar
 
 from __future__ import annotations
 
-import itertools
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fwloom.layouts import Computed, Field, Layout
-from fwloom.operators import catalog, discovery, planning, quality
+from fwloom.operators import catalog, discovery, numbering, planning, quality
 from fwloom.operators import decode as D
+from fwloom.storage import kept_dir
 
 LINEITEM = Layout("imports", "1990-01", "1990-01", 80, (
     Field("l_orderkey", 1, 12, "Int64"), Field("l_partkey", 13, 12, "Int64"), Field("l_suppkey", 25, 12, "Int64"),
@@ -44,8 +41,8 @@ def lineitem_lines(spark: SparkSession, sf_dir: str, numbered: bool = True) -> D
     """input_path (the year), line_no, raw_line and the columns they were made from."""
     df = read(spark, sf_dir, "lineitem").select(*COLUMNS)
     df = df.withColumn("input_path", F.year("l_shipdate").cast("string"))
-    number = F.row_number().over(Window.partitionBy("input_path").orderBy(*ORDER.split(", "))).cast("long") if numbered else F.lit(0).cast("long")
-    return df.withColumn("line_no", number).withColumn("raw_line", D.render(df, LINEITEM))
+    df = numbering.numbered(df, ["input_path"], ORDER.split(", ")) if numbered else df.withColumn("line_no", F.lit(0).cast("long"))
+    return df.withColumn("raw_line", D.render(df, LINEITEM))
 
 
 def numbered_sql(extra: str = "") -> str:
@@ -103,11 +100,13 @@ def fwf_blank_to_null(spark, sf_dir):
     return D.good_rows(D.decode(lines.withColumn("raw_line", line), LINEITEM), LINEITEM).select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
 
 
+def broken_quantities(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("raw_line", F.when(F.col("l_orderkey") % 7 == 0, splice(40, "       ABCDE")).otherwise(F.col("raw_line")))
+
+
 def broken(spark: SparkSession, sf_dir: str, numbered: bool = True) -> DataFrame:
     """Every seventh order has letters for a quantity, every eleventh also a blank part key."""
-    lines = lineitem_lines(spark, sf_dir, numbered)
-    line = F.when(F.col("l_orderkey") % 7 == 0, splice(40, "       ABCDE")).otherwise(F.col("raw_line"))
-    lines = lines.withColumn("raw_line", line)
+    lines = broken_quantities(lineitem_lines(spark, sf_dir, numbered))
     return lines.withColumn("raw_line", F.when(F.col("l_orderkey") % 11 == 0, splice(13, " " * 12)).otherwise(F.col("raw_line")))
 
 
@@ -164,6 +163,20 @@ def fwf_skip_ratio_verdict(spark, sf_dir):
     return quality.verdicts(found, max_skip_rate=0.2).select("input_path", "abort_line")
 
 
+BATCH_SQL = numbered_sql(""", r AS (SELECT *, l_orderkey % 7 = 0 AS bad, month(l_shipdate) > 6 AS outside FROM t),
+c AS (SELECT *, sum(bad::int) OVER w AS bads, sum((bad OR outside)::int) OVER w AS problems, sum((NOT bad)::int) OVER w AS good, max(line_no) OVER (PARTITION BY input_path) AS lines, sum((NOT bad)::int) OVER (PARTITION BY input_path) AS all_good FROM r WINDOW w AS (PARTITION BY input_path ORDER BY line_no ROWS UNBOUNDED PRECEDING))
+SELECT input_path, cast(min(line_no) as bigint) AS abort_line FROM c WHERE bad AND bads / line_no > 0.3 OR problems / line_no > 0.3 AND (NOT bad AND good % 100 = 0 OR line_no = lines AND all_good % 100 <> 0) GROUP BY 1""")
+
+
+@query(BATCH_SQL)
+def fwf_skip_batch_verdict(spark, sf_dir):
+    """Rows of the second half of a year belong to no month of the snapshot: only the rule by batches sees them."""
+    lines = broken_quantities(lineitem_lines(spark, sf_dir))
+    found = quality.issues(D.decode(lines, LINEITEM), "l_shipdate", F.col("input_path").cast("int"), F.lit(6))
+    totals = lines.groupBy("input_path").agg(F.count("*").alias("lines"), F.lit(True).alias("whole"))
+    return quality.verdicts(found, max_skip_rate=0.3, batch_rows=100, totals=totals).select("input_path", "abort_line")
+
+
 @query(BAD_SQL + " SELECT input_path, cast(line_no as bigint) AS line_no, l_orderkey FROM b WHERE n <= 10")
 def fwf_quality_cap(spark, sf_dir):
     lines = broken(spark, sf_dir)
@@ -229,19 +242,11 @@ def partition_counts(spark, sf_dir):
     return sinks.partition_counts(rows.select(F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month")))
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder in the shared one; a local one stands in only where the master is local."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return f"{(base or tempfile.mkdtemp(prefix='fwloom-')).rstrip('/')}/table-{uuid.uuid4().hex}"
-
-
 @query("SELECT cast(year(l_shipdate) as integer) AS year, cast(month(l_shipdate) as integer) AS month, cast(count(*) as bigint) AS n, cast(sum(l_orderkey) as bigint) AS keys FROM lineitem GROUP BY 1, 2")
 def partition_roundtrip(spark, sf_dir):
     from fwloom.plans import sinks
 
-    path = scratch(spark)
+    path = kept_dir(spark)
     sinks.write_partitions(D.good_rows(D.decode(lineitem_lines(spark, sf_dir, False), LINEITEM), LINEITEM), "l_shipdate", path)
     rows = sinks.read_partitions(spark, path)
     return rows.groupBy(F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month")).agg(F.count("*").alias("n"), F.sum("l_orderkey").alias("keys"))
@@ -252,7 +257,7 @@ def partition_overwrite(spark, sf_dir):
     """A second write with half of the rows of six months replaces these and no others."""
     from fwloom.plans import sinks
 
-    path = scratch(spark)
+    path = kept_dir(spark)
     rows = D.good_rows(D.decode(lineitem_lines(spark, sf_dir, False), LINEITEM), LINEITEM)
     sinks.write_partitions(rows, "l_shipdate", path)
     sinks.write_partitions(rows.where("year(l_shipdate) = 1995 AND month(l_shipdate) <= 6 AND l_orderkey % 2 = 0"), "l_shipdate", path)
@@ -309,9 +314,15 @@ def spec_resolve_asof(spark, sf_dir):
     return discovery.resolve(periods, versions).select("period", "version")
 
 
-@query("SELECT effective_from, problem FROM (VALUES ('1995-06', 'overlap'), ('1998-01', 'gap')) x(effective_from, problem)")
+@query("""WITH y AS (SELECT year(o_orderdate) AS y, min(o_orderdate) AS a, max(o_orderdate) AS b FROM orders GROUP BY 1),
+v AS (SELECT strftime(a, '%Y-%m') AS effective_from, strftime(b + CASE y % 3 WHEN 0 THEN INTERVAL 40 DAY WHEN 1 THEN INTERVAL (-40) DAY ELSE INTERVAL 0 DAY END, '%Y-%m') AS effective_to FROM y),
+l AS (SELECT *, lag(effective_to) OVER (ORDER BY effective_from) AS previous FROM v)
+SELECT effective_from, CASE WHEN previous >= effective_from THEN 'overlap' ELSE 'gap' END AS problem FROM l WHERE previous IS NOT NULL AND (previous >= effective_from OR strftime(cast(previous || '-01' AS date) + INTERVAL 1 MONTH, '%Y-%m') <> effective_from)""")
 def spec_windows_lint(spark, sf_dir):
-    versions = spark.createDataFrame(VERSIONS, "trade_type string, version string, effective_from string, effective_to string")
+    """A window for each year of orders, some stretched into the next year, some cut short."""
+    years = read(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("y")).agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b"))
+    end = F.date_add("b", F.when(F.col("y") % 3 == 0, 40).when(F.col("y") % 3 == 1, -40).otherwise(0))
+    versions = years.select(F.lit("t").alias("trade_type"), F.date_format("a", "yyyy-MM").alias("effective_from"), F.date_format(end, "yyyy-MM").alias("effective_to"))
     return catalog.window_problems(versions).select("effective_from", "problem")
 
 
@@ -330,6 +341,16 @@ def spec_union_columns(spark, sf_dir):
     return old.unionByName(rows.where("year(l_shipdate) > 1994").select("l_orderkey", "l_quantity", "l_shipdate"), allowMissingColumns=True)
 
 
+@query("""WITH c AS (SELECT 'column_' || (l_partkey % 40) AS name, strftime(l_shipdate, '%Y-%m') AS version, l_linenumber AS position, CASE l_partkey % 3 WHEN 0 THEN 'Utf8' WHEN 1 THEN 'Int64' ELSE 'Date' END AS dtype, l_returnflag = 'R' AS nullable, l_partkey % 40 AS k FROM lineitem WHERE l_partkey % 40 % 3 = l_partkey % 3)
+SELECT name, min(dtype) AS dtype, bool_or(nullable) AS nullable FROM c GROUP BY name""")
+def catalog_union(spark, sf_dir):
+    """Columns named and typed by part, in versions by month: one merged schema."""
+    rows = read(spark, sf_dir, "lineitem").where("l_partkey % 40 % 3 = l_partkey % 3")
+    dtype = F.when(F.col("l_partkey") % 3 == 0, "Utf8").when(F.col("l_partkey") % 3 == 1, "Int64").otherwise("Date")
+    columns = rows.select(F.concat(F.lit("column_"), F.col("l_partkey") % 40).alias("name"), F.date_format("l_shipdate", "yyyy-MM").alias("version"), F.col("l_linenumber").alias("position"), dtype.alias("dtype"), (F.col("l_returnflag") == "R").alias("nullable"))
+    return catalog.union_columns(columns)
+
+
 FILES_SQL = "f AS (SELECT DISTINCT strftime(o_orderdate, 'A_%Y%m') AS name, cast(year(o_orderdate) as integer) AS year, cast(month(o_orderdate) as integer) AS month FROM orders)"
 DIRTY = "month = 5 AND year = 1993 OR month = 7 AND year = 1996"
 
@@ -344,10 +365,17 @@ def ops_dirty_years(spark, sf_dir):
     return planning.files_of_dirty_years(files, dirty).select("name", "year")
 
 
-@query(numbered_sql(" SELECT input_path, cast(count(*) as bigint) AS total, cast(sum(CASE WHEN l_orderkey % 7 = 0 OR l_orderkey % 11 = 0 THEN 1 ELSE 0 END) as bigint) AS skipped FROM t GROUP BY 1"))
+@query("""WITH p AS (SELECT year(l_shipdate) AS y, l_linenumber AS m, count(*) AS n, sum((l_orderkey % 7 = 0)::int) AS bad, sum((l_orderkey % 5 = 0 AND l_orderkey % 7 <> 0)::int) AS nulled FROM lineitem GROUP BY 1, 2),
+f AS (SELECT *, sum(bad) OVER (PARTITION BY y) AS skipped, sum(nulled) OVER (PARTITION BY y) AS coerced FROM p)
+SELECT cast(count(*) FILTER (m <> 7) AS bigint) AS ok_count, cast(count(*) FILTER (m = 7) AS bigint) AS failed_count, cast(sum(n - bad) AS bigint) AS total_rows, cast(sum(skipped) AS bigint) AS total_skipped, cast((SELECT sum(c) FROM (SELECT max(coerced) AS c FROM f GROUP BY y)) AS bigint) AS total_coerced FROM f""")
 def run_summary(spark, sf_dir):
-    decoded = D.decode(broken(spark, sf_dir, False), STRICT)
-    return decoded.groupBy("input_path").agg(F.count("*").alias("total"), F.count_if(F.col("error").isNotNull()).alias("skipped"))
+    """Results of a run: a row for each year and part, with the year's skipped rows and coerced values in each."""
+    decoded = D.decode(sentinels(spark, sf_dir), COERCE)
+    parts = decoded.groupBy("input_path", F.col("row.l_linenumber").alias("part")).agg(F.count_if(F.col("error").isNull()).alias("rows_written"))
+    files = decoded.groupBy("input_path").agg(F.count_if(F.col("error").isNotNull()).alias("rows_skipped"))
+    counts = quality.coerced_counts(decoded).groupBy("input_path").agg(F.map_from_entries(F.collect_list(F.struct("column", "n"))).alias("coerced_counts"))
+    results = parts.join(files, "input_path").join(counts, "input_path", "left").withColumn("status", F.when(F.col("part") == 7, "failed").otherwise("ok"))
+    return quality.run_totals(results)
 
 
 @query("SELECT cast(count(*) as bigint) AS total_coerced FROM lineitem WHERE l_orderkey % 5 = 0 AND l_orderkey % 7 <> 0")
@@ -357,87 +385,183 @@ def run_total_coerced(spark, sf_dir):
     return quality.total_coerced(counts.join(F.broadcast(months), F.col("part") >= 0))
 
 
+@query("SELECT cast(count(DISTINCT strftime(o_orderdate, '%Y-%m')) as bigint) AS files, cast(sum(o_orderkey) as bigint) AS bytes FROM orders")
+def ops_volume(spark, sf_dir):
+    """A file for each month of orders, as large as its keys add up to."""
+    files = read(spark, sf_dir, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("name")).agg(F.sum("o_orderkey").alias("size"))
+    return planning.volume(files)
+
+
 @query(numbered_sql(" SELECT input_path, cast(line_no as bigint) AS line_no, l_orderkey FROM t WHERE line_no <= 5"))
 def inspect_head(spark, sf_dir):
     lines = lineitem_lines(spark, sf_dir).where("line_no <= 5")
     return D.decode(lines, LINEITEM).select("input_path", "line_no", "row.l_orderkey")
 
 
-def pack_lines(lines: DataFrame, folder: str, end: str = "\n", notes: bool = False) -> None:
-    """Writes ``raw_line`` as archives, one for each task, as it streams by; a repeated task replaces its archive.
+def pack_files(rows: DataFrame, folder: str, order: list[str], end: str = "\n", notes: bool = False, kind: str = "deflated") -> None:
+    """Writes ``raw_line`` as one file for each ``file`` (its name), in ``order``, as the lines stream by; a repeated task replaces its files.
 
-    With ``notes`` each archive starts with a small member beside the data.
+    ``kind``: deflated or stored archives, or plain files. With ``notes`` an archive starts with a small member beside the data.
     """
+    import contextlib
     import zipfile
 
     from pyspark import TaskContext
 
-    from fwloom.sources.fwf_zip import open_fs
+    from fwloom.storage import open_fs
 
-    def pack(batches):
-        batches = (b for b in batches if len(b))
-        first = next(batches, None)
-        if first is None:
+    @contextlib.contextmanager
+    def writer(sink):
+        if kind == "plain":
+            yield sink
             return
-        files, at = open_fs(folder)
-        files.create_dir(at, recursive=True)
-        task = TaskContext.get()
-        temporary, final = f"{at}/.{task.partitionId()}-{task.taskAttemptId()}.tmp", f"{at}/{task.partitionId()}.zip"
-        with files.open_output_stream(temporary) as sink, zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as z:
+        with zipfile.ZipFile(sink, "w", zipfile.ZIP_STORED if kind == "stored" else zipfile.ZIP_DEFLATED) as z:
             if notes:
                 z.writestr("readme.txt", "aux")
             with z.open("data.fwf", "w", force_zip64=True) as out:
-                for batch in itertools.chain([first], batches):
-                    out.write("".join(line + end for line in batch.column(0).to_pylist()).encode())
-        files.move(temporary, final)
+                yield out
+
+    def pack(batches):
+        files, at = open_fs(folder.removeprefix("file://"))
+        files.create_dir(at, recursive=True)
+        task = TaskContext.get()
+        temporary = f"{at}/.{task.partitionId()}-{task.taskAttemptId()}.tmp"
+        name, stack = None, contextlib.ExitStack()
+
+        def close():
+            stack.close()
+            if name is not None:
+                files.move(temporary, f"{at}/{name}")
+
+        for batch in batches:
+            for file, line in zip(*(c.to_pylist() for c in batch.columns)):
+                if file != name:
+                    close()
+                    name = file
+                    out = stack.enter_context(writer(stack.enter_context(files.open_output_stream(temporary))))
+                out.write(f"{line}{end}".encode())
+        close()
         yield from ()
 
-    lines.select("raw_line").mapInArrow(pack, "raw_line string").write.format("noop").mode("overwrite").save()
+    ready = rows.repartition("file").sortWithinPartitions("file", *order).select("file", "raw_line")
+    ready.mapInArrow(pack, "raw_line string").write.format("noop").mode("overwrite").save()
 
 
-def scanned(spark: SparkSession, folder: str) -> DataFrame:
-    from fwloom.sources.fwf_zip import FORMAT, FwfZip
+def scanned(spark: SparkSession, folder: str, **options) -> DataFrame:
+    from fwloom.sources.fwf_zip import read_lines
 
-    spark.dataSource.register(FwfZip)
-    return spark.read.format(FORMAT).option("path", folder).load()
+    return read_lines(spark, folder, **options)
 
 
 @query(f"SELECT {PLAIN} FROM lineitem")
 def zip_scan(spark, sf_dir):
-    """Lines packed into archives, read back by the data source and decoded."""
-    folder = scratch(spark)
-    pack_lines(lineitem_lines(spark, sf_dir, False), folder)
+    """Lines packed into an archive for each month, read back by the data source and decoded."""
+    folder = kept_dir(spark)
+    lines = lineitem_lines(spark, sf_dir, False).withColumn("file", F.date_format("l_shipdate", "yyyyMM'.zip'"))
+    pack_files(lines, folder, [])
     return D.good_rows(D.decode(scanned(spark, folder), LINEITEM), LINEITEM)
 
 
-def one_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of all suppliers, in order, in one task: the size of one archive."""
-    df = read(spark, sf_dir, "supplier").orderBy("s_suppkey").coalesce(1)
-    return df.select(F.concat(F.lpad(F.col("s_suppkey").cast("string"), 12, " "), F.rpad("s_name", 30, " ")).alias("raw_line"))
+def named_lines(spark: SparkSession, sf_dir: str, table: str, name: str = ".zip") -> DataFrame:
+    """Key and name of customers or suppliers, a file for each nation."""
+    c = table[0]
+    df = read(spark, sf_dir, table)
+    return df.select(F.concat(F.col(f"{c}_nationkey").cast("string"), F.lit(name)).alias("file"), f"{c}_{table[:4]}key", F.concat(F.lpad(F.col(f"{c}_{table[:4]}key").cast("string"), 12, " "), F.rpad(f"{c}_name", 30, " ")).alias("raw_line"))
+
 
+def names_back(lines: DataFrame) -> DataFrame:
+    nation = F.regexp_extract("input_path", r"(\d+)\.\w+$", 1).cast("int").alias("nation")
+    return lines.select(nation, "line_no", F.rtrim(F.substring("raw_line", 13, 30)).alias("name"), F.trim(F.substring("raw_line", 1, 12)).cast("long").alias("key"))
 
-SUPPLIER_LINES = "SELECT cast(row_number() OVER (ORDER BY s_suppkey) as bigint) AS line_no, rtrim(s_name) AS name, s_suppkey AS key FROM supplier"
 
+def names_sql(table: str) -> str:
+    c, key = table[0], f"{table[0]}_{table[:4]}key"
+    return f"SELECT cast({c}_nationkey as integer) AS nation, cast(row_number() OVER (PARTITION BY {c}_nationkey ORDER BY {key}) as bigint) AS line_no, rtrim({c}_name) AS name, {key} AS key FROM {table}"
 
-def lines_back(spark: SparkSession, sf_dir: str, **how) -> DataFrame:
-    folder = scratch(spark)
-    pack_lines(one_file(spark, sf_dir), folder, **how)
-    return scanned(spark, folder).select("line_no", F.rtrim(F.substring("raw_line", 13, 30)).alias("name"), F.trim(F.substring("raw_line", 1, 12)).cast("long").alias("key"))
 
+def names_packed(spark: SparkSession, sf_dir: str, table: str, split_bytes: int = 1 << 27, name: str = ".zip", **how) -> DataFrame:
+    folder = kept_dir(spark)
+    pack_files(named_lines(spark, sf_dir, table, name), folder, [f"{table[0]}_{table[:4]}key"], **how)
+    return scanned(spark, folder, split_bytes=split_bytes)
 
-@query(SUPPLIER_LINES)
+
+@query(names_sql("supplier"))
 def zip_member_choice(spark, sf_dir):
     """Of an archive with a small member beside the data, the largest is read; lines are numbered in order."""
-    return lines_back(spark, sf_dir, notes=True)
+    return names_back(names_packed(spark, sf_dir, "supplier", notes=True))
 
 
-@query(SUPPLIER_LINES)
+@query(names_sql("supplier"))
 def zip_line_ends(spark, sf_dir):
     """Lines that end in a carriage return and a line feed."""
-    return lines_back(spark, sf_dir, end="\r\n")
+    return names_back(names_packed(spark, sf_dir, "supplier", end="\r\n"))
 
 
-@query(SUPPLIER_LINES)
+@query(names_sql("supplier"))
 def zip_lone_returns(spark, sf_dir):
     """Lines that end in a carriage return alone."""
-    return lines_back(spark, sf_dir, end="\r")
+    return names_back(names_packed(spark, sf_dir, "supplier", end="\r"))
+
+
+@query(names_sql("customer"))
+def fwf_range_scan(spark, sf_dir):
+    """Plain files cut into ranges of a kilobyte: every line once, with its number in the file."""
+    return names_back(names_packed(spark, sf_dir, "customer", 1_000, ".fwf", end="\r\n", kind="plain"))
+
+
+@query(names_sql("customer"))
+def zip_stored_ranges(spark, sf_dir):
+    """Archives whose data are stored, cut into ranges too."""
+    return names_back(names_packed(spark, sf_dir, "customer", 1_000, notes=True, kind="stored"))
+
+
+@query(f"SELECT * FROM ({names_sql('customer')}) WHERE nation IN (3, 8, 21) AND line_no <= 40 OR nation = 5 AND 1 = 0")
+def scan_pushdown(spark, sf_dir):
+    """The heads of three files: filters on file and line number reach the source."""
+    lines = names_packed(spark, sf_dir, "customer", 1_000, ".fwf", kind="plain")
+    paths = [r["input_path"] for r in lines.where("line_no = 1").select("input_path").collect() if r["input_path"].rsplit("/", 1)[-1] in ("3.fwf", "8.fwf", "21.fwf")]
+    return names_back(lines.where(F.col("input_path").isin(paths) & (F.col("line_no") <= 40)))
+
+
+@query("SELECT cast(c_nationkey as integer) AS nation, cast(count(*) as bigint) AS n, cast(sum(c_custkey) as bigint) AS keys FROM customer GROUP BY 1")
+def stream_new_files(spark, sf_dir):
+    """Files that come in two waves are streamed, each once, with one checkpoint."""
+    from fwloom.sources.fwf_zip import FORMAT, register
+
+    register(spark)
+    drop, base = kept_dir(spark), kept_dir(spark)
+    lines = named_lines(spark, sf_dir, "customer")
+    for wave in (F.col("file") >= "2", F.col("file") < "2"):  # names of the second come before those of the first
+        pack_files(lines.where(wave), drop, ["c_custkey"])
+        stream = spark.readStream.format(FORMAT).option("path", drop).option("log", f"{base}/seen").load()
+        names_back(stream).writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    out = spark.read.schema("nation int, line_no long, name string, key long").parquet(f"{base}/out")
+    return out.groupBy("nation").agg(F.count("*").alias("n"), F.sum("key").alias("keys"))
+
+
+PERIODS = Layout("imports", "1990-01", "1990-01", 30, (Field("period", 1, 6, "Date", parse="yyyymm_to_date"), Field("o_orderkey", 7, 12, "Int64", False), Field("o_custkey", 19, 12, "Int64")), "period")
+
+
+@query("""WITH o AS (SELECT year(o_orderdate) AS y, month(o_orderdate) AS m, o_orderkey, o_orderkey % 50 = 3 OR year(o_orderdate) = 1995 AND month(o_orderdate) > 6 AS bad FROM orders),
+n AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY o_orderkey) AS line FROM o),
+c AS (SELECT *, sum(bad::int) OVER (PARTITION BY y ORDER BY line) AS bads FROM n), a AS (SELECT y, min(line) FILTER (bad AND bads / line > 0.4) AS line FROM c GROUP BY y),
+g AS (SELECT y, m, count(*) FILTER (NOT bad) AS n FROM c GROUP BY 1, 2), s AS (SELECT y, count(*) FILTER (bad AND (a.line IS NULL OR c.line <= a.line)) AS skipped FROM c JOIN a USING (y) GROUP BY y)
+SELECT cast(y as integer) AS year, cast(m as integer) AS month, 'ok' AS status, cast(n as bigint) AS rows_written, cast(skipped as bigint) AS rows_skipped FROM g JOIN a USING (y) JOIN s USING (y) WHERE a.line IS NULL AND n > 0
+UNION ALL SELECT cast(y as integer), 12, 'failed', 0, cast(skipped as bigint) FROM a JOIN s USING (y) WHERE a.line IS NOT NULL""")
+def ingest_manifest(spark, sf_dir):
+    """A whole run over archives by year, one of them hopeless: the manifest that it leaves, with exact counts."""
+    from dataclasses import replace
+
+    from fwloom.layouts import Source
+    from fwloom.plans import ingest
+
+    orders = read(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("period"), "o_orderkey", "o_custkey")
+    bad = (F.col("o_orderkey") % 50 == 3) | (F.year("period") == 1995) & (F.month("period") > 6)
+    line = D.render(orders, PERIODS)
+    lines = orders.select(F.date_format("period", "'S_'yyyy'12N.zip'").alias("file"), "o_orderkey", F.when(bad, F.overlay(line, F.lit("           x"), 7)).otherwise(line).alias("raw_line"))
+    base = kept_dir(spark)
+    pack_files(lines, f"{base}/drop", ["o_orderkey"])
+    layout = replace(PERIODS, source=Source("b", "0", "S", "t", None, r"^S_(?P<year>\d{4})(?P<month>\d{2})(?P<flag>[NC])\.zip$"))
+    ingest.run(spark, ingest.IngestOptions(f"{base}/drop", f"{base}/out", "", ("imports",), ytd=False, max_skip_rate=0.4, max_quality_issues=0), {"imports": [layout]})
+    rows = spark.read.schema(ingest.RESULT).json(f"{base}/out/_manifests/imports/*")
+    return rows.select("year", "month", "status", "rows_written", "rows_skipped")

@@ -1,8 +1,8 @@
 """Incremental ingest: new files of a drop folder, once each, by Structured Streaming.
 
 The stream tells which files are new; each micro-batch runs the batch ingest for their trade types and years,
-which is idempotent, so a repeated batch after a failure writes the same months again. Re-sent files of equal
-name and changed configuration are the business of ``operators.planning``.
+which is idempotent, so a repeated batch after a failure writes the same months again. A file that is sent again with another
+size or age is new; changed configuration is the business of ``operators.planning``.
 """
 
 from __future__ import annotations
@@ -13,14 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from fwloom.plans import ingest
-from fwloom.sources.fwf_zip import FORMAT, FwfZip
+from fwloom.sources.fwf_zip import FORMAT, register
 
 
 def start(spark: SparkSession, options: ingest.IngestOptions, checkpoint: str) -> StreamingQuery:
     """Handles all files that are there, then stops; run it again for later ones."""
-    spark.dataSource.register(FwfZip)
+    register(spark)
     # One line of each file is enough to see it.
-    files = spark.readStream.format(FORMAT).option("path", options.input_dir).option("encoding", "latin-1").option("maxLines", 1).load().select("input_path")
+    files = spark.readStream.format(FORMAT).option("path", options.input_dir).option("encoding", "latin-1").option("maxLines", 1).option("log", f"{checkpoint}/files").load().select("input_path")
 
     def handle(batch: DataFrame, number: int) -> None:
         own = batch.sparkSession

@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 
 from fwloom import storage
+from fwloom.sources import deflate64
 from fwloom.storage import open_fs
 
 FORMAT = "fwf_zip"
@@ -108,27 +109,42 @@ class Part(io.RawIOBase):
 
 
 class Deflate64Stream(io.RawIOBase):
-    """Bytes of a member packed with method 9; needs the optional package inflate64."""
+    """Bytes of a member packed with method 9: by the package inflate64 if it is there, else by ``deflate64``. Size and checksum are compared."""
 
     def __init__(self, path: str, member: zipfile.ZipInfo):
-        try:
-            import inflate64
-        except ImportError as e:
-            raise ReadError(f"{path}: member {member.filename} uses Deflate64, for which the package inflate64 is missing") from e
         self._file = open_file(path)
         self._file.seek(data_start(self._file, member))
-        self._left, self._inflater, self._ready = member.compress_size, inflate64.Inflater(), b""
+        self._packed, self._size, self._expected, self._crc, self._done = member.compress_size, member.file_size, member.CRC, 0, 0
+        self._pieces, self._ready = self._inflated(), b""
+
+    def _read(self, n: int) -> bytes:
+        packed = self._file.read(min(n, self._packed))
+        if not packed and self._packed:
+            raise EOFError("archive ends inside a member")
+        self._packed -= len(packed)
+        return packed
+
+    def _inflated(self) -> Iterator[bytes]:
+        try:
+            import inflate64
+        except ImportError:
+            yield from deflate64.inflate64(self._read)
+            return
+        inflater = inflate64.Inflater()
+        while packed := self._read(1 << 16):
+            yield inflater.inflate(packed)
 
     def readable(self) -> bool:
         return True
 
     def readinto(self, target) -> int:
-        while not self._ready and self._left:
-            packed = self._file.read(min(1 << 16, self._left))
-            if not packed:
-                raise EOFError("archive ends inside a member")
-            self._left -= len(packed)
-            self._ready = self._inflater.inflate(packed)
+        while not self._ready:
+            piece = next(self._pieces, None)
+            if piece is None:
+                if self._done != self._size or self._crc != self._expected:
+                    raise zipfile.BadZipFile("the member's size or checksum differs")
+                return 0
+            self._ready, self._crc, self._done = piece, zlib.crc32(piece, self._crc), self._done + len(piece)
         n = min(len(target), len(self._ready))
         target[:n], self._ready = self._ready[:n], self._ready[n:]
         return n

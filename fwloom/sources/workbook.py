@@ -1,4 +1,4 @@
-"""Layout workbooks: cells of .xlsx sheets, and the compilation of a sheet into a layout."""
+"""Layout workbooks: cells of .xlsx and .xls sheets, and the compilation of a sheet into a layout."""
 
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from pathlib import Path
 
 from fwloom.config import SheetConfig, WorkbookConfig
 from fwloom.layouts import TRADE_TYPES, Field, Layout, LayoutError, Source, check
+from fwloom.sources import xls
 
 #: Fixed values of the workbook format: names of dtypes in lower case, and spellings of yes and no.
 DTYPE_NAMES = {
@@ -32,7 +33,14 @@ Rows = list[list[object]]
 
 
 def sheets_of(path: Path) -> dict[str, Rows]:
-    """Cells of every sheet of an .xlsx file; cells are text, numbers or None."""
+    """Cells of every sheet of an .xlsx or .xls file, told apart by their first bytes; cells are text, numbers or None."""
+    with path.open("rb") as f:
+        old = f.read(8) == xls.MAGIC
+    if old:
+        try:
+            return xls.sheets_of(path.read_bytes())
+        except xls.XlsError as e:
+            raise LayoutError(f"{path.name}: not a readable .xls workbook ({e})") from e
     try:
         with zipfile.ZipFile(path) as z:
             read = lambda name: ET.fromstring(z.read(name))

@@ -68,6 +68,16 @@ def fwf_decode_lineitem(spark, sf_dir):
     return D.good_rows(D.decode(lineitem_lines(spark, sf_dir, False), LINEITEM), LINEITEM)
 
 
+@query(f"SELECT {PLAIN} FROM lineitem")
+def fwf_table_function(spark, sf_dir):
+    """The same rows by the table function of SQL, whose columns are the layout's."""
+    from fwloom.functions import table
+
+    table.register(spark, {"lineitem": LINEITEM})
+    lineitem_lines(spark, sf_dir, False).select("raw_line").createOrReplaceTempView("fwf_table_function_lines")
+    return spark.sql("SELECT * FROM fwf_decode(TABLE(fwf_table_function_lines), 'lineitem')")
+
+
 @query("SELECT l_returnflag, l_linestatus, cast(count(*) as bigint) AS n, cast(sum(l_orderkey) as bigint) AS keys FROM lineitem WHERE l_shipdate < DATE '1997-01-01' GROUP BY 1, 2")
 def fwf_project_aggregate(spark, sf_dir):
     rows = D.project(lineitem_lines(spark, sf_dir, False), LINEITEM, ["l_returnflag", "l_linestatus", "l_orderkey", "l_shipdate"], F.col("l_shipdate") < "1997-01-01")

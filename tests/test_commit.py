@@ -156,3 +156,23 @@ def test_fail_fast_on_the_command_line(spark, env, capsys, monkeypatch):  # noqa
     args = ["ingest", "--input", str(env / "in"), "--output", str(env / "out"), "--spec-dir", str(env / "specs"), "--current-year", "2024"]
     assert cli.main([*args, "--fail-fast"]) == 1 and "line 6, column value" in capsys.readouterr().err
     assert cli.main(args) == 0
+
+
+def test_periodic_job_over_file_uris(spark, tmp_path):
+    """Listings, manifests, outputs and hashes go through file systems, not through local paths."""
+    from fwloom.plans import cycle
+    from tests.test_catalog_and_cycle import ROWS, book, project
+
+    for d in ("books", "raw", "specs", "out", "manifests"):
+        (tmp_path / d).mkdir()
+    book(tmp_path / "books" / "b_2020.xlsx", {"Sheet": ROWS})
+    project(tmp_path / "project.yaml")
+    drop(tmp_path / "raw", "Sheet_202401N.TXT.zip", [line("202401", n) for n in range(4)])
+    uri = lambda d: f"file://{tmp_path / d}"
+    settings = cycle.Settings(str(tmp_path / "project.yaml"), str(tmp_path / "books"), uri("raw"), str(tmp_path / "specs"), uri("out"), uri("manifests"))
+    assert cycle.run(spark, settings) == 0
+    files = cycle.raw_files(spark, settings)
+    assert [tuple(r) for r in files.select("name", "output_present", "size").collect()] == [("Sheet_202401N.TXT.zip", True, (tmp_path / "raw" / "Sheet_202401N.TXT.zip").stat().st_size)]
+    runs = lambda: len(list((tmp_path / "out/_manifests/imports").iterdir()))
+    assert runs() == 1 and cycle.run(spark, settings) == 0 and runs() == 1
+    assert sinks.read_partitions(spark, uri("out/imports")).count() == 4

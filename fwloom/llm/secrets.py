@@ -1,11 +1,13 @@
 """Operator 3: secret scans by assignment-aware lexing.
 
 Base findings are three fixed patterns (``assign``, ``access``, ``hex``). On top of them the scanner lexes
-source and configuration syntax into name-literal pairs: at every assignment sign it reads the whole name on its
-left and the value on its right (a quoted, triple-quoted, backquoted or bare literal, a sum of literals, or another
-name). A name inside braces or under a deeper line of YAML whose own name says nothing (``value``, ``key``) is read
-with the name around it. Constants are propagated over the document, wherever they are bound: a literal that
-reaches a sensitive name through any chain of names is found where it stands. A pair scores by how sensitive its
+source and configuration syntax into name-literal pairs: at every assignment sign, compound ones too, it reads the whole name on its
+left and the value on its right: a quoted, triple-quoted, backquoted or bare literal, with or without a prefix letter, a YAML block, a list in
+brackets, a sum of literals, or another name. Quoted arguments of a call belong to the name of the function, the text of an XML element to
+that of the element. A name that says nothing of its own (``value``, ``key``) is read with the name around it: of the braces, the YAML block or the
+INI section. Constants are propagated over the document, wherever they are bound: a literal that
+reaches a sensitive name through any chain of names is found where it stands. Sums are folded, names in them too (by their first
+binding): if the whole looks like a key, every part of it is found, however short. A pair scores by how sensitive its
 name is and how much its literal looks like a key rather than prose; pairs of at least ``MIN_SCORE`` add a
 ``lexed`` span, unless base spans hold it already. Base spans are never changed. Lines of a literal over several
 lines are literals of their own.
@@ -52,11 +54,18 @@ PAIRED = [("api", "key"), ("private", "key"), ("access", "key"), ("secret", "key
 PLACEHOLDER = re.compile(r"(?ai)(?:none|null|true|false|undefined|changeme|example|placeholder|redacted|your[_-].*|x+|\*+|\.+|<.*>|\$\{.*\}|%\(.*|\{\{.*)$")
 MIN_SCORE = 1.2
 MIN_CHARS = 8
-#: Characters back to the start of a line whose indent counts; deeper lines open no block.
-INDENT = 200
 
-#: A whole name, what may close it (quotes, an index), and the sign; or a brace.
-LEXEME = re.compile(r"""(?<![A-Za-z0-9_.\-$])[0-9.\-]*+([A-Za-z_$][A-Za-z0-9_.\-$]*+)["'\]]{0,2}+[ \t]*+(:=|=>|=(?![=~])|:(?![:/]))|([{}])""")
+#: A whole name, what may close it (quotes, an index), and the sign, or a bracket before a quoted argument; or a brace; a section; an element and its text.
+LEXEME = re.compile(
+    r"""(?<![A-Za-z0-9_.\-$])[0-9.\-]*+([A-Za-z_$][A-Za-z0-9_.\-$]*+)["'\]]{0,2}+[ \t]*+(:=|=>|\?\?=|\|\|=|[+|?]?=(?![=~])|:(?![:/])|\((?=[ \t]*+[rbfuRBFU]{0,2}["'`]))"""
+    r"""|([{}])|^[ \t]*+\[([A-Za-z_][A-Za-z0-9_.\- ]*+)\][ \t\r]*+$|<([A-Za-z_][A-Za-z0-9_.:\-]*+)(?:[ \t][^<>\n]*+)?>([^<>\n]++)</""",
+    re.M,
+)
+PREFIX = re.compile("(?:[rbfuRBFU]{1,2}|[@$])(?=[\"'`])")
+BLOCK = re.compile(r"[ \t]*+[|>][+-]?[0-9]?[+-]?[ \t\r]*+\n")
+INDENTED = re.compile(r"[ ]*+")
+BETWEEN = re.compile(r"[ \t\r\n]*+,?[ \t\r\n]*+")
+QUOTE = re.compile("[ \t]*+(?:[rbfuRBFU]{1,2})?[\"'`]")
 QUOTED = re.compile(r""""((?:[^"\\\n]|\\.)*+)"|'((?:[^'\\\n]|\\.)*+)'""")
 BARE = re.compile(r"""[^\s"'`,;(){}\[\]<>]++""")
 BLANK = re.compile(r"[ \t]*+")
@@ -84,21 +93,31 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def name_score(name: str) -> float:
     parts = [p.lower() for p in SPLIT.split(name) if p]
+    parts = [p[:-1] if p.endswith(("keys", "tokens", "secrets", "passwords")) else p for p in parts]
     joined = set(parts) | {a + b for a, b in zip(parts, parts[1:])}
     score = max((SENSITIVE.get(p, 0.0) for p in joined), default=0.0)
     return 1.0 if any(a in parts and b in parts for a, b in PAIRED) else score
 
 
-def literal_score(value: str, quoted: bool) -> float:
-    """0 to 1: keys are long, mix character classes and spread over many characters."""
-    if len(value) < MIN_CHARS or PLACEHOLDER.match(value) or any(c.isspace() for c in value):
+def key_score(counts: Counter, n: int, quoted: bool) -> float:
+    """0 to 1 for a string with these characters: keys are long, mix character classes and spread over many characters."""
+    if n < MIN_CHARS or any(c.isspace() for c in counts):
         return 0.0
-    counts, n = Counter(value), len(value)
     entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
-    classes = sum(map(bool, (re.search("[a-z]", value), re.search("[A-Z]", value), re.search("[0-9]", value), re.search("[^A-Za-z0-9]", value))))
-    if not re.search("[0-9]", value) and not (quoted and classes >= 2):
+    kinds = {0 if "a" <= c <= "z" else 1 if "A" <= c <= "Z" else 2 if "0" <= c <= "9" else 3 for c in counts}
+    if 2 not in kinds and not (quoted and len(kinds) >= 2):
+        return 0.0
+    return min(1.0, 0.25 * (len(kinds) - 1) + 0.15 * entropy + 0.1 * quoted)
+
+
+def literal_score(value: str, quoted: bool) -> float:
+    if len(value) < MIN_CHARS or PLACEHOLDER.match(value):
         return 0.0
-    return min(1.0, 0.25 * (classes - 1) + 0.15 * entropy + 0.1 * quoted)
+    return key_score(Counter(value), len(value), quoted)
+
+
+#: A literal's start, end and whether it is quoted, and the name that a bare word may be.
+Part = tuple[int, int, bool, str]
 
 
 class Lexer:
@@ -108,10 +127,12 @@ class Lexer:
         self.text = text
         self.unclosed: set[str] = set()  # long quotes that close nowhere from here on
 
-    def literal(self, at: int) -> tuple[list[tuple[int, int, bool]], str, int] | None:
-        """Literals (start, end, quoted), the name if it may be one, and the end of the value at ``at``."""
+    def literal(self, at: int) -> tuple[list[Part], int] | None:
+        """The literal at ``at``, its lines apart if it has several, and its end."""
         text = self.text
         at = BLANK.match(text, at).end()
+        if m := PREFIX.match(text, at):
+            at = m.end()
         for mark in LONG_QUOTES:
             if text.startswith(mark, at) and mark not in self.unclosed:
                 start = at + len(mark)
@@ -119,23 +140,76 @@ class Lexer:
                 if end < 0:
                     self.unclosed.add(mark)
                     continue
-                lines = [(m.start(), m.end()) for m in LINE.finditer(text, start, end)]
-                stripped = [(a + len(text[a:b]) - len(text[a:b].lstrip()), b - len(text[a:b]) + len(text[a:b].rstrip())) for a, b in lines]
-                return [(a, b, True) for a, b in stripped if b > a], "", end + len(mark)
+                return self.lines(start, end), end + len(mark)
         if m := QUOTED.match(text, at):
             start, end = m.span(m.lastindex)
-            return [(start, end, True)] if end > start else [], "", m.end()
+            return [(start, end, True, "")] if end > start else [], m.end()
         if m := BARE.match(text, at):
             word = m[0].rstrip(".:!?")
-            return [(at, at + len(word), False)] if word else [], word if IDENTIFIER.match(word) else "", m.end()
+            return [(at, at + len(word), False, word if IDENTIFIER.match(word) else "")] if word else [], m.end()
         return None
 
-    def pairs(self) -> Iterator[tuple[str, list[tuple[int, int, bool]], list[str]]]:
-        """Name, literals and names on the right of every assignment."""
+    def lines(self, start: int, end: int) -> list[Part]:
+        out = []
+        for m in LINE.finditer(self.text, start, end):
+            bare = m[0].strip()
+            if bare:
+                a = m.start() + m[0].index(bare)
+                out.append((a, a + len(bare), True, ""))
+        return out
+
+    def block(self, at: int, indent: int) -> int:
+        """Where the lines from ``at`` on that are indented deeper than ``indent`` end."""
+        text = self.text
+        while at < len(text):
+            deep = INDENTED.match(text, at).end() - at
+            end = text.find("\n", at)
+            end = len(text) if end < 0 else end
+            if deep <= indent and text[at:end].strip():
+                break
+            at = end + 1
+        return min(at, len(text))
+
+    def listed(self, at: int) -> tuple[list[list[Part]], int]:
+        """Quoted elements of a list or arguments of a call, each a value."""
+        values = []
+        while QUOTE.match(self.text, at) and (value := self.literal(at)):
+            values += [[part] for part in value[0]]
+            at = value[1]
+            after = BETWEEN.match(self.text, at).end()
+            if not QUOTE.match(self.text, after):
+                break
+            at = after
+        return values, at
+
+    def value(self, at: int) -> tuple[list[list[Part]], int]:
+        """Values on the right of a sign (several lines are several, a sum is one of several parts), and their end."""
+        after = BLANK.match(self.text, at).end()
+        if self.text.startswith("[", after) and QUOTE.match(self.text, start := BETWEEN.match(self.text, after + 1).end()):
+            return self.listed(start)
+        parts: list[Part] = []
+        while value := self.literal(at):
+            found, at = value
+            if len(found) > 1:
+                return [[p] for p in [*parts, *found]], at
+            parts += found
+            quoted = self.text[at - 1] in "\"'`"
+            if plus := PLUS.match(self.text, at):
+                at = plus.end()
+            elif not (quoted and QUOTE.match(self.text, at)):  # literals side by side are one
+                break
+        return [parts] if parts else [], at
+
+    def pairs(self) -> Iterator[tuple[str, list[list[Part]]]]:
+        """Name and values of every assignment."""
         text, around, at = self.text, [], 0
         deeper: list[tuple[int, str]] = []  # indents and names of lines that open a block
-        opening = ""
+        opening = section = ""
+        line, following, first = 0, text.find("\n") + 1, True  # starts of this line and the next; whether no lexeme was on it
         for m in LEXEME.finditer(text):
+            while 0 < following <= m.start():
+                line, following, first = following, text.find("\n", following) + 1, True
+            alone, first = first, False
             if m.start() < at:  # inside a literal
                 continue
             if m[3]:
@@ -145,29 +219,38 @@ class Lexer:
                     around.pop()
                 opening = ""
                 continue
+            if m[4]:
+                section, opening, deeper = m[4].strip(), "", []
+                continue
+            if m[5]:
+                bare = m[6].strip()
+                start = m.start(6) + m[6].index(bare)
+                if bare:
+                    yield m[5], [[(start, start + len(bare), False, bare if IDENTIFIER.match(bare) else "")]]
+                continue
             name, own = m[1], m[1]
-            line = text.rfind("\n", max(0, m.start() - INDENT), m.start()) + 1
-            indent = m.start(1) - line if m[2] == ":" and (line or m.start() <= INDENT) and not text[line : m.start(1)].strip("- \"'\t") else -1
+            indent = m.start(1) - line if m[2] == ":" and alone and not text[line : m.start(1)].strip("- \"'\t") else -1
             if indent >= 0:
                 while deeper and deeper[-1][0] >= indent:
                     deeper.pop()
             if name.lower() in GENERIC:
-                outer = around[-1] if around and around[-1] else deeper[-1][1] if deeper and indent >= 0 else ""
+                outer = around[-1] if around and around[-1] else deeper[-1][1] if deeper and indent >= 0 else section
                 own = f"{outer}.{name}" if outer else name
-            literals, names, end = [], [], m.end()
-            while value := self.literal(end):
-                literals += value[0]
-                names += [value[1]] if value[1] else []
-                end = value[2]
-                plus = PLUS.match(text, end)
-                if not plus:
-                    break
-                end = plus.end()
+            if m[2] == "(":
+                values, at = self.listed(m.end())
+                if values:
+                    yield own, values
+                continue
+            if indent >= 0 and (head := BLOCK.match(text, m.end())):
+                at = self.block(head.end(), indent)
+                yield own, [[p] for p in self.lines(head.end(), at)]
+                continue
+            values, end = self.value(m.end())
             opening = ""
-            if literals or names:
-                if literals and literals[0][2]:
+            if values:
+                if values[0][0][2]:
                     at = end
-                yield own, literals, names
+                yield own, values
                 continue
             after = BLANK.match(text, m.end()).end()
             if text.startswith("{", after):
@@ -176,31 +259,81 @@ class Lexer:
                 deeper.append((indent, own))
 
 
+class Constants:
+    """What names are bound to in a text."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.values: dict[str, list[list[Part]]] = {}
+        self.folds: dict[str, tuple[Counter, int, bool]] = {}
+        for name, values in Lexer(text).pairs():
+            self.values.setdefault(name, []).extend(values)
+
+    def is_literal(self, part: Part) -> bool:
+        """A bare word without a digit is a name or prose."""
+        start, end, quoted, name = part
+        return quoted or not name or bool(re.search("[0-9]", self.text[start:end]))
+
+    def fold(self, value: list[Part]) -> tuple[Counter, int, bool]:
+        """Characters of a sum, how many, and whether a part of it is quoted; names in it must be folded already."""
+        counts, n, any_quoted = Counter(), 0, False
+        for part in value:
+            start, end, quoted, name = part
+            if name in self.values and not quoted:
+                more, length, was = self.folds.get(name, (Counter(), 0, False))  # nothing for a name in its own sum
+            elif not name:
+                more, length, was = Counter(self.text[start:end]), end - start, quoted
+            else:
+                continue
+            counts, n, any_quoted = counts + more, n + length, any_quoted or was
+        return counts, n, any_quoted
+
+    def whole_score(self, value: list[Part]) -> float:
+        """Score of a sum as one literal."""
+        open_ = [n for *_, quoted, n in value if not quoted and n in self.values and n not in self.folds]
+        busy = set()
+        while open_:
+            first = self.values[open_[-1]][0] if self.values[open_[-1]] else []
+            if open_[-1] not in self.folds and open_[-1] not in busy:
+                busy.add(open_[-1])
+                open_ += [n for *_, quoted, n in first if not quoted and n in self.values and n not in self.folds and n not in busy]
+                continue
+            name = open_.pop()
+            if name not in self.folds:
+                self.folds[name] = self.fold(first)
+        counts, n, quoted = self.fold(value)
+        return key_score(counts, n, quoted) if len(counts) > 1 else 0.0
+
+
 def lexed_spans(text: str) -> list[tuple[int, int, float]]:
     """(start, end, score) of literals that reach a sensitive name."""
-    if "=" not in text and ":" not in text:
+    if "=" not in text and ":" not in text and "(" not in text and "</" not in text:
         return []
-    held: dict[str, set[tuple[int, int, bool]]] = {}
-    refers: dict[str, set[str]] = {}
-    for name, literals, names in Lexer(text).pairs():
-        # A bare word without a digit is a name or prose.
-        held.setdefault(name, set()).update(x for x in literals if x[2] or not IDENTIFIER.match(text[x[0] : x[1]]) or re.search("[0-9]", text[x[0] : x[1]]))
-        refers.setdefault(name, set()).update(names)
-    sensitive = sorted(((s, name) for name in held if (s := name_score(name))), reverse=True)
-    seen: set[str] = set()
+    bound = Constants(text)
+    sensitive = sorted(((s, name) for name in bound.values if (s := name_score(name))), reverse=True)
+    seen: set[tuple[str, bool]] = set()
     found: dict[tuple[int, int], float] = {}
-    for score, name in sensitive:  # the most sensitive first, so each name is passed once
-        open_ = [name]
+    for score, name in sensitive:  # the most sensitive first, so each name is passed once, and once as a part of a key
+        open_ = [(name, 0.0)]
         while open_:
-            name = open_.pop()
-            if name in seen or name not in held:
+            name, key = open_.pop()
+            if name not in bound.values or (name, key > 0) in seen:
                 continue
-            seen.add(name)
-            open_ += refers[name]
-            for start, end, quoted in held[name]:
-                own = literal_score(text[start:end], quoted)
-                if own and score + own >= MIN_SCORE:
-                    found[start, end] = max(found.get((start, end), 0.0), score + own)
+            seen.add((name, key > 0))
+            for value in bound.values[name]:
+                whole = key
+                if len(value) > 1 and (own := bound.whole_score(value)) and score + own >= MIN_SCORE:
+                    whole = max(key, score + own)
+                for part in value:
+                    start, end, quoted, ref = part
+                    if ref and not quoted:
+                        open_.append((ref, whole))
+                    if ref in bound.values and not quoted or not bound.is_literal(part):
+                        continue
+                    own = literal_score(text[start:end], quoted)
+                    best = max(0.0 if ref else whole, score + own if own else 0.0)  # a bare word in a sum may be a name bound elsewhere
+                    if best >= MIN_SCORE:
+                        found[start, end] = max(found.get((start, end), 0.0), best)
     return sorted((a, b, s) for (a, b), s in found.items())
 
 

@@ -9,8 +9,8 @@ words; learnt words are also looked up at every letter of such a run. Both are l
 
 The scorer is learnt from ``labels.toxic``: words and word beginnings that are significantly commoner in
 toxic texts carry log-odds, a document sums them over its distinct words, and a logistic curve turns that
-into a probability. Training rows are a sample of at most ``TRAIN_ROWS`` labelled documents, in the order of
-a hash of their id, and only of those whose crc32(doc_id) mod 3 is not 1. Labels, lang, source and doc_id
+into a probability. Training rows are a sample of at most ``TRAIN_ROWS`` labelled texts, in the order of
+a hash of id and text, and only of those whose crc32(doc_id) mod 3 is not 1. Labels, lang, source and doc_id
 are no inputs of a score.
 
 Trigram counts and feature counts are summed by Spark; what reaches the driver is bounded by the alphabet's cube and
@@ -260,13 +260,22 @@ class Scorer(dict):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """text and toxic of the labelled sample; the ids number ``TRAIN_ROWS`` at most, so the join sends them to every task."""
+    """text and toxic of the labelled sample: at most ``TRAIN_ROWS`` texts, however many rows an id or a text has.
+
+    An id with a text counts once. Only their hashes are gathered to choose from; they number ``TRAIN_ROWS`` at most, so the join sends them to
+    every task.
+    """
     allowed = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("labelled")).agg(F.max("toxic").cast("int").alias("toxic"))
     allowed = allowed.where(F.crc32(F.col("labelled").cast("string").cast("binary")) % 3 != 1)
-    share = F.pmod(F.xxhash64("labelled"), F.lit(max(1, allowed.count()))) < TRAIN_ROWS
-    sample = allowed.where(share).orderBy(F.xxhash64("labelled"), "labelled").limit(TRAIN_ROWS)
-    ids = docs.sparkSession.createDataFrame([tuple(r) for r in sample.collect()], "labelled long, toxic int")
-    return docs.join(F.broadcast(ids), F.col("doc_id").cast("long") == F.col("labelled")).select(F.col("text").cast("string"), "toxic")
+    own = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).withColumn("h", F.xxhash64("text"))
+    known = materialize(own.select("id", "h").join(allowed, F.col("id") == F.col("labelled")).select("labelled", "h", "toxic").distinct())
+    order = F.xxhash64("labelled", "h")
+    share = F.pmod(order, F.lit(max(1, known.count()))) < TRAIN_ROWS
+    sample = known.where(share).orderBy(order, "labelled", "h").limit(TRAIN_ROWS).collect()
+    release(known)
+    chosen = docs.sparkSession.createDataFrame([tuple(r) for r in sample], "labelled long, s long, toxic int")
+    rows = own.join(F.broadcast(chosen), (F.col("id") == F.col("labelled")) & (F.col("h") == F.col("s")))
+    return rows.groupBy("labelled", "s").agg(F.first("text").alias("text"), F.first("toxic").alias("toxic")).select("text", "toxic")
 
 
 def feature_weights(rows: DataFrame, counts: np.ndarray) -> dict[str, float]:

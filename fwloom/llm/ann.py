@@ -2,7 +2,8 @@
 
 Coarse centroids part the vectors into lists; what is left after the centroid is coded by product
 quantisation, a byte for each sub-vector. A query probes its best lists and adds up asymmetric distance tables
-(exact query part against coded part). The stored length of what the codes leave out bounds the error of that sum,
+(exact query part against coded part). Lists are tried in the order of what their best entry can score at most: the inner product with the centroid
+and, for the longest residual in the list, the product of lengths; so long vectors, which lie far from every centroid, are tried first. The stored length of what the codes leave out bounds the error of that sum,
 so every candidate that may be among the nearest of its block is scored again on the original vectors in double
 precision: nothing in a probed list is lost to the quantisation. A query whose best lists hold too few entries
 probes further ones. Nearness is the inner product.
@@ -17,7 +18,7 @@ gives the ``K + 1`` best for each query. Only lists' sizes and the model reach t
 Defined results: vectors that are null, zero, or hold null or non-finite components take no part, nor those
 of another dimension than the commonest (the smaller of two as common); a row with a null vec_id takes no
 part; rows with one vec_id are that query's own; ties go to the smaller vec_id; fewer candidates give fewer
-rows; extra columns are dropped; an empty table gives an empty result.
+rows; a very long vector is one row, and blocks hold fewer of them; extra columns are dropped; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ SAMPLE, ROUNDS, SUB, CODES = 20_000, 12, 4, 256
 MAX_LISTS = 4096
 #: Share of the lists that a query probes.
 PROBE_SHARE = 0.8
-INDEX_BLOCK, QUERY_BLOCK = 1 << 15, 1 << 10
+INDEX_BLOCK, QUERY_BLOCK, LEAST_QUERIES = 1 << 15, 1 << 14, 1 << 8
 #: Numbers in the vectors of an index block.
 BLOCK_NUMBERS = INDEX_BLOCK * 64
 #: Rounding of sums, as a share of the lengths of both vectors.
@@ -79,24 +80,24 @@ class Model:
         m = -(-x.shape[1] // SUB)
         return np.pad(x, ((0, 0), (0, m * SUB - x.shape[1]))).reshape(len(x), m, SUB)
 
-    def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Lists, codes, and the lengths of what the codes leave out."""
+    def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Lists, codes, the lengths of what the codes leave out, and of the whole residuals."""
         lists = nearest(x, self.centers)
         rest = self.parts(x - self.centers[lists])
         codes = np.stack([nearest(rest[:, m], self.books[m]) for m in range(rest.shape[1])], 1).astype(np.uint8)
         lost = rest - self.books[np.arange(rest.shape[1]), codes]
-        return lists, codes, np.sqrt((lost * lost).sum((1, 2)))
+        return lists, codes, np.sqrt((lost * lost).sum((1, 2))), np.sqrt((rest * rest).sum((1, 2)))
 
     def tables(self, q: np.ndarray) -> np.ndarray:
         """Inner products of query sub-vectors with all codes."""
         return np.einsum("qms,mcs->qmc", self.parts(q), self.books)
 
 
-    def probed(self, q: np.ndarray, sizes: np.ndarray, probes: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-        """Inner products of queries with centroids, and which lists they probe: the best ``probes``, and further
-        ones while those hold fewer than ``least`` entries."""
+    def probed(self, q: np.ndarray, sizes: np.ndarray, probes: int, least: int, reach: np.ndarray | float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """Inner products of queries with centroids, and which lists they probe: the ``probes`` that can score highest by
+        the lengths of their residuals (``reach``), and further ones while those hold fewer than ``least`` entries."""
         base = q @ self.centers.T
-        order = np.argsort(-base, axis=1, kind="stable")
+        order = np.argsort(-(base + np.sqrt((q * q).sum(1))[:, None] * reach), axis=1, kind="stable")
         before = np.cumsum(sizes[order], axis=1) - sizes[order]
         chosen = np.zeros(base.shape, bool)
         np.put_along_axis(chosen, order, (np.arange(base.shape[1]) < probes) | (before < least), 1)
@@ -191,16 +192,20 @@ def search(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY) -> DataFram
     def code(batches):
         for batch in batches:
             if len(batch):
-                own, codes, lost = state.value.encode(matrix(batch.column(1)))
-                yield pa.record_batch([batch.column(0), batch.column(1), pa.array(own, pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(lost)], ["entry", "v", "list", "codes", "lost"])
+                own, codes, lost, far = state.value.encode(matrix(batch.column(1)))
+                yield pa.record_batch([batch.column(0), batch.column(1), pa.array(own, pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(lost), pa.array(far)], ["entry", "v", "list", "codes", "lost", "far"])
 
-    index = materialize(entries.select("entry", "v").mapInArrow(code, "entry long, v array<double>, list int, codes binary, lost double"))
+    index = materialize(entries.select("entry", "v").mapInArrow(code, "entry long, v array<double>, list int, codes binary, lost double, far double"))
     queries = materialize(asked.select("q").distinct().join(entries, F.col("q") == F.col("entry")).select("q", "v"))
     # A row for each list at most.
-    counted = {r["list"]: r["n"] for r in index.groupBy("list").agg(F.count("*").alias("n")).collect()}
+    found = {r["list"]: r for r in index.groupBy("list").agg(F.count("*").alias("n"), F.max("far").alias("far")).collect()}
+    counted = {n: r["n"] for n, r in found.items()}
     sizes = np.array([counted.get(n, 0) for n in range(len(state.value.centers))])
+    reach = np.array([found[n]["far"] if n in found else 0.0 for n in range(len(sizes))])
     places, i_blocks = blocks_of(counted, max(1, min(INDEX_BLOCK, BLOCK_NUMBERS // sample.shape[1])))
-    q_blocks = max(1, math.ceil(queries.count() / QUERY_BLOCK))
+    asked_rows = queries.count()
+    # The index moves once for each block of queries, so these are large, but not so large that cores have nothing to do.
+    q_blocks = max(1, math.ceil(asked_rows / QUERY_BLOCK), min(math.ceil(asked_rows / LEAST_QUERIES), math.ceil(2 * spark.sparkContext.defaultParallelism / i_blocks)))
     places = F.broadcast(spark.createDataFrame(places, "list int, places array<int>"))
     at = F.pmod(F.xxhash64("entry"), F.size("places")).cast("int")
     all_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
@@ -216,7 +221,7 @@ def search(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY) -> DataFram
             code = np.frombuffer(b"".join(codes.column("codes").to_pylist()), np.uint8).reshape(len(entry), -1)
             for s in range(0, len(q), 32):
                 part = slice(s, s + 32)
-                n, e, score = best_of_block(model, v[part], *model.probed(v[part], sizes, probes, k + 1), entry, own, code, lost, x, k + 1)
+                n, e, score = best_of_block(model, v[part], *model.probed(v[part], sizes, probes, k + 1, reach), entry, own, code, lost, x, k + 1)
                 out.append((q[part][n], e, score))
         return pa.table({name: np.concatenate(x) for name, x in zip(["q", "entry", "score"], zip(*out))})
 

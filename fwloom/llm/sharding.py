@@ -6,7 +6,7 @@ box of every dimension and readers that filter on any of them can skip whole fil
 
 Law ``rows``: shard counts differ by one at most. The ranking is a range shuffle of narrow rows without text,
 then a number within each range plus the sizes of the ranges before it; no task sees more than its range.
-Ties on the curve are broken by doc_id and the text's checksum, so a heavy cell is split like any other.
+Ties on the curve are broken by doc_id, the text's checksum and the row's place, so a heavy cell is split like any other, fully equal rows too.
 
 Quantisation: numbers by the table's own approximate quantiles; strings by cut points in their sort order,
 taken from a range partitioning of the distinct values. Both give at most ``2**BITS - 1`` cuts.
@@ -102,7 +102,8 @@ def ranked(df: DataFrame, dimensions: list[str], ties: list[str], bits: int = BI
 
     curved = materialize(df.mapInArrow(index, df.select("*", F.lit(0).cast("long").alias("curve")).schema))
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = curved.repartitionByRange(n, "curve", *ties).sortWithinPartitions("curve", *ties)
+    told = curved.withColumn("__tie", F.monotonically_increasing_id())
+    ordered = told.repartitionByRange(n, "curve", *ties, "__tie").sortWithinPartitions("curve", *ties, "__tie").drop("__tie")
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

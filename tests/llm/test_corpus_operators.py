@@ -290,9 +290,9 @@ def test_pipeline_keeps_clashing_columns_and_texts(spark, tmp_path):
     assert corpus_pipeline.pack_sequences(spark, docs, str(tmp_path)).select("doc_id", "piece").count() > len(texts)
 
 
-@pytest.mark.parametrize("module", ["packing", "neardup", "secrets", "toxicity", "ann", "counts", "media", "bpe", "suffixes", "sharding"])
+@pytest.mark.parametrize("module", ["packing", "neardup", "secrets", "toxicity", "ann", "counts", "media", "bpe", "suffixes", "sharding", "lexical", "lines", "turns"])
 def test_registered(module):
     import __spark_entry__
 
     assert any(name.startswith("op") for name in __import__(f"fwloom.llm.{module}", fromlist=["QUERIES"]).QUERIES)
-    assert len([q for q in __spark_entry__.queries() if re.match(r"op\d+_", q)]) == 10
+    assert len([q for q in __spark_entry__.queries() if re.match(r"op\d+_", q)]) == 13

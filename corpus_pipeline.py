@@ -1,4 +1,10 @@
-"""A corpus pipeline of five stages; each is written as Parquet and read again as the next one's documents."""
+"""A corpus pipeline of five stages; each is written as Parquet and read again as the next one's documents.
+
+Defined results of ``run``: null and empty texts pass the first four stages as they are and are packed as empty documents; a null doc_id
+is an id like others, repeated rows and texts under one id are judged by their text; of equal texts one row stays, the one with the smallest id; very long texts are whole rows in
+every stage; columns beyond those of documents, whatever their names, pass the first four stages unchanged; an empty table gives an empty result,
+and without labels of both kinds no document is toxic.
+"""
 
 from __future__ import annotations
 
@@ -27,12 +33,12 @@ def strip_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with a mark in place of every secret; documents without secrets are unchanged."""
+    """Texts with a mark in place of every secret, and ``n_chars`` to match; documents without secrets, null and empty texts are unchanged, no row goes."""
     return secrets.redacted(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places of all pieces in sequences of 2048 tokens."""
+    """Places of all pieces in sequences of 2048 tokens: at least a piece for each row, null and empty texts too; a long text has several; repeated rows have places of their own."""
     return packing.pack(docs)
 
 

@@ -5,8 +5,12 @@ stands the configuration linear program: a variable for each multiset of lengths
 covering row for each length, over the whole demand. Multiplicative weights solve it: a length's weight, which
 starts at its size, falls with the share of its demand that is covered and rises where a phase left it for the
 end. Knapsack dynamic programming prices the lengths by these weights and gives the best fill of every capacity,
-so one pricing yields a column for each length. Phases go on until the fractional solution covers all demand.
-It is rounded down; what is left is packed by the same pricing in whole steps.
+so one pricing yields a column for each length.
+
+A first solution covers each length by its best column, is rounded down, and the rest packed by the same pricing in whole steps. That is enough
+where short pieces fill the gaps. Where it stays over the proven bound the program is solved in earnest: each phase takes only columns that are worth, but for
+``SLACK``, as much as the best, a small step of each, so nothing but nearly optimal configurations come in (``tight_cover``). The solution is rounded by
+diving: whole parts and the largest fractions are kept until half of the sequences stand, then what is left is solved anew.
 
 Every pricing proves a lower bound by duality: weights divided by the value of the best configuration are
 feasible prices, so no packing uses fewer sequences than they give for the demand. ``solve`` reports the best of
@@ -38,13 +42,16 @@ from fwloom.llm.common import materialize, table
 
 CAPACITY = 2048
 SEPARATOR = 0
-#: Phases of the fractional solver before the last; in each, a column takes this share of what it could cover.
+#: Phases of the first solution before the last; in each, a column takes this share of what it could cover.
 PHASES, SHARE = 10, 0.5
 #: How strongly covered demand lowers a weight.
 ETA = 1.0
-#: Most covers, and how far a price moves towards what its length took in the last one.
-ROUNDS, PULL = 6, 0.5
-#: Sequences over the proven bound, as a share of it, at which no further cover is tried.
+#: Phases of the first and of later solutions of a dive, the share of its demand that a length gets in one, how strongly that lowers its weight,
+#: and what a column may be worth less than the best.
+DIVE_PHASES, DIVE_SHARE, DIVE_ETA, SLACK = (120, 40), 0.05, 0.05, 0.01
+#: Share of the sequences that a dive keeps, and the number at which it ends.
+KEPT, FEW = 0.5, 12
+#: Sequences over the proven bound, as a share of it, up to which the first solution is taken.
 GAP = 0.0005
 #: Demand below this counts as covered.
 TINY = 1e-6
@@ -92,7 +99,7 @@ class Solution(NamedTuple):
     """Configurations as ((length, times), ...) with how often each is used; together they hold the histogram exactly."""
 
     configurations: list[tuple[tuple[tuple[int, int], ...], int]]
-    #: Sequences in use, the value of the fractional solution, and a proven lower bound.
+    #: Sequences in use, the value of the best fractional solution that covers all demand, and a proven lower bound.
     sequences: int
     fractional: float
     bound: int
@@ -145,14 +152,65 @@ def cover(demand: np.ndarray, price: np.ndarray, capacity: int) -> tuple[Counter
     return out, bound
 
 
-def costs(fractional: Counter, demand: np.ndarray, price: np.ndarray) -> np.ndarray:
-    """Sequences that a piece of each length took in a cover, each sequence shared out by ``price``."""
-    out = np.zeros(len(demand))
-    for config, x in fractional.items():
-        value = sum(price[length] * times for length, times in config)
-        for length, times in config:
-            out[length] += x * times * price[length] / value
-    return out / np.maximum(demand, 1)
+def tight_cover(demand: np.ndarray, capacity: int, phases: int) -> tuple[Counter, float]:
+    """Columns close to the best at their pricing, scaled to cover the demand on average, and the best dual bound."""
+    lengths = np.flatnonzero(demand)
+    weight, out, bound, covered = np.arange(capacity + 1) / capacity, Counter(), 0.0, np.zeros(capacity + 1)
+    for _ in range(phases):
+        best, first = knapsack(lengths, weight[lengths], capacity)
+        bound = max(bound, demand @ weight / best[capacity])
+        worth = weight[lengths] + best[capacity - lengths]
+        tight = np.flatnonzero(worth >= (1 - SLACK) * best[capacity])
+        left = DIVE_SHARE * demand
+        before = covered.copy()
+        for seed in lengths[tight[np.argsort(-worth[tight], kind="stable")]].tolist():
+            if left[seed] <= TINY * DIVE_SHARE:
+                continue
+            config, room = Counter([seed]), capacity - seed
+            while room > 0:
+                take = int(first[room])
+                config[take] += take > 0
+                room -= take or 1
+            config = +config
+            step = min(left[x] / n for x, n in config.items())
+            if step > 0:
+                out[tuple(sorted(config.items(), reverse=True))] += step
+                for x, n in config.items():
+                    left[x] -= n * step
+                    covered[x] += n * step
+        weight[lengths] *= np.exp(-DIVE_ETA * (covered - before)[lengths] / demand[lengths] / DIVE_SHARE)
+        weight[lengths] = np.maximum(weight[lengths] / weight[lengths].max(), 1e-9)
+    scale = 1 / (covered[lengths] / demand[lengths]).mean()
+    return Counter({config: x * scale for config, x in out.items()}), bound
+
+
+def dive(histogram: np.ndarray, capacity: int) -> tuple[Counter, float]:
+    """Whole sequences by solving, keeping, and solving what is left; and the dual bound of the whole."""
+    left, used, bound = histogram.astype(np.int64), Counter(), 0.0
+
+    def keep(config: tuple[tuple[int, int], ...], most: int) -> int:
+        n = min([most, *(int(left[x]) // times for x, times in config)])
+        if n:
+            used[config] += n
+            for x, times in config:
+                left[x] -= n * times
+        return n
+
+    while left.any():
+        first = not used
+        fractional, proven = tight_cover(left.astype(np.float64), capacity, DIVE_PHASES[not first])
+        total = sum(fractional.values())
+        bound = proven if first else bound
+        if total < FEW:
+            break
+        kept = sum(keep(config, int(x)) for config, x in sorted(fractional.items(), key=lambda kv: -kv[1]))
+        for config, x in sorted(fractional.items(), key=lambda kv: -(kv[1] % 1)):
+            if kept >= KEPT * total:
+                break
+            kept += keep(config, 1)
+        if not kept:
+            break
+    return used + rounded(Counter(), left, np.arange(capacity + 1) / capacity, capacity), bound
 
 
 def rounded(fractional: Counter, histogram: np.ndarray, price: np.ndarray, capacity: int) -> Counter:
@@ -185,28 +243,20 @@ def rounded(fractional: Counter, histogram: np.ndarray, price: np.ndarray, capac
 
 
 def solve(histogram: np.ndarray, capacity: int) -> Solution:
-    """The configuration program of ``histogram`` (times of every length up to ``capacity``), solved and rounded.
-
-    A length's price starts at its size. After a cover it moves by multiplicative weights towards what pieces of
-    that length took, so lengths that fill sequences badly get dearer and come first; ``ROUNDS`` covers at most,
-    fewer once one comes within ``GAP`` of the bound.
-    """
+    """The configuration program of ``histogram`` (times of every length up to ``capacity``), solved and rounded."""
     demand = histogram.astype(np.float64)
     if not demand.any():
         return Solution([], 0, 0.0, 0)
     price = np.arange(capacity + 1) / capacity
-    bound = max(demand @ price, step_bound(demand, capacity))
-    best: tuple[int, float, Counter] | None = None
-    for _ in range(ROUNDS):
-        fractional, proven = cover(demand, price, capacity)
-        used = rounded(fractional, histogram, price, capacity)
+    fractional, proven = cover(demand, price, capacity)
+    used, value = rounded(fractional, histogram, price, capacity), float(sum(fractional.values()))
+    bound = max(demand @ price, step_bound(demand, capacity), proven)
+    if used.total() > math.ceil(bound - 1e-6) + max(1, GAP * bound):
+        found, proven = dive(histogram, capacity)
         bound = max(bound, proven)
-        if best is None or sum(used.values()) < best[0]:
-            best = sum(used.values()), float(sum(fractional.values())), used
-        if best[0] <= math.ceil(bound - 1e-6) + max(1, GAP * bound):
-            break
-        price = np.where(demand > 0, price ** (1 - PULL) * np.maximum(costs(fractional, demand, price), 1e-12) ** PULL, price)
-    return Solution([(c, int(n)) for c, n in best[2].items()], best[0], best[1], math.ceil(bound - 1e-6))
+        used = min(used, found, key=Counter.total)
+        value = min(value, float(used.total()))
+    return Solution([(c, int(n)) for c, n in used.items()], used.total(), value, math.ceil(bound - 1e-6))
 
 
 def slots(solution: list, capacity: int) -> dict[int, tuple[np.ndarray, ...]]:

@@ -140,7 +140,7 @@ def test_bound_and_solution_against_the_optimum(lengths):
 
 @pytest.mark.parametrize(
     "low,high,share",
-    [(1, 300, 1.001), (1, 2048, 1.002), (960, 1090, 1.015), (1025, 2048, 1.0), (640, 720, 1.04), (682, 682, 1.0), (1024, 1024, 1.0), (500, 1100, 1.08)],
+    [(1, 300, 1.001), (1, 2048, 1.002), (960, 1090, 1.012), (1025, 2048, 1.0), (640, 720, 1.005), (300, 800, 1.001), (682, 682, 1.0), (1024, 1024, 1.0), (500, 1100, 1.036)],
 )
 def test_sequences_near_the_proven_bound(low, high, share):
     solution = check_solution(np.random.default_rng(1).integers(low, high + 1, 9000), 2048)

@@ -1,10 +1,11 @@
 """Operator 6: edit-aware token counts.
 
-A document's text is cut at white space into leaves of some dozens of pre-tokens; no pre-token crosses white
-space, so counts of leaves add up. A segment tree over the leaves holds characters and tokens. An edit finds
-its leaves by character offset, re-encodes only these (and the leaf before, if the new text no longer starts
-with white space: a pre-token may then reach over the border) and updates sums on the way to the root. A leaf
-that has grown past ``GROWN`` times its size is split.
+A document's text is cut into leaves of some dozens of pre-tokens where no pre-token, normalisation or special token of the tokenizer can reach
+over: at white space, beside digits, and between letters and punctuation of ASCII (``BORDER``), so counts of leaves add up, in
+texts without white space too. A segment tree over the leaves holds characters and tokens. An edit finds
+its leaves by character offset, re-encodes only these (and a leaf beside them, if the characters that now meet are no such
+border) and updates sums on the way to the root. A leaf
+that has grown past ``GROWN`` times its size is split. Only a run of one kind without any border, such as letters alone, is one leaf however long, as it is one pre-token.
 
 ``build_trees`` encodes documents once and keeps a tree as a narrow row without the text: characters and tokens of
 each leaf; leaf texts follow from the document, sums above the leaves from these, neither by encoding.
@@ -38,9 +39,17 @@ from pyspark.sql import functions as F
 from fwloom.llm import bpe, merges
 from fwloom.llm.common import materialize, table
 
-#: Characters from which a leaf ends at the next white space, and times that from which it is split.
+#: Characters from which a leaf ends at the next border, and times that from which it is split.
 LEAF_CHARS, GROWN = 256, 4
-BORDER = re.compile(r"[ \t\n\r]")
+#: Places where pre-tokens always end: before white space; before a digit, and after one before ASCII, since a digit is a pre-token of its own; between punctuation
+#: and letters, but not after an apostrophe (``'s``) and not within ``<|...|>``, which may be a special token.
+BORDER = re.compile(r"(?=[ \t\n\r0-9])|(?<=[0-9])(?=[!-~])|(?<=[!-&(-/:-@\[-`{}~])(?=[A-Za-z])|(?<=[A-Za-z])(?=[!-/:-@\[-`{}~])")
+
+
+def meets_border(before: str, after: str) -> bool:
+    """Whether a border lies between two texts, by the characters that meet; an empty one says nothing."""
+    return bool(BORDER.match(before[-1:] + after[:1], len(before[-1:])))
+
 
 #: Ids of edited documents up to which they are sent to every task (8 MB).
 FEW_IDS = 1_000_000
@@ -50,7 +59,7 @@ EDITED = "doc_id long, text string, leaf_chars array<int>, leaf_tokens array<int
 
 
 def leaves_of(text: str) -> list[str]:
-    """Parts of a text; each but the first starts with white space."""
+    """Parts of a text, with a border between any two."""
     cuts, at = [0], LEAF_CHARS
     while m := BORDER.search(text, at):
         cuts.append(m.start())
@@ -143,11 +152,22 @@ class TokenTree:
         for i in range(first + 1, last + 1):
             if self.leaves[i]:
                 self.put(i, "")
-        # What follows starts with white space; what comes before may now run on.
-        while text and not BORDER.match(text) and (before := self.start_of(first)):
+        # What comes after and before may now run on over the ends of the new text.
+        following = last + 1
+        while True:
+            while following < len(self.leaves) and not self.leaves[following]:
+                following += 1
+            runs_on = following < len(self.leaves) and not meets_border(text, self.leaves[following])
+            before = self.start_of(first)
+            if runs_on and text:
+                text += self.leaves[following]
+                self.put(following, "")
+                continue
+            leaf = self.find(before)[0] if before else first
+            if not before or not (runs_on or text and not meets_border(self.leaves[leaf], text)):
+                break
             self.put(first, "")
-            first, _ = self.find(before)
-            text = self.leaves[first] + text
+            first, text = leaf, self.leaves[leaf] + text
         if len(text) > GROWN * LEAF_CHARS and BORDER.search(text, LEAF_CHARS):
             self.split(first, text)
         else:

@@ -278,5 +278,58 @@ def op13_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(damaged(turns), turns)
 
 
+def least_sql(*ways: str) -> str:
+    """The least of structs of cost, edits and text that are not null."""
+    return f"list_sort(list_filter([{', '.join(ways)}], lambda w: w IS NOT NULL))[1]"
+
+
+def way_sql(cost: str, edit: str, to: str, text: str = "''") -> str:
+    return f"{{'c': {cost} + {to}.c, 'a': '{edit}' || {to}.a, 't': {text} || {to}.t}}"
+
+
+def own_sql(state: int) -> str:
+    """The cheapest way from a state by an edit of the turn itself."""
+    to = NEXT[state]
+    kept = [f"CASE WHEN free AND ini = '{NAMES[to][0]}' THEN {way_sql('late', 'K', f's{to}', 'line')} END"]
+    if state == START:
+        kept.append(f"CASE WHEN free AND ini = 's' THEN {way_sql('late', 'K', f's{SYSTEM}', 'line')} END")
+    rerole = way_sql(f"{REROLE} + late", "R", f"s{to}", f"'{NAMES[to]}:' || text || chr(10)")
+    return least_sql(way_sql(str(DELETE), "D", f"s{state}"), *kept, f"CASE WHEN free THEN {rerole} END")
+
+
+def insert_sql(state: int, ways: str) -> str:
+    to = NEXT[state]
+    return least_sql(f"{ways}{state}", way_sql(str(INSERT), "I", f"{ways}{to}", f"'{NAMES[to]}:' || chr(10)"))
+
+
+def end_sql(state: int) -> str:
+    text, at = "''", state
+    for _ in END[state][1]:
+        at = NEXT[at]
+        text += f" || '{NAMES[at]}:' || chr(10)"
+    return f"{{'c': {END[state][0]}, 'a': '{END[state][1]}', 't': {text}}}"
+
+
+def states_sql(expression, name: str) -> str:
+    return ", ".join(f"{expression(q)} AS {name}{q}" for q in range(4))
+
+
+#: The program backwards by recursion: for each turn and state the least cost, then the least edits, and the text they leave. ``k`` and ``c`` are the checksum.
+SQL = f"""
+WITH RECURSIVE k AS (SELECT list(list_reduce(list_concat([n], range(8)), lambda x, y: xor(x >> 1, 3988292384 * (x & 1))) ORDER BY n) AS crcs FROM range(256) r(n)),
+o AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') AS key FROM conversations),
+c AS (SELECT o.*, xor(list_reduce(list_concat([4294967295], list_transform(string_split(key, ''), lambda x: ascii(x)::bigint)), lambda h, b: xor(h >> 8, crcs[1 + (xor(h, b) & 255)])), 4294967295) % 20 AS kind FROM o, k),
+d AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM c WHERE kind <> 0),
+n AS (SELECT *, row_number() OVER w AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again, trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare, lag(role) OVER w AS previous FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+f AS (SELECT *, CASE WHEN bare = '' THEN 'b' WHEN again THEN 'd' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault, left(role, 1) AS ini FROM n),
+g AS (SELECT conv_id, turn, i, ini, text, role || ':' || text || chr(10) AS line, fault NOT IN ('b', 'd') AS free, (fault = 't')::int AS late, fault, previous IS NOT NULL AND left(previous, 1) || ini NOT IN ('su', 'ua', 'au') AS illegal FROM f),
+z AS (SELECT conv_id, max(i) AS i, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (illegal) AS illegal FROM g GROUP BY conv_id),
+v AS (SELECT conv_id, i, {states_sql(end_sql, 's')} FROM z
+ UNION ALL SELECT conv_id, i, {states_sql(lambda q: insert_sql(q, 'y'), 's')} FROM (SELECT conv_id, i, {states_sql(lambda q: insert_sql(q, 'x'), 'y')} FROM (SELECT v.conv_id, v.i - 1 AS i, {states_sql(own_sql, 'x')} FROM v JOIN g ON g.conv_id IS NOT DISTINCT FROM v.conv_id AND g.i = v.i))),
+b AS (SELECT conv_id, s0 FROM v WHERE i = 0)
+SELECT q.conv_id, coalesce(z.gaps, 0)::bigint AS gaps, coalesce(z.blank, 0)::bigint AS blank, coalesce(z.duplicate, 0)::bigint AS duplicate, coalesce(z.truncated, 0)::bigint AS truncated, coalesce(z.illegal, 0)::bigint AS illegal, coalesce(s0.c, 0)::bigint AS cost, coalesce(s0.a, '') AS audit, sha256(coalesce(left(s0.t, length(s0.t) - 1), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) q LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM q.conv_id LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM q.conv_id
+"""
+
 QUERIES = {"op13_turns": op13_turns}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op13_turns": SQL}

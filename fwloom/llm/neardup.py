@@ -414,5 +414,18 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+#: All pairs that share a shingle, and the components of their links; for tables in which doc_id is a key.
+SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, text, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS words FROM documents),
+s AS (SELECT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle, count(*) AS times FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM w WHERE len(words) > 0) GROUP BY 1, 2),
+n AS (SELECT doc_id, sum(times) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, sum(least(a.times, b.times)) AS shared FROM s a JOIN s b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE shared / (a.n + b.n - shared) >= 0.8
+ UNION SELECT a.doc_id, b.doc_id FROM w a JOIN w b USING (text) WHERE a.doc_id < b.doc_id AND text <> ''),
+e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+r AS (SELECT doc_id, doc_id AS reached FROM documents UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.reached)
+SELECT doc_id, min(reached) AS class_id, min(reached) = doc_id AS kept FROM r GROUP BY doc_id
+"""
+
 QUERIES = {"op2_near_duplicates": op2_near_duplicates}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op2_near_duplicates": SQL}

@@ -560,5 +560,17 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(table(spark, sf_dir, "documents"))
 
 
+#: All windows of ``LENGTH`` bytes but the first of each content, joined to spans; for tables in which doc_id is a key.
+SQL = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT doc_id, p, b[p + 1:p + 100] AS s FROM (SELECT doc_id, b, unnest(range(greatest(octet_length(b) - 99, 0))) AS p FROM d)),
+c AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS k FROM w) WHERE k > 1),
+i AS (SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS island FROM (SELECT doc_id, p, (p > lag(p, 1, -1000) OVER (PARTITION BY doc_id ORDER BY p) + 100)::int AS fresh FROM c)),
+s AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS e FROM i GROUP BY doc_id, island),
+g AS (SELECT d.doc_id, b, coalesce(list(struct_pack(a := a, e := e) ORDER BY a) FILTER (a IS NOT NULL), []) AS spans FROM d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id, b),
+k AS (SELECT *, list_transform(range(len(spans) + 1), lambda j: hex(b[CASE WHEN j = 0 THEN 0 ELSE spans[j].e END + 1:CASE WHEN j = len(spans) THEN octet_length(b) ELSE spans[j + 1].a END])) AS pieces FROM g)
+SELECT doc_id, octet_length(b)::bigint AS n_bytes, coalesce(list_sum(list_transform(spans, lambda x: x.e - x.a)), 0)::bigint AS n_removed, len(spans)::bigint AS n_spans, sha256(unhex(array_to_string(pieces, ''))) AS kept_sha256 FROM k
+"""
+
 QUERIES = {"op9_suffix_dedup": op9_suffix_dedup}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op9_suffix_dedup": SQL}

@@ -1,14 +1,13 @@
 """Operator 7: media columns through a Spark data source.
 
 Payloads become images: a payload is rows of 576 8-bit grey samples, stored without loss as PNG. Images are
-members of archives (plain ZIP files with stored members, which any tool opens), one archive for each writing
-task. ``media_archive`` is a data source for folders of such archives:
-
-* writing streams Arrow batches into an archive under a temporary name; the commit of the job renames the
-  archives of the tasks that won, so failed or repeated tasks leave nothing visible; a task without rows
-  writes no archive, a task that fails deletes its own;
-* reading plans byte ranges over the archives from their sizes alone. A task reads the archive's directory,
-  takes the members whose records start in its range, and streams them in Arrow batches of bounded bytes;
+members of archives (plain ZIP files with stored members, which any tool opens). ``media_archive`` is a data source for folders of such archives:
+
+* writing streams Arrow batches into archives of ``ARCHIVE_MEMBERS`` members or ``ARCHIVE_BYTES`` at most; the commit of the job writes one list with
+  the names of all archives of the tasks that won, and readers see only those of its archives that are listed: all of a job or nothing, whatever is lost.
+  A task without rows writes no archive, a task that fails deletes its own; archives of other makers, by their names, need no list;
+* reading plans byte ranges over the archives from their sizes alone, larger ones in larger folders (``MOST_RANGES``). A task reads the archive's
+  directory, which is bounded as its members are, takes the members whose records start in its range, and streams them in Arrow batches of bounded bytes;
 * each member is read by its own offset and checked by its own checksum. A failed read opens the archive
   anew and tries that member again, ``ATTEMPTS`` times, without a second read of its neighbours;
 * an archive whose directory cannot be read fails with an error that names the archive.
@@ -25,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import json
 import re
 import struct
 import time
@@ -45,6 +45,9 @@ from fwloom.llm.common import shared_dir, table
 UNIT, PAD, TAIL = 576, b"\xff", 32
 #: Bytes of a reading task's range and of an Arrow batch, and tries for a member.
 RANGE_BYTES, BATCH_BYTES, ATTEMPTS = 16 << 20, 8 << 20, 4
+#: Members and bytes from which a task begins a new archive, and the number of ranges of a job from which they grow.
+ARCHIVE_MEMBERS, ARCHIVE_BYTES, MOST_RANGES = 20_000, 1 << 30, 100_000
+LIST, OWN = re.compile(r"_archives-\w+\.json$"), re.compile(r"media-[0-9a-f]{32}\.zip$")
 FORMAT = "media_archive"
 MEMBERS = "doc_id long, media binary"
 FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
@@ -106,10 +109,10 @@ def open_fs(path: str) -> tuple[fs.FileSystem, str]:
 
 
 class ArchiveCommit(WriterCommitMessage):
-    """Names of the archive a task wrote; None for a task without rows."""
+    """Names of the archives that a task wrote."""
 
-    def __init__(self, temporary: str | None, final: str | None):
-        self.temporary, self.final = temporary, final
+    def __init__(self, names: list[str]):
+        self.names = names
 
 
 class ArchiveWriter(DataSourceArrowWriter):
@@ -117,37 +120,41 @@ class ArchiveWriter(DataSourceArrowWriter):
         self.path = path
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> ArchiveCommit:
-        batches = (b for b in iterator if len(b))
-        first = next(batches, None)
-        if first is None:
-            return ArchiveCommit(None, None)
+        members = ((doc, media) for batch in iterator for doc, media in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
         files, root = open_fs(self.path)
-        files.create_dir(root, recursive=True)
-        name = uuid.uuid4().hex
-        temporary, final = f"{root}/.{name}.tmp", f"{root}/{name}.zip"
+        names: list[str] = []
         try:
-            with files.open_output_stream(temporary) as sink, zipfile.ZipFile(sink, "w", zipfile.ZIP_STORED, allowZip64=True) as archive:
-                nth = 0
-                for batch in itertools.chain([first], batches):
-                    for doc, media in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for first in members:
+                if not names:
+                    files.create_dir(root, recursive=True)
+                names.append(f"media-{uuid.uuid4().hex}.zip")
+                with files.open_output_stream(f"{root}/{names[-1]}") as sink, zipfile.ZipFile(sink, "w", zipfile.ZIP_STORED, allowZip64=True) as archive:
+                    size = 0
+                    for nth, (doc, media) in enumerate(itertools.chain([first], members)):
                         archive.writestr(zipfile.ZipInfo(f"{nth}/{'null' if doc is None else doc}.png", EPOCH), media)
-                        nth += 1
+                        size += len(media)
+                        if nth + 1 >= ARCHIVE_MEMBERS or size >= ARCHIVE_BYTES:
+                            break
         except BaseException:
-            remove(files, temporary)
+            for name in names:
+                remove(files, f"{root}/{name}")
             raise
-        return ArchiveCommit(temporary, final)
+        return ArchiveCommit(names)
 
     def commit(self, messages: list) -> None:
-        files, _ = open_fs(self.path)
-        for m in messages:
-            if m and m.temporary:
-                files.move(m.temporary, m.final)
+        files, root = open_fs(self.path)
+        names = [n for m in messages if m for n in m.names]
+        if names:
+            temporary, final = f"{root}/.{uuid.uuid4().hex}.tmp", f"{root}/_archives-{uuid.uuid4().hex}.json"
+            with files.open_output_stream(temporary) as out:
+                out.write(json.dumps(sorted(names)).encode())
+            files.move(temporary, final)
 
     def abort(self, messages: list) -> None:
-        files, _ = open_fs(self.path)
+        files, root = open_fs(self.path)
         for m in messages:
-            if m and m.temporary:
-                remove(files, m.temporary)
+            for name in m.names if m else ():
+                remove(files, f"{root}/{name}")
 
 
 def remove(files: fs.FileSystem, path: str) -> None:
@@ -203,11 +210,21 @@ class ArchiveReader(DataSourceReader):
     def __init__(self, path: str, range_bytes: int):
         self.path, self.range_bytes = path, range_bytes
 
-    def partitions(self) -> list[Range]:
+    def archives(self) -> list[fs.FileInfo]:
+        """Archives that are listed, or of other makers."""
         files, root = open_fs(self.path)
-        found = [f for f in files.get_file_info(fs.FileSelector(root, allow_not_found=True)) if f.is_file and f.base_name.endswith(".zip")]
-        ranges = [Range(f.path, start, start + self.range_bytes) for f in sorted(found, key=lambda f: f.path) for start in range(0, f.size, self.range_bytes)]
-        return ranges or [Range("", 0, 0)]
+        found = [f for f in files.get_file_info(fs.FileSelector(root, allow_not_found=True)) if f.is_file]
+        listed: set[str] = set()
+        for f in found:
+            if LIST.match(f.base_name):
+                with files.open_input_stream(f.path) as stream:
+                    listed |= set(json.loads(stream.read()))
+        return sorted((f for f in found if f.base_name.endswith(".zip") and (f.base_name in listed or not OWN.match(f.base_name))), key=lambda f: f.path)
+
+    def partitions(self) -> list[Range]:
+        found = self.archives()
+        step = max(self.range_bytes, -(-sum(f.size for f in found) // MOST_RANGES))
+        return [Range(f.path, start, start + step) for f in found for start in range(0, f.size, step)] or [Range("", 0, 0)]
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
         if not partition.archive:

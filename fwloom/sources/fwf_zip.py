@@ -28,7 +28,6 @@ from __future__ import annotations
 import codecs
 import io
 import json
-import os
 import re
 import zipfile
 import zlib

@@ -313,6 +313,16 @@ def ytd_filter(spark, sf_dir):
     return discovery.year_to_date(discovered(spark, sf_dir), 1996).drop("path")
 
 
+@query("SELECT DISTINCT CASE WHEN o_custkey % 3 = 0 THEN 'imports' ELSE 'exports_us' END AS trade_type, cast(year(o_orderdate) as integer) AS year, cast(month(o_orderdate) as integer) AS month FROM orders WHERE o_custkey % 3 < 2")
+def discover_first_match(spark, sf_dir):
+    """Of several patterns that match a name, the first in their order."""
+    orders = read(spark, sf_dir, "orders")
+    sheet = F.when(F.col("o_custkey") % 3 == 0, "A").when(F.col("o_custkey") % 3 == 1, "B").otherwise("Z")
+    files = orders.select(F.concat(F.lit("/drop/"), sheet, F.lit("_"), F.date_format("o_orderdate", "yyyyMM"), F.lit(".zip")).alias("path")).distinct()
+    wide = {"trade_type": "exports_us", "label": "wide", "pattern": r"^[AB]_(?P<year>\d{4})(?P<month>\d{2})\.zip$", "effective_from": "1990-01", "effective_to": None}
+    return discovery.first_match(discovery.match(files, [PATTERNS[0], wide])).select("trade_type", "year", "month")
+
+
 VERSIONS = [("t", "v1", "1990-01", "1993-12"), ("t", "v2", "1994-01", "1995-06"), ("t", "v3", "1995-06", "1996-12"), ("t", "v4", "1998-01", None)]
 VERSIONS_SQL = "v(version, effective_from, effective_to) AS (VALUES ('v1', '1990-01', '1993-12'), ('v2', '1994-01', '1995-06'), ('v3', '1995-06', '1996-12'), ('v4', '1998-01', NULL))"
 
@@ -395,6 +405,35 @@ def run_total_coerced(spark, sf_dir):
     return quality.total_coerced(counts.join(F.broadcast(months), F.col("part") >= 0))
 
 
+@query(f"WITH {FILES_SQL}, y AS (SELECT DISTINCT year FROM f WHERE {DIRTY} OR year = 1998) SELECT year, year IN (SELECT year FROM y) AS dirty FROM (SELECT DISTINCT year FROM f) WHERE year % 2 = 0")
+def ops_only_keys(spark, sf_dir):
+    """Even years are asked for: those that are dirty, and those that are clean."""
+    files = read(spark, sf_dir, "orders").select(F.lit("imports").alias("trade_type"), F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month")).distinct()
+    dirty, clean = planning.restrict(files.where(F.expr(f"{DIRTY} OR year = 1998")).select("trade_type", "year").distinct(), files.where("year % 2 = 0").select("trade_type", "year").distinct())
+    return dirty.select("year", F.lit(True).alias("dirty")).unionByName(clean.select("year", F.lit(False).alias("dirty")))
+
+
+@query("""SELECT p_partkey AS key, CASE WHEN p_partkey % 5 = 0 THEN 'new' WHEN p_partkey % 7 = 0 THEN 'configuration' WHEN p_partkey % 3 = 0 THEN 'content' ELSE 'output missing' END AS reason
+FROM part WHERE p_partkey % 5 = 0 OR p_partkey % 7 = 0 OR p_partkey % 3 = 0 OR p_partkey % 11 = 0""")
+def ops_dirty_workbooks(spark, sf_dir):
+    """A workbook for each part: some unknown, of another configuration, of new content, or without output."""
+    books = read(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("name"), F.sha2("p_name", 256).alias("sha256"), (F.col("p_partkey") % 11 != 0).alias("outputs_present"), "p_partkey", "p_name")
+    known = books.where("p_partkey % 5 <> 0")
+    manifest = known.select("name", F.sha2(F.concat("p_name", F.when(F.col("p_partkey") % 3 == 0, "x").otherwise("")), 256).alias("workbook_hash"), F.when(F.col("p_partkey") % 7 == 0, "old").otherwise("now").alias("config_hash"))
+    return planning.dirty_workbooks(books.select("name", "sha256", "outputs_present"), manifest, "now").select(F.col("name").cast("long").alias("key"), "reason")
+
+
+@query("SELECT cast(o_custkey as varchar) AS name, max_by(o_orderstatus, o_orderkey) AS raw_hash, max(o_orderkey) AS processed_at FROM orders GROUP BY 1")
+def ops_manifest_latest(spark, sf_dir):
+    """A manifest with an entry for each order: the last of each customer counts."""
+    from fwloom.plans import cycle
+
+    folder = kept_dir(spark)
+    entries = read(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("name"), F.col("o_orderstatus").alias("raw_hash"), F.lit("c").alias("config_hash"), F.col("o_orderkey").alias("processed_at"))
+    entries.write.json(f"{folder}/raw")
+    return cycle.manifest(spark, folder.removeprefix("file://"), "raw", cycle.RAW_MANIFEST).select("name", "raw_hash", "processed_at")
+
+
 @query("SELECT cast(count(DISTINCT strftime(o_orderdate, '%Y-%m')) as bigint) AS files, cast(sum(o_orderkey) as bigint) AS bytes FROM orders")
 def ops_volume(spark, sf_dir):
     """A file for each month of orders, as large as its keys add up to."""
@@ -408,7 +447,7 @@ def inspect_head(spark, sf_dir):
     return D.decode(lines, LINEITEM).select("input_path", "line_no", "row.l_orderkey")
 
 
-def pack_files(rows: DataFrame, folder: str, order: list[str], end: str = "\n", notes: bool = False, kind: str = "deflated") -> None:
+def pack_files(rows: DataFrame, folder: str, order: list[str], end: str = "\n", notes: bool = False, kind: str = "deflated", encoding: str = "utf-8") -> None:
     """Writes ``raw_line`` as one file for each ``file`` (its name), in ``order``, as the lines stream by; a repeated task replaces its files.
 
     ``kind``: deflated or stored archives, or plain files. With ``notes`` an archive starts with a small member beside the data.
@@ -449,7 +488,7 @@ def pack_files(rows: DataFrame, folder: str, order: list[str], end: str = "\n",
                     close()
                     name = file
                     out = stack.enter_context(writer(stack.enter_context(files.open_output_stream(temporary))))
-                out.write(f"{line}{end}".encode())
+                out.write(f"{line}{end}".encode(encoding))
         close()
         yield from ()
 
@@ -533,6 +572,40 @@ def scan_pushdown(spark, sf_dir):
     return names_back(lines.where(F.col("input_path").isin(paths) & (F.col("line_no") <= 40)))
 
 
+@query("SELECT cast(c_nationkey as integer) AS nation, sha256(string_agg(lpad(cast(c_custkey as varchar), 12, ' ') || rpad(c_name, 30, ' ') || chr(10), '' ORDER BY c_custkey)) AS sha256 FROM customer GROUP BY 1")
+def file_hashes(spark, sf_dir):
+    """Hashes of files, read by tasks."""
+    from fwloom.sources.fwf_zip import files_at
+
+    folder = kept_dir(spark)
+    pack_files(named_lines(spark, sf_dir, "customer", ".fwf"), folder, ["c_custkey"], kind="plain")
+    files = spark.createDataFrame([(p,) for p in files_at(folder)], "path string")
+    return planning.with_hashes(files).select(F.regexp_extract("path", r"(\d+)\.\w+$", 1).cast("int").alias("nation"), "sha256")
+
+
+@query(names_sql("customer").replace("rtrim(c_name) AS name", "'Müller, Zoé ' || rtrim(substr(c_name, 10)) AS name"))
+def fwf_text_encoding(spark, sf_dir):
+    """Archives in another encoding than UTF-8."""
+    folder = kept_dir(spark)
+    lines = named_lines(spark, sf_dir, "customer")
+    lines = lines.withColumn("raw_line", F.concat(F.substring("raw_line", 1, 12), F.lit("Müller, Zoé "), F.substring("raw_line", 22, 18)))
+    pack_files(lines, folder, ["c_custkey"], encoding="cp1252")
+    return names_back(scanned(spark, folder, encoding="cp1252"))
+
+
+@query("SELECT cast(c_nationkey as integer) AS nation, c_nationkey % 4 = 1 AS failed, cast(CASE WHEN c_nationkey % 4 = 1 THEN 0 ELSE count(*) END as bigint) AS n FROM customer GROUP BY 1, 2")
+def zip_read_errors(spark, sf_dir):
+    """Archives of some nations are in an encoding that their bytes do not follow: each fails alone, with a row that says so."""
+    folder = kept_dir(spark)
+    lines = named_lines(spark, sf_dir, "customer")
+    broken = F.regexp_extract("file", r"^(\d+)", 1).cast("int") % 4 == 1
+    pack_files(lines.where(~broken), folder, ["c_custkey"])
+    pack_files(lines.where(broken).withColumn("raw_line", F.concat(F.lit("é"), "raw_line")), folder, ["c_custkey"], encoding="cp1252")
+    rows = scanned(spark, folder)
+    nation = F.regexp_extract("input_path", r"(\d+)\.\w+$", 1).cast("int").alias("nation")
+    return rows.groupBy(nation).agg(F.max(F.col("read_error").isNotNull()).alias("failed"), F.count("raw_line").alias("n"))
+
+
 @query("SELECT cast(c_nationkey as integer) AS nation, cast(count(*) as bigint) AS n, cast(sum(c_custkey) as bigint) AS keys FROM customer GROUP BY 1")
 def stream_new_files(spark, sf_dir):
     """Files that come in two waves are streamed, each once, with one checkpoint."""
@@ -552,14 +625,8 @@ def stream_new_files(spark, sf_dir):
 PERIODS = Layout("imports", "1990-01", "1990-01", 30, (Field("period", 1, 6, "Date", parse="yyyymm_to_date"), Field("o_orderkey", 7, 12, "Int64", False), Field("o_custkey", 19, 12, "Int64")), "period")
 
 
-@query("""WITH o AS (SELECT year(o_orderdate) AS y, month(o_orderdate) AS m, o_orderkey, o_orderkey % 50 = 3 OR year(o_orderdate) = 1995 AND month(o_orderdate) > 6 AS bad FROM orders),
-n AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY o_orderkey) AS line FROM o),
-c AS (SELECT *, sum(bad::int) OVER (PARTITION BY y ORDER BY line) AS bads FROM n), a AS (SELECT y, min(line) FILTER (bad AND bads / line > 0.4) AS line FROM c GROUP BY y),
-g AS (SELECT y, m, count(*) FILTER (NOT bad) AS n FROM c GROUP BY 1, 2), s AS (SELECT y, count(*) FILTER (bad AND (a.line IS NULL OR c.line <= a.line)) AS skipped FROM c JOIN a USING (y) GROUP BY y)
-SELECT cast(y as integer) AS year, cast(m as integer) AS month, 'ok' AS status, cast(n as bigint) AS rows_written, cast(skipped as bigint) AS rows_skipped FROM g JOIN a USING (y) JOIN s USING (y) WHERE a.line IS NULL AND n > 0
-UNION ALL SELECT cast(y as integer), 12, 'failed', 0, cast(skipped as bigint) FROM a JOIN s USING (y) WHERE a.line IS NOT NULL""")
-def ingest_manifest(spark, sf_dir):
-    """A whole run over archives by year, one of them hopeless: the manifest that it leaves, with exact counts."""
+def ingested(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of a run over orders, an archive for each year: every fiftieth row is bad, and so are all of the second half of 1995."""
     from dataclasses import replace
 
     from fwloom.layouts import Source
@@ -573,5 +640,40 @@ def ingest_manifest(spark, sf_dir):
     pack_files(lines, f"{base}/drop", ["o_orderkey"])
     layout = replace(PERIODS, source=Source("b", "0", "S", "t", None, r"^S_(?P<year>\d{4})(?P<month>\d{2})(?P<flag>[NC])\.zip$"))
     ingest.run(spark, ingest.IngestOptions(f"{base}/drop", f"{base}/out", "", ("imports",), ytd=False, max_skip_rate=0.4, max_quality_issues=0), {"imports": [layout]})
+    return base
+
+
+@query("""WITH o AS (SELECT year(o_orderdate) AS y, month(o_orderdate) AS m, o_orderkey, o_orderkey % 50 = 3 OR year(o_orderdate) = 1995 AND month(o_orderdate) > 6 AS bad FROM orders),
+n AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY o_orderkey) AS line FROM o),
+c AS (SELECT *, sum(bad::int) OVER (PARTITION BY y ORDER BY line) AS bads FROM n), a AS (SELECT y, min(line) FILTER (bad AND bads / line > 0.4) AS line FROM c GROUP BY y),
+g AS (SELECT y, m, count(*) FILTER (NOT bad) AS n FROM c GROUP BY 1, 2), s AS (SELECT y, count(*) FILTER (bad AND (a.line IS NULL OR c.line <= a.line)) AS skipped FROM c JOIN a USING (y) GROUP BY y)
+SELECT cast(y as integer) AS year, cast(m as integer) AS month, 'ok' AS status, cast(n as bigint) AS rows_written, cast(skipped as bigint) AS rows_skipped FROM g JOIN a USING (y) JOIN s USING (y) WHERE a.line IS NULL AND n > 0
+UNION ALL SELECT cast(y as integer), 12, 'failed', 0, cast(skipped as bigint) FROM a JOIN s USING (y) WHERE a.line IS NOT NULL""")
+def ingest_manifest(spark, sf_dir):
+    """A whole run over archives by year, one of them hopeless: the manifest that it leaves, with exact counts."""
+    from fwloom.plans import ingest
+
+    base = ingested(spark, sf_dir)
     rows = spark.read.schema(ingest.RESULT).json(f"{base}/out/_manifests/imports/*")
     return rows.select("year", "month", "status", "rows_written", "rows_skipped")
+
+
+RUN_SQL = """WITH o AS (SELECT year(o_orderdate) AS y, month(o_orderdate) AS m, o_orderkey, o_orderkey % 50 = 3 OR year(o_orderdate) = 1995 AND month(o_orderdate) > 6 AS bad FROM orders),
+n AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY o_orderkey) AS line FROM o),
+c AS (SELECT *, sum(bad::int) OVER (PARTITION BY y ORDER BY line) AS bads FROM n), a AS (SELECT y, min(line) FILTER (bad AND bads / line > 0.4) AS line FROM c GROUP BY y)"""
+
+
+@query(RUN_SQL + " SELECT cast(y as integer) AS year, cast(c.line as bigint) AS line_no, 'o_orderkey' AS \"column\", 'cannot parse ''x'' as Int64' AS error FROM c JOIN a USING (y) WHERE bad AND (a.line IS NULL OR c.line <= a.line)")
+def ingest_quality_log(spark, sf_dir):
+    """The log of bad rows that the run leaves: of failed files up to the line that failed them."""
+    log = spark.read.schema("year int, line_no long, column string, error string").json(f"{ingested(spark, sf_dir)}/out/_quality_issues/imports/*")
+    return log.select("year", "line_no", "column", "error")
+
+
+@query(RUN_SQL + " SELECT cast(y as integer) AS year, cast(m as integer) AS month, cast(count(*) as bigint) AS n, cast(sum(o_orderkey) as bigint) AS keys FROM c JOIN a USING (y) WHERE a.line IS NULL AND NOT bad GROUP BY 1, 2")
+def ingest_table(spark, sf_dir):
+    """The table that the run leaves: good rows of good files, by month."""
+    from fwloom.plans import sinks
+
+    rows = sinks.read_partitions(spark, f"{ingested(spark, sf_dir)}/out/imports")
+    return rows.groupBy(F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month")).agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"))

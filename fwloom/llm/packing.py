@@ -278,13 +278,13 @@ def cut(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        memo, end = merges.batch_memo(path, merges.as_bytes), bpe.words_le([SEPARATOR])
+        encoder, end = merges.batch_encoder(path), bpe.words_le([SEPARATOR])
         task, seen = TaskContext.get().partitionId(), Counter()
         for batch in batches:
             rows = []
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for doc, parts in zip(batch.column(0).to_pylist(), memo.many(texts)):
-                data = b"".join(parts) + end
+            for doc, ids in zip(batch.column(0).to_pylist(), encoder.many(texts)):
+                data = ids + end
                 for piece, at in enumerate(range(0, len(data), 4 * capacity)):
                     part = data[at : at + 4 * capacity]
                     n = len(part) // 4
